@@ -6,7 +6,7 @@ li AS (
     'AC' || lpad(CAST((l_suppkey - l_suppkey % 2) * 6 + l_partkey % 12 AS VARCHAR), 10, '0') AS mac,
     l_partkey % 12 AS slot,
     CASE l_returnflag WHEN 'A' THEN 8 WHEN 'N' THEN 12 ELSE 18 END AS hour_no,
-    (l_orderkey * 7 + l_linenumber * 13 + l_partkey) % 3600 AS second_no,
+    (l_orderkey * 7 + l_linenumber * 13 + l_partkey) % 60 * 60 AS second_no,
     CAST(floor(l_extendedprice * 100) AS BIGINT) AS cents
   FROM lineitem)"""
 

@@ -145,5 +145,8 @@ def label_to_score(label: Column) -> Column:
 
 
 def score_to_label(score: Column) -> Column:
-    """Exact scores 1..4 back to their labels."""
-    return F.element_at(F.array(*map(F.lit, LABELS)), F.when(score.between(1, 4), score.cast("int")))
+    """Exact scores 1..4 back to their labels; anything else is NULL."""
+    chain = F.when(score == 1, F.lit(LABELS[0]))
+    for value, name in enumerate(LABELS[1:], start=2):
+        chain = chain.when(score == value, F.lit(name))
+    return chain
