@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import daily_queries, hourly_queries  # noqa: F401
+from . import daily_queries, hourly_queries, table_queries  # noqa: F401
 from .base import ORACLES, QUERIES  # noqa: F401

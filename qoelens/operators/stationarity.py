@@ -8,27 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.percentiles import percentiles
+from .histogram import percentiles_of_counts, value_counts
 from .skew import join_back
 
 # Points of the signal distribution and the outlier rule
 # bound = min(p10 - 2 * (p90 - p10), p3).
-POINTS = (0.03, 0.10, 0.50, 0.90)
+POINTS = {"p3": 0.03, "p10": 0.10, "p50": 0.50, "p90": 0.90}
 STATIONARY_SPREAD = 5
 
 
 def signal_bounds(rows: DataFrame, keys: Sequence[str], signal: str, method: str = "exact") -> DataFrame:
-    """Per key: percentiles, lower outlier bound, largest value and row count."""
+    """Per key: percentiles, lower outlier bound, largest value and row count.
+
+    ``exact`` is for whole-number signals; ``sketch`` for continuous ones, whose
+    distinct values nothing bounds.
+    """
     heard = rows.where(F.col(signal).isNotNull())
-    spread = heard.groupBy(*keys).agg(
-        percentiles(f"`{signal}`", POINTS, method).alias("_p"),
-        F.max(signal).alias("_top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    p3, p10, p50, p90 = (F.get("_p", F.lit(i)) for i in range(4))
-    return spread.select(
-        *keys, p3.alias("p3"), p10.alias("p10"), p50.alias("p50"), p90.alias("p90"),
-        F.least(p10 - 2 * (p90 - p10), p3).alias("bound"), F.col("_top").alias("top"), "n",
-    )
+    if method == "exact":
+        levels = percentiles_of_counts(value_counts(heard, keys, signal), keys, signal, POINTS)
+    else:
+        sketch = heard.groupBy(*keys).agg(
+            percentiles(f"`{signal}`", list(POINTS.values()), method).alias("_p"),
+            F.max(signal).alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        levels = sketch.withColumns({name: F.get("_p", F.lit(i)) for i, name in enumerate(POINTS)}).drop("_p")
+    p10, p90 = F.col("p10"), F.col("p90")
+    return levels.withColumn("bound", F.least(p10 - 2 * (p90 - p10), F.col("p3")).cast("double"))
 
 
 def drop_low_outliers(rows: DataFrame, keys: Sequence[str], signal: str, method: str = "exact") -> DataFrame:

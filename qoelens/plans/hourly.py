@@ -17,6 +17,7 @@ from ..functions import profiles as R
 from ..functions.percentiles import band_value, percentiles
 from ..functions.profiles import bucketize
 from ..functions.scoring import half_up, least_available, mean_of_available
+from ..operators.histogram import percentiles_of_counts, value_counts
 from ..operators.ranking import heavy_hitter_blend
 from ..operators.skew import join_back, materialise
 
@@ -34,7 +35,7 @@ SNR_RANGE, STEERS, RATE_RANGE_24, RATE_RANGE_5 = 13, 6, 30, 300
 # ---------------------------------------------------------------- enrichment
 
 
-def connection_records(history: DataFrame) -> DataFrame:
+def connection_records(history: DataFrame, *extra: Column) -> DataFrame:
     """Nested station reports as one flat, numeric row each."""
     c = "Station_Data_connect_data"
     return history.select(
@@ -51,57 +52,57 @@ def connection_records(history: DataFrame) -> DataFrame:
         F.col("Tplg_Data_model_name").alias("model"),
         P.day_of(F.col("ts"), "HH").alias("hour"),
         P.day_of(F.col("ts")).alias("date"),
+        *extra,
     )
 
 
+def steering_success() -> Column:
+    """A steering record whose band action is ``1``."""
+    steered = F.col("Diag_Result_band_steer.sta_type").isNotNull() | F.col("Diag_Result_ap_steer.sta_type").isNotNull()
+    return steered & (F.col("Diag_Result_band_steer.action") == "1")
+
+
 def steering_successes(history: DataFrame) -> DataFrame:
-    """Per row key and hour: records of a steer whose band action is ``1``."""
+    """Steering successes per row key and hour; only keys that have any."""
     hours = [P.day_of(F.col("ts")).alias("date"), P.day_of(F.col("ts"), "HH").alias("hour")]
-    steered = F.col("Diag_Result_band_steer.sta_type").isNotNull() | F.col("Diag_Result_ap_steer.sta_type").isNotNull()
-    return (
-        history.where(steered & (F.col("Diag_Result_band_steer.action") == "1"))
-        .groupBy("rowkey", *hours)
-        .agg(F.count(F.lit(1)).alias("son"))
-    )
+    return history.where(steering_success()).groupBy("rowkey", *hours).agg(F.count(F.lit(1)).alias("son"))
 
 
 def enrich(history: DataFrame, mobility: DataFrame, **join_options) -> DataFrame:
     """Connection records with signal percentiles, steering count and mobility.
 
-    The three additions meet on the small per-station table first, so the
-    records themselves are joined once.
+    One pass counts the signal levels of every station; percentiles, steering
+    counts and the station list all come from those counts. The additions meet
+    on the small station table, so the records themselves are joined once.
     """
-    records = connection_records(history)
     station = ["date", "hour", "sn", "station_mac", "rowkey"]
     mac_hour = ["date", "hour", "station_mac"]
-    signal = records.groupBy(*mac_hour).agg(percentiles("rssi", (0.5, 0.9)).alias("_p"))
-    signal = signal.select(
-        *(F.col(k).alias(f"_s_{k}") for k in mac_hour),
-        F.get("_p", F.lit(0)).cast("int").alias("p50_rssi"),
-        F.get("_p", F.lit(1)).cast("int").alias("p90_rssi"),
+    flagged = connection_records(history, steering_success().alias("_success"))
+    counts = materialise(
+        value_counts(flagged, station, "rssi", son=F.count_if(F.col("_success"))), "signal-counts"
     )
+    signal = percentiles_of_counts(counts, mac_hour, "rssi", {"p50_rssi": 0.5, "p90_rssi": 0.9}).drop("top", "n")
+    signal = signal.withColumnsRenamed({k: f"_s_{k}" for k in mac_hour})
     same_mac = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in mac_hour))
+    steers = counts.groupBy("rowkey", "date", "hour").agg(F.nullif(F.sum("son"), F.lit(0)).alias("son"))
     stations = (
-        records.groupBy(*station).agg(F.count(F.lit(1)).alias("n"))
-        .join(signal, same_mac, "left").drop(*(f"_s_{k}" for k in mac_hour))
-        .join(steering_successes(history), ["rowkey", "date", "hour"], "left")
+        counts.groupBy(*station).agg(F.sum("n").alias("n"))
+        .join(signal, same_mac, "left").drop(*signal.columns[:3])
+        .join(steers, ["rowkey", "date", "hour"], "left")
         .join(mobility.select("sn", "station_mac", "mobility_status"), ["sn", "station_mac"], "left")
     )
-    return join_back(records, stations, station, **join_options)
+    return join_back(connection_records(history), stations, station, **join_options)
 
 
 def enrich_contract(records: DataFrame, **join_options) -> DataFrame:
     """Enrichment of already flat records: percentiles and mobility by station
     alone (p90 - p50 <= 5, no outlier rule), no steering."""
-    signal = records.groupBy("station_mac").agg(
-        percentiles("rssi", (0.5, 0.9)).alias("_p"), F.count(F.lit(1)).alias("n")
-    )
-    p50, p90 = (F.get("_p", F.lit(i)).cast("int") for i in range(2))
-    still = F.when(p90 - p50 <= 5, "Stationary").otherwise("Non-stationary")
-    stats = signal.select(
-        "station_mac", p90.alias("p90_rssi"), p50.alias("p50_rssi"), still.alias("mobility_status"), "n"
-    )
-    joined = join_back(records, stats, ["station_mac"], **join_options)
+    counts = value_counts(records, ["station_mac"], "rssi")
+    signal = percentiles_of_counts(counts, ["station_mac"], "rssi", {"p50_rssi": 0.5, "p90_rssi": 0.9})
+    still = F.when(F.col("p90_rssi") - F.col("p50_rssi") <= 5, "Stationary").otherwise("Non-stationary")
+    stats = signal.drop("top").withColumn("mobility_status", still)
+    joined = join_back(records, stats, ["station_mac"], how="left", **join_options)
+    joined = joined.fillna({"mobility_status": "Non-stationary"})
     return joined if "son" in joined.columns else joined.withColumn("son", F.lit(0))
 
 

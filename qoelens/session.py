@@ -17,9 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Percentile buffers are small; stay on the hash path for more groups
-    # before falling back to sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

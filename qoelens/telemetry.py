@@ -21,9 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a table that comes in fewer files than cores.
+
+    A test table is one file with one row group, so one task. A real table has
+    many files and is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain columns the nested records below are built from."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").selectExpr(
         "*",
         "concat('HM', lpad(cast(l_suppkey as string), 8, '0')) as sn",
         "concat('AC', lpad(cast((l_suppkey - l_suppkey % 2) * 6 + l_partkey % 12 as string), 10, '0')) as mac",
@@ -109,7 +119,7 @@ def device_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def owl_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Router event log: addresses, modem events, restarts, channel changes."""
     return (
-        table(spark, sf_dir, "events")
+        spread(table(spark, sf_dir, "events"), "event_id")
         .selectExpr(
             "*",
             "concat('HM', lpad(cast(user_id as string), 8, '0')) as sn",
