@@ -374,9 +374,9 @@ def label_roundtrip(spark, sf_dir):
     kpi = D.rssi_kpi(D.rssi_stations(_history(spark, sf_dir)))
     return kpi.select(
         "sn", "rssi_numeric",
-        bucketize(F.col("rssi_numeric"), KPI_CUTS).alias("kpi_label"),
-        bucketize(F.col("rssi_numeric"), PILLAR_CUTS).alias("pillar_label"),
-        label_to_score(F.col("RSSI_category")).alias("kpi_score"),
+        bucketize("rssi_numeric", KPI_CUTS).alias("kpi_label"),
+        bucketize("rssi_numeric", PILLAR_CUTS).alias("pillar_label"),
+        label_to_score("RSSI_category").alias("kpi_score"),
     )
 
 
@@ -426,7 +426,8 @@ def worst_of(spark, sf_dir):
     a = label(F.col("l_partkey") % 5, (0, "Poor"), (1, "Fair"), (2, "Good"), (3, "Excellent"))
     b = label(F.col("l_suppkey") % 5, (1, "Fair"), (2, "Good"), (3, "Excellent"))
     c = label(F.col("l_orderkey") % 4, (2, "Good"), (3, "Excellent"))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", worst_label(a, b, c).alias("worst"))
+    labels = rows.select("l_orderkey", "l_linenumber", "l_partkey", a.alias("a"), b.alias("b"), c.alias("c"))
+    return labels.withColumn("worst", worst_label("a", "b", "c")).drop("a", "b", "c")
 
 
 @query(
@@ -449,12 +450,12 @@ def station_vote(spark, sf_dir):
     records = connection_records(_history(spark, sf_dir))
     bands = ("5G", "6G")
     counts = [
-        F.count_if((F.col("band") == f"{b}I") & (bucketize(F.col("rssi"), DAILY_RSSI[b]) == lab)).alias(f"{lab}_{b}")
+        F.count_if((F.col("band") == f"{b}I") & (bucketize("rssi", DAILY_RSSI[b]) == lab)).alias(f"{lab}_{b}")
         for lab in LABELS for b in bands
     ]
     counted = records.groupBy("sn", "hour").agg(*counts)
     return counted.select(
-        "sn", "hour", vote({lab: [F.col(f"{lab}_{b}") for b in bands] for lab in LABELS}, 12).alias("category")
+        "sn", "hour", vote({lab: [f"{lab}_{b}" for b in bands] for lab in LABELS}, 12).alias("category")
     )
 
 

@@ -556,5 +556,5 @@ def record_labels(spark, sf_dir):
     records = H.connection_records(data.station_history(spark, sf_dir))
     label = F.lit("No Data")
     for band in P.BANDS:
-        label = F.when(P.band_family(F.col("band")) == band, bucketize(F.col("rssi"), DAILY_RSSI[band])).otherwise(label)
+        label = F.when(P.band_family(F.col("band")) == band, bucketize("rssi", DAILY_RSSI[band])).otherwise(label)
     return records.groupBy("band", "rssi", label.alias("label")).agg(F.count(F.lit(1)).alias("n"))

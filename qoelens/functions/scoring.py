@@ -1,15 +1,13 @@
-"""Column expressions shared by the scorers."""
+"""Column expressions shared by the scorers. Inputs are column names."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .profiles import LABELS, label_to_score, score_to_label
+from .profiles import LABELS, label_score_sql, score_label_sql
 
 
 def half_up(value: Column, digits: int) -> Column:
@@ -19,41 +17,38 @@ def half_up(value: Column, digits: int) -> Column:
 
 def weighted_mean(weights: Mapping[str, float]) -> Column:
     """Mean over the non-null columns, the weights renormalised; NULL if none."""
-    total = reduce(add, (F.coalesce(F.col(c).cast("double") * w, F.lit(0.0)) for c, w in weights.items()))
-    weight = reduce(add, (F.when(F.col(c).isNotNull(), F.lit(float(w))).otherwise(0.0) for c, w in weights.items()))
-    return F.try_divide(total, weight)
+    total = " + ".join(f"coalesce({c} * {float(w)}D, 0D)" for c, w in weights.items())
+    weight = " + ".join(f"if({c} IS NULL, 0D, {float(w)}D)" for c, w in weights.items())
+    return F.expr(f"try_divide({total}, {weight})")
 
 
-def mean_of_available(values: Iterable[Column]) -> Column:
-    values = list(values)
-    total = reduce(add, (F.coalesce(v.cast("double"), F.lit(0.0)) for v in values))
-    present = reduce(add, (v.isNotNull().cast("int") for v in values))
-    return F.try_divide(total, present)
+def mean_of_available(columns: Iterable[str]) -> Column:
+    columns = list(columns)
+    total = " + ".join(f"coalesce(double({c}), 0D)" for c in columns)
+    present = " + ".join(f"int({c} IS NOT NULL)" for c in columns)
+    return F.expr(f"try_divide({total}, {present})")
 
 
-def worst_label(*labels: Column) -> Column:
+def worst_label(*labels: str) -> Column:
     """Worst of several labels; NULLs do not count, all NULL gives NULL."""
-    return score_to_label(F.least(*(label_to_score(c) for c in labels)))
+    worst = ", ".join(label_score_sql(c) for c in labels)
+    return F.expr(score_label_sql(f"least({worst})"))
 
 
-def least_available(values: Iterable[Column]) -> Column:
+def least_available(columns: Iterable[str]) -> Column:
     """Smallest non-null value (Spark's ``least`` skips NULLs)."""
-    values = list(values)
-    return values[0] if len(values) == 1 else F.least(*values)
+    columns = list(columns)
+    return F.col(columns[0]) if len(columns) == 1 else F.least(*columns)
 
 
-def vote(counts: Mapping[str, Iterable[Column]], minimum: int) -> Column:
+def vote(counts: Mapping[str, Iterable[str]], minimum: int) -> Column:
     """First label, worst first, that some band saw ``minimum`` times."""
-    chain = None
-    for label in LABELS:
-        enough = F.greatest(*counts[label]) >= minimum
-        chain = F.when(enough, label) if chain is None else chain.when(enough, label)
-    return chain.otherwise("No Data")
+    branches = " ".join(f"WHEN greatest({', '.join(counts[label])}) >= {minimum} THEN '{label}'" for label in LABELS)
+    return F.expr(f"CASE {branches} ELSE 'No Data' END")
 
 
-def log_volume(sent: Column, received: Column) -> Column:
-    total = sent + received
-    return F.when(total > 0, F.ln(total))
+def log_volume(sent: str, received: str) -> Column:
+    return F.expr(f"CASE WHEN {sent} + {received} > 0 THEN ln({sent} + {received}) END")
 
 
 def text_or_na(value: Column) -> Column:

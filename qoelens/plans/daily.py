@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing as P
 from ..functions import profiles as R
-from ..functions.profiles import LABELS, bucketize, label_to_score
+from ..functions.profiles import LABELS, bucket_sql, bucketize, label_to_score
 from ..functions.scoring import half_up, log_volume, vote, weighted_mean, worst_label
 from ..operators.ordered import CHANGED, count_steps, dropped_by_more_than
 from ..operators.ranking import top_ties
@@ -98,14 +98,14 @@ def lookback(daily: DataFrame, day: str, days: int, counters: Mapping[str, str],
 def ip_change_kpi(daily: DataFrame, day: str) -> DataFrame:
     """Ten days ending the day before."""
     return lookback(daily, day, IP_DAYS, {"no_ip_changes": "no_ip_changes"}, ends_before=1).withColumn(
-        "ip_change_category", bucketize(F.col("no_ip_changes"), R.IP_CHANGES)
+        "ip_change_category", bucketize("no_ip_changes", R.IP_CHANGES)
     )
 
 
 def airtime_kpi(daily: DataFrame, day: str) -> DataFrame:
     """Seven days including the day."""
     return lookback(daily, day, AIRTIME_DAYS, {"no_poor_airtime": "no_poor_airtime"}).withColumn(
-        "Airtime_Utilization_Category", bucketize(F.col("no_poor_airtime"), R.POOR_AIRTIME)
+        "Airtime_Utilization_Category", bucketize("no_poor_airtime", R.POOR_AIRTIME)
     )
 
 
@@ -118,9 +118,9 @@ def restart_kpi(daily: DataFrame, day: str) -> DataFrame:
     }
     return lookback(daily, day, RESTART_DAYS, counters).withColumns(
         {
-            "reboot_category": bucketize(F.col("total_reboots_count"), R.REBOOTS),
-            "modem_reset_category": bucketize(F.col("mdm_resets_count"), R.REBOOTS),
-            "customer_reboot_category": bucketize(F.col("user_reboot_count"), R.USER_REBOOTS),
+            "reboot_category": bucketize("total_reboots_count", R.REBOOTS),
+            "modem_reset_category": bucketize("mdm_resets_count", R.REBOOTS),
+            "customer_reboot_category": bucketize("user_reboot_count", R.USER_REBOOTS),
         }
     )
 
@@ -157,8 +157,8 @@ def steering_kpi(history: DataFrame) -> DataFrame:
         .withColumn("steer_start_perHome_count", F.try_divide("steer_start_count", "distinct_rowkey_count"))
         .withColumns(
             {
-                "steer_start_category": bucketize(F.col("steer_start_count"), R.STEER_START),
-                "steer_start_perHome_category": bucketize(F.col("steer_start_perHome_count"), R.STEER_PER_STATION),
+                "steer_start_category": bucketize("steer_start_count", R.STEER_START),
+                "steer_start_perHome_category": bucketize("steer_start_perHome_count", R.STEER_PER_STATION),
             }
         )
     )
@@ -173,26 +173,24 @@ def _station_levels(history: DataFrame, value: Column, profiles: Mapping[str, R.
         F.col(f"{c}.diff_bs").alias("sent"), F.col(f"{c}.diff_br").alias("received"),
     )
     records = records.where(F.col("band").isin(*P.BANDS)) if only_bands else records.where(F.col("value").isNotNull())
-    level = F.lit("No Data")
-    for band in P.BANDS:
-        level = F.when(F.col("band") == band, bucketize(F.col("value"), profiles[band])).otherwise(level)
-    records = records.withColumn("level", level)
+    by_band = " ".join(f"WHEN '{b}' THEN {bucket_sql('value', profiles[b])}" for b in P.BANDS)
+    records = records.withColumn("level", F.expr(f"CASE band {by_band} ELSE 'No Data' END"))
     return (
         records.groupBy("sn", "rowkey")
         .agg(
             F.count(F.lit(1)).alias("total_count"),
             *(
-                F.count_if((F.col("band") == band) & (F.col("level") == label)).alias(_counter(label, band))
+                F.expr(f"count_if(band = '{band}' AND level = '{label}') AS {_counter(label, band)}")
                 for label in LABELS for band in P.BANDS
             ),
             F.sum("sent").alias("byte_send"),
             F.sum("received").alias("byte_received"),
         )
         .withColumn(
-            "category", vote({label: [F.col(_counter(label, b)) for b in P.BANDS] for label in LABELS}, VOTE_MINIMUM)
+            "category", vote({label: [_counter(label, b) for b in P.BANDS] for label in LABELS}, VOTE_MINIMUM)
         )
-        .withColumn("score", label_to_score(F.col("category")))
-        .withColumn("volume", log_volume(F.col("byte_send"), F.col("byte_received")))
+        .withColumn("score", label_to_score("category"))
+        .withColumn("volume", log_volume("byte_send", "byte_received"))
     )
 
 
@@ -222,13 +220,13 @@ def volume_weighted(stations: DataFrame, out: str) -> DataFrame:
 
 def rssi_kpi(stations: DataFrame) -> DataFrame:
     return volume_weighted(stations, "rssi_numeric").withColumn(
-        "RSSI_category", bucketize(F.col("rssi_numeric"), R.KPI_CUTS)
+        "RSSI_category", bucketize("rssi_numeric", R.KPI_CUTS)
     )
 
 
 def phyrate_kpi(stations: DataFrame) -> DataFrame:
     return volume_weighted(stations, "phyrate_numeric").withColumn(
-        "phyrate_category", bucketize(F.col("phyrate_numeric"), R.KPI_CUTS)
+        "phyrate_category", bucketize("phyrate_numeric", R.KPI_CUTS)
     )
 
 
@@ -288,7 +286,7 @@ def sudden_drops(history: DataFrame) -> DataFrame:
         present, ["sn"], ["second"], "station_cnt", dropped_by_more_than(STATION_DROP), out="no_sudden_drop"
     )
     return drops.where(F.col("no_sudden_drop") > 0).withColumn(
-        "sudden_drop_category", bucketize(F.col("no_sudden_drop"), R.SUDDEN_DROPS)
+        "sudden_drop_category", bucketize("no_sudden_drop", R.SUDDEN_DROPS)
     )
 
 
@@ -326,17 +324,17 @@ def home_kpis(kpis: Sequence[DataFrame], day: str) -> DataFrame:
 def score_homes(kpis: DataFrame, pillar_cuts: R.Profile = R.PILLAR_CUTS) -> DataFrame:
     """Numeric labels, the three pillars and the overall, worst-of label."""
     labels = [*RELIABILITY, *SPEED, "RSSI_category"]
-    numeric = kpis.withColumns({f"{c}_numeric": label_to_score(F.col(c)) for c in labels})
+    numeric = kpis.withColumns({f"{c}_numeric": label_to_score(c) for c in labels})
     pillars = {
         "numerical_reliabilityScore": half_up(weighted_mean({f"{c}_numeric": 0.142 for c in RELIABILITY}), 2),
         "numerical_speedScore": half_up(weighted_mean({f"{c}_numeric": 0.5 for c in SPEED}), 2),
         "numerical_coverageScore": F.col("rssi_numeric"),
     }
     scored = numeric.withColumns(pillars).withColumns(
-        {c.removeprefix("numerical_"): bucketize(F.col(c), pillar_cuts) for c in pillars}
+        {c.removeprefix("numerical_"): bucketize(c, pillar_cuts) for c in pillars}
     )
     return scored.withColumn(
-        "wifi_score", worst_label(F.col("reliabilityScore"), F.col("speedScore"), F.col("coverageScore"))
+        "wifi_score", worst_label("reliabilityScore", "speedScore", "coverageScore")
     )
 
 

@@ -121,8 +121,8 @@ def reboot_aware_ip(ip_totals: DataFrame, reboots: DataFrame) -> DataFrame:
     """IP-change label with the wider limits where the home also rebooted."""
     joined = ip_totals.join(reboots.select("sn", "total_reboots_count"), "sn", "left")
     rebooted = F.coalesce(F.col("total_reboots_count"), F.lit(0)) > 0
-    label = F.when(rebooted, bucketize(F.col("no_ip_changes"), IP_CHANGES_WITH_REBOOT)).otherwise(
-        bucketize(F.col("no_ip_changes"), IP_CHANGES)
+    label = F.when(rebooted, bucketize("no_ip_changes", IP_CHANGES_WITH_REBOOT)).otherwise(
+        bucketize("no_ip_changes", IP_CHANGES)
     )
     return joined.select("sn", "no_ip_changes", rebooted.alias("rebooted"), label.alias("ip_change_category"))
 

@@ -35,37 +35,37 @@ SNR_RANGE, STEERS, RATE_RANGE_24, RATE_RANGE_5 = 13, 6, 30, 300
 # ---------------------------------------------------------------- enrichment
 
 
-def connection_records(history: DataFrame, *extra: Column) -> DataFrame:
+def connection_records(history: DataFrame, *extra: str) -> DataFrame:
     """Nested station reports as one flat, numeric row each."""
-    c = "Station_Data_connect_data"
-    return history.select(
-        P.serial(F.col("rowkey"), P.ROUTER_UPPER).alias("sn"),
+    return history.selectExpr(
+        f"regexp_extract(rowkey, '{P.ROUTER_UPPER}', 1) AS sn",
         "rowkey",
-        F.col(f"{c}.station_mac"),
-        F.col(f"{c}.station_name"),
-        F.col(f"{c}.connect_type").alias("band"),
-        F.col(f"{c}.signal_strength").alias("rssi"),
-        F.col(f"{c}.snr"),
-        P.rate_mbps(F.col(f"{c}.link_rate")).cast("int").alias("phy_rate"),
-        P.rate_mbps(F.col(f"{c}.tx_link_rate")).cast("int").alias("tx_phy_rate"),
-        F.col(f"{c}.mode"),
-        F.col("Tplg_Data_model_name").alias("model"),
-        P.day_of(F.col("ts"), "HH").alias("hour"),
-        P.day_of(F.col("ts")).alias("date"),
+        "Station_Data_connect_data.station_mac",
+        "Station_Data_connect_data.station_name",
+        "Station_Data_connect_data.connect_type AS band",
+        "Station_Data_connect_data.signal_strength AS rssi",
+        "Station_Data_connect_data.snr",
+        "int(try_cast(replace(Station_Data_connect_data.link_rate, 'Mbps') AS double)) AS phy_rate",
+        "int(try_cast(replace(Station_Data_connect_data.tx_link_rate, 'Mbps') AS double)) AS tx_phy_rate",
+        "Station_Data_connect_data.mode",
+        "Tplg_Data_model_name AS model",
+        "date_format(timestamp_millis(ts), 'HH') AS hour",
+        "date_format(timestamp_millis(ts), 'yyyyMMdd') AS date",
         *extra,
     )
 
 
-def steering_success() -> Column:
-    """A steering record whose band action is ``1``."""
-    steered = F.col("Diag_Result_band_steer.sta_type").isNotNull() | F.col("Diag_Result_ap_steer.sta_type").isNotNull()
-    return steered & (F.col("Diag_Result_band_steer.action") == "1")
+#: A steering record whose band action is ``1``.
+STEERING_SUCCESS = (
+    "(Diag_Result_band_steer.sta_type IS NOT NULL OR Diag_Result_ap_steer.sta_type IS NOT NULL) "
+    "AND Diag_Result_band_steer.action = '1'"
+)
 
 
 def steering_successes(history: DataFrame) -> DataFrame:
     """Steering successes per row key and hour; only keys that have any."""
     hours = [P.day_of(F.col("ts")).alias("date"), P.day_of(F.col("ts"), "HH").alias("hour")]
-    return history.where(steering_success()).groupBy("rowkey", *hours).agg(F.count(F.lit(1)).alias("son"))
+    return history.where(STEERING_SUCCESS).groupBy("rowkey", *hours).agg(F.count(F.lit(1)).alias("son"))
 
 
 def enrich(history: DataFrame, mobility: DataFrame, **join_options) -> DataFrame:
@@ -77,7 +77,7 @@ def enrich(history: DataFrame, mobility: DataFrame, **join_options) -> DataFrame
     """
     station = ["date", "hour", "sn", "station_mac", "rowkey"]
     mac_hour = ["date", "hour", "station_mac"]
-    flagged = connection_records(history, steering_success().alias("_success"))
+    flagged = connection_records(history, f"{STEERING_SUCCESS} AS _success")
     counts = materialise(
         value_counts(flagged, station, "rssi", son=F.count_if(F.col("_success"))), "signal-counts"
     )
@@ -121,14 +121,14 @@ def _suffix(band: str) -> str:
     return band.lower()
 
 
-def rate_score(rate: Column, mode: Column, rules: R.Profile, legacy_caps: bool) -> Column:
-    score = bucketize(rate, rules)
+def rate_score(rate: str, mode: str, rules: R.Profile, legacy_caps: bool) -> Column:
+    """Rate bands; an old radio at or below its mode's cap counts as excellent."""
     if not legacy_caps:
-        return score
-    capped = F.lit(False)
-    for (low, high), cap in R.LEGACY_MODE_CAPS:
-        capped = capped | (mode.between(low, high) & (rate <= cap))
-    return F.when(capped, F.lit(4)).otherwise(score)
+        return bucketize(rate, rules)
+    capped = " OR ".join(
+        f"({mode} BETWEEN {low} AND {high} AND {rate} <= {cap})" for (low, high), cap in R.LEGACY_MODE_CAPS
+    )
+    return F.expr(f"CASE WHEN {capped} THEN 4 ELSE {R.bucket_sql(rate, rules)} END")
 
 
 def _value_range(value: str) -> Column:
@@ -169,9 +169,9 @@ def station_score(
     rssi = {b: f"rssi_score_{_suffix(b)}" for b in bands}
     phy = {b: f"phy_rate_score_{_suffix(b)}" for b in bands}
     legacy = profile == "station_hour_mode"
-    scores = {rssi[b]: bucketize(F.col(f"p90_rssi_{_suffix(b)}"), R.STATION_HOUR_RSSI[b]) for b in bands}
+    scores = {rssi[b]: bucketize(f"p90_rssi_{_suffix(b)}", R.STATION_HOUR_RSSI[b]) for b in bands}
     scores |= {
-        phy[b]: rate_score(F.col(f"p90_phy_rate_{_suffix(b)}"), F.col("mode"), rate_rules[b], legacy) for b in bands
+        phy[b]: rate_score(f"p90_phy_rate_{_suffix(b)}", "mode", rate_rules[b], legacy) for b in bands
     }
     unstable = (
         (F.col("snr_range") > SNR_RANGE)
@@ -181,16 +181,16 @@ def station_score(
     )
     scored = (
         flat.withColumns(scores)
-        .withColumn("final_rssi_score", least_available(F.col(c) for c in rssi.values()))
-        .withColumn("final_phy_rate_score", least_available(F.col(c) for c in phy.values()))
+        .withColumn("final_rssi_score", least_available(rssi.values()))
+        .withColumn("final_phy_rate_score", least_available(phy.values()))
         .where(F.col("final_rssi_score").isNotNull() | F.col("final_phy_rate_score").isNotNull())
         .withColumn("base_score", F.least("final_rssi_score", "final_phy_rate_score"))
         .withColumn("variation_score", F.when(unstable, 1).otherwise(0))
-        .withColumn("station_score_num", bucketize(F.col("base_score") - F.col("variation_score"), R.STATION_FINAL))
-        .withColumn("station_score", R.score_to_label(F.col("station_score_num")))
+        .withColumn("station_score_num", bucketize("base_score - variation_score", R.STATION_FINAL))
+        .withColumn("station_score", R.score_to_label("station_score_num"))
     )
-    silent = _any_equal(scored, [c for c in levels if "rssi" in c], -100)
-    stalled = _any_equal(scored, [c for c in levels if "phy" in c], 0)
+    silent = _any_equal([c for c in levels if "rssi" in c], -100)
+    stalled = _any_equal([c for c in levels if "phy" in c], 0)
     return scored.where(~(silent & stalled)).select(
         "sn", "station_mac", "station_name", "model", "mobility_status", "date", "hour",
         *(F.col(c).alias(f"{c}_base") for c in (*levels, *rssi.values(), *phy.values())),
@@ -203,8 +203,8 @@ def station_score(
     )
 
 
-def _any_equal(df: DataFrame, columns: Sequence[str], value: float) -> Column:
-    return reduce(Column.__or__, (F.coalesce(df[c] == value, F.lit(False)) for c in columns))
+def _any_equal(columns: Sequence[str], value: float) -> Column:
+    return F.expr(" OR ".join(f"coalesce({c} = {value}, false)" for c in columns))
 
 
 # ---------------------------------------------------------------- home score
@@ -265,16 +265,16 @@ def with_station_pillars(
     bands = list(speed_rules)
     out = features.withColumns(
         {
-            f"phy_rate_score_{_suffix(b)}_speed": bucketize(F.col(f"p90_phy_rate_{_suffix(b)}_speed"), speed_rules[b])
+            f"phy_rate_score_{_suffix(b)}_speed": bucketize(f"p90_phy_rate_{_suffix(b)}_speed", speed_rules[b])
             for b in bands
         }
-        | {f"rssi_score_{_suffix(b)}": bucketize(F.col(f"p90_rssi_{_suffix(b)}"), R.PILLAR_COVERAGE[b]) for b in bands}
+        | {f"rssi_score_{_suffix(b)}": bucketize(f"p90_rssi_{_suffix(b)}", R.PILLAR_COVERAGE[b]) for b in bands}
     )
     covered = [b for b in bands if include_6g or b != "6G"]
     return out.withColumns(
         {
-            "station_speed": mean_of_available(F.col(f"phy_rate_score_{_suffix(b)}_speed") for b in bands),
-            "station_coverage": mean_of_available(F.col(f"rssi_score_{_suffix(b)}") for b in covered),
+            "station_speed": mean_of_available(f"phy_rate_score_{_suffix(b)}_speed" for b in bands),
+            "station_coverage": mean_of_available(f"rssi_score_{_suffix(b)}" for b in covered),
             "speed_variation_score": F.when(F.col("snr_range_variation") > SNR_RANGE, 1).otherwise(0),
         }
     )
@@ -296,7 +296,7 @@ def reliability(groups: DataFrame) -> DataFrame:
         .where(F.col("util").between(0, 100))
         .groupBy(*HOME)
         .agg(F.get(percentiles("util", (0.9,)), F.lit(0)).alias("p90_airtime_util_2_4g"))
-        .withColumn("reliability_score_num", bucketize(F.col("p90_airtime_util_2_4g"), R.PILLAR_AIRTIME))
+        .withColumn("reliability_score_num", bucketize("p90_airtime_util_2_4g", R.PILLAR_AIRTIME))
     )
 
 
@@ -352,8 +352,8 @@ def home_score(
             "_mean", combine_pillars(F.col("speed_score_num"), F.col("coverage_score_num"), F.col("reliability_score_num"))
         )
         .withColumn("wifi_score_num_unrounded", half_up(F.col("_mean"), 2))
-        .withColumn("wifi_score_num", bucketize(F.col("_mean"), R.PILLAR_FINAL))
-        .withColumn("wifi_score_category", R.score_to_label(F.col("wifi_score_num")))
+        .withColumn("wifi_score_num", bucketize("_mean", R.PILLAR_FINAL))
+        .withColumn("wifi_score_category", R.score_to_label("wifi_score_num"))
     )
     bands = [c.removeprefix("p90_rssi_") for c in stations.columns if c.startswith("p90_rssi_")]
     return joined.select(

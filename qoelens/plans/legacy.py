@@ -72,7 +72,7 @@ def device_features(records: DataFrame) -> DataFrame:
         grouped.where((F.col("_n") >= MIN_RECORDS) & (F.col("_usable") > 0))
         .withColumn("poor_rssi", F.col("_weak") / F.col("_n") * 100)
         .withColumn("poor_phyrate", F.col("_poor") / F.col("_usable") * 100)
-        .withColumn("volume", log_volume(F.col("byte_send"), F.col("byte_received")))
+        .withColumn("volume", log_volume("byte_send", "byte_received"))
         .join(fixed, DEVICE)
         .withColumn("weight", F.when(slow, F.col("volume") * F.col("avg_phyrate") / SLOW_RATE).otherwise(F.col("volume")))
         .withColumn("device_score", (100 - F.col("poor_rssi")) * 0.5 + (100 - F.col("poor_phyrate")) * 0.5)
