@@ -29,7 +29,7 @@ SEPARATOR = "\n\n---\n\n"
 K1, B = 1.5, 0.75
 
 #: Questions scored in one pass over the documents.
-QUESTION_BLOCK = 512
+QUESTION_BLOCK = 256
 #: Decimals kept before ranking, so equal scores tie on every machine.
 DIGITS = 6
 WORD_BREAK = r"[^\p{L}\p{N}]+"
@@ -157,15 +157,16 @@ def bm25_topk(docs: DataFrame, questions: DataFrame, k: int = TOP_K, k1: float =
                         term[i, at] = n * (k1 + 1) / (n + norm)
             return batch["id"].to_numpy(), term @ weights
 
-        best = _local_best(_in_slices(bm25), [r["query_id"] for r in block], k, positive=True)
+        best = _local_best(_in_slices(bm25, len(vocabulary)), [r["query_id"] for r in block], k, positive=True)
         parts.append(tokens.mapInPandas(best, HITS))
     if not parts:
         return docs.sparkSession.createDataFrame([], HITS + ", rank int")
     return _global_best(parts, k)
 
 
-def _in_slices(score, rows: int = 1024):
+def _in_slices(score, width: int, cells: int = 8_000_000):
     """Score a large Arrow batch in slices, bounding the dense term matrix."""
+    rows = max(1, cells // width)
 
     def run(batch: pd.DataFrame):
         done = [score(batch.iloc[i : i + rows]) for i in range(0, len(batch), rows)]
