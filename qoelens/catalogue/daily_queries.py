@@ -113,7 +113,7 @@ def restart_kpi(spark, sf_dir):
 
 @query("steering", f"WITH {S.REC}, {_STEER_KPI} SELECT * FROM steer_kpi")
 def steering(spark, sf_dir):
-    return D.steering_kpi(_history(spark, sf_dir))
+    return D.steering_kpi(D.station_day(_history(spark, sf_dir)))
 
 
 @query(

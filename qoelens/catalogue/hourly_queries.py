@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import telemetry as data
+from ..operators.skew import materialise
 from ..operators.stationarity import drop_low_outliers, mobility, stationarity
 from ..plans import hourly as H
 from . import sql as S
@@ -337,7 +338,7 @@ def _pillar_stations(spark, sf_dir):
     FROM cv_home LEFT JOIN sp_home USING (sn, date, hour)""",
 )
 def heavy_hitter_blend(spark, sf_dir):
-    blends = H.home_blends(_pillar_stations(spark, sf_dir))
+    blends = H.home_blends(materialise(_pillar_stations(spark, sf_dir), "stations"))
     return blends.withColumnsRenamed(
         {"home_weighted_avg_base_score_speed": "speed", "home_weighted_avg_base_score_coverage": "coverage"}
     )

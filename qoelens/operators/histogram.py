@@ -22,17 +22,19 @@ def value_counts(rows: DataFrame, keys: Sequence[str], value: str, **extra: Colu
 
 
 def percentiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], n: str = "n"
+    counts: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], n: str = "n",
+    sums: Sequence[str] = (),
 ) -> DataFrame:
     """Per key: for each name the smallest value that at least that share of the
     non-null rows does not exceed, the largest value ``top`` and the rows ``n``.
 
-    ``counts`` may hold a (keys, value) pair more than once.
+    ``counts`` may hold a (keys, value) pair more than once. Further count
+    columns named in ``sums`` are added up along the way.
     """
     series = Window.partitionBy(*keys)
     upto = series.orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counts.where(F.col(value).isNotNull()).select(
-        *keys, value, F.col(n).alias("_n"), F.sum(n).over(upto).alias("_upto"), F.sum(n).over(series).alias("_all")
+        *keys, value, *sums, F.col(n).alias("_n"), F.sum(n).over(upto).alias("_upto"), F.sum(n).over(series).alias("_all")
     )
     return ranked.groupBy(*keys).agg(
         *(
@@ -41,4 +43,5 @@ def percentiles_of_counts(
         ),
         F.max(value).alias("top"),
         F.sum("_n").alias("n"),
+        *(F.sum(c).alias(c) for c in sums),
     )

@@ -33,8 +33,12 @@ def signal_bounds(rows: DataFrame, keys: Sequence[str], signal: str, method: str
             F.count(F.lit(1)).alias("n"),
         )
         levels = sketch.withColumns({name: F.get("_p", F.lit(i)) for i, name in enumerate(POINTS)}).drop("_p")
-    p10, p90 = F.col("p10"), F.col("p90")
-    return levels.withColumn("bound", F.least(p10 - 2 * (p90 - p10), F.col("p3")).cast("double"))
+    return with_bound(levels)
+
+
+def with_bound(levels: DataFrame) -> DataFrame:
+    """The outlier rule on a table of percentiles."""
+    return levels.withColumn("bound", F.expr("double(least(p10 - 2 * (p90 - p10), p3))"))
 
 
 def drop_low_outliers(rows: DataFrame, keys: Sequence[str], signal: str, method: str = "exact") -> DataFrame:
@@ -55,11 +59,13 @@ def stationarity(
     A constant signal never does; ``keep_constant`` keeps it as stationary.
     """
     bounds = signal_bounds(rows, keys, signal, method)
-    survives = F.col("top") > F.col("bound")
-    if keep_constant:
-        survives = survives | (F.col("top") == F.col("p3"))
-    flag = F.when(F.col("p90") - F.col("p50") <= spread, "1").otherwise("0")
-    return bounds.where(survives).select(*keys, flag.alias("stationarity"), "n")
+    return judge(bounds, spread, keep_constant).select(*keys, "stationarity", "n")
+
+
+def judge(bounds: DataFrame, spread: float = STATIONARY_SPREAD, keep_constant: bool = False) -> DataFrame:
+    """Keys with a surviving record, flagged."""
+    survives = "top > bound" + (" OR top = p3" if keep_constant else "")
+    return bounds.where(survives).withColumn("stationarity", F.expr(f"if(p90 - p50 <= {spread}, '1', '0')"))
 
 
 def mobility(rows: DataFrame, keys: Sequence[str], signal: str, **kw) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.scoring import half_up, log_volume, vote, weighted_mean, worst_
 from ..operators.ordered import CHANGED, count_steps, dropped_by_more_than
 from ..operators.ranking import top_ties
 from ..operators.shape import exclude_keys, fill, merge_features
-from ..operators.skew import keep_members, share_of_total
+from ..operators.skew import keep_members, materialise, share_of_total
 from ..operators.stationarity import stationarity
 
 # Look-back lengths in days, limits and code lists.
@@ -125,36 +125,81 @@ def restart_kpi(daily: DataFrame, day: str) -> DataFrame:
     )
 
 
-def steering_kpi(history: DataFrame) -> DataFrame:
-    """Steering starts per home and per station of the home.
+def station_day(history: DataFrame) -> DataFrame:
+    """Everything the signal, rate and steering KPIs need per station, from one
+    pass over the day.
 
-    One pass: per (home, station) counters, then per home. Homes without any
-    steering record of a station have no row.
+    Records are first counted per (station, band, signal level, rate level):
+    at most 75 rows of a station leave a task, and a hot station is spread over
+    its levels. The second aggregation only sees those counts.
     """
-    def counts(kind: str, name: str) -> list[Column]:
-        station = F.col(f"Diag_Result_{kind}_steer.sta_type") == STEER_STATION
-        start = station & (F.col(f"Diag_Result_{kind}_steer.action") == STEER_START)
-        return [F.count_if(station).alias(f"_{name}_seen"), F.count_if(start).alias(f"_{name}")]
-
-    stations = (
-        history.withColumn("sn", P.serial(F.col("rowkey")))
-        .groupBy("sn", "rowkey")
-        .agg(*counts("band", "band"), *counts("ap", "ap"))
+    c = "Station_Data_connect_data"
+    band = (
+        f"CASE WHEN {c}.connect_type LIKE '2.4G%' THEN '2_4G' WHEN {c}.connect_type LIKE '5G%' THEN '5G' "
+        f"WHEN {c}.connect_type LIKE '6G%' THEN '6G' ELSE {c}.connect_type END"
+    )
+    records = history.selectExpr(
+        f"regexp_extract(rowkey, r'{P.ROUTER_OF_STATION}', 1) AS sn", "rowkey", f"{band} AS band",
+        f"{c}.signal_strength AS signal", f"try_cast(replace({c}.tx_link_rate, 'Mbps') AS double) AS rate",
+        f"{c}.diff_bs AS sent", f"{c}.diff_br AS received",
+        *(f"Diag_Result_{kind}_steer.sta_type = '{STEER_STATION}' AS {kind}_seen" for kind in ("band", "ap")),
+        *(f"Diag_Result_{kind}_steer.action = '{STEER_START}' AS {kind}_start" for kind in ("band", "ap")),
+    )
+    levelled = records.withColumns(
+        {
+            "rssi_level": F.expr(f"CASE WHEN signal IS NOT NULL THEN {_level_sql('signal', R.DAILY_RSSI)} END"),
+            "phyrate_level": F.expr(f"CASE WHEN band IN {P.BANDS} THEN {_level_sql('rate', R.DAILY_PHY)} END"),
+        }
+    )
+    counted = levelled.groupBy("sn", "rowkey", "band", "rssi_level", "phyrate_level").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("sent").alias("sent"),
+        F.sum("received").alias("received"),
+        *(F.expr(f"count_if({kind}_seen) AS {kind}_seen") for kind in ("band", "ap")),
+        *(F.expr(f"count_if({kind}_seen AND {kind}_start) AS {kind}_start") for kind in ("band", "ap")),
     )
+    return counted.groupBy("sn", "rowkey").agg(
+        *(F.expr(text) for kind in ("rssi", "phyrate") for text in _level_sums(kind)),
+        *(F.sum(f"{kind}_{what}").alias(f"{kind}_{what}") for kind in ("band", "ap") for what in ("seen", "start")),
+    )
+
+
+def _level_sql(value: str, profiles: Mapping[str, R.Profile]) -> str:
+    by_band = " ".join(f"WHEN '{b}' THEN {bucket_sql(value, profiles[b])}" for b in P.BANDS)
+    return f"CASE band {by_band} ELSE 'No Data' END"
+
+
+def _level_sums(kind: str) -> list[str]:
+    level = f"{kind}_level"
+    sums = [f"sum(if({level} IS NOT NULL, n, 0)) AS {kind}_total_count"]
+    sums += [
+        f"sum(if(band = '{b}' AND {level} = '{label}', n, 0)) AS {kind}_{_counter(label, b)}"
+        for label in LABELS for b in P.BANDS
+    ]
+    return sums + [f"sum(if({level} IS NOT NULL, {x}, NULL)) AS {kind}_byte_{name}" for x, name in (("sent", "send"), ("received", "received"))]
+
+
+def _counter(label: str, band: str) -> str:
+    return f"{label.lower()}_count_{band}Hz"
+
+
+def steering_kpi(stations: DataFrame) -> DataFrame:
+    """Steering starts per home and per station of the home, from the
+    station-day table. Homes without any steering record have no row."""
     homes = stations.groupBy("sn").agg(
         F.count("rowkey").alias("distinct_rowkey_count"),
-        *(F.sum(c).alias(c) for c in ("_band_seen", "_band", "_ap_seen", "_ap")),
+        *(F.sum(c).alias(c) for c in ("band_seen", "band_start", "ap_seen", "ap_start")),
     )
     return (
-        homes.where((F.col("_band_seen") > 0) | (F.col("_ap_seen") > 0))
-        .select(
+        homes.where("band_seen > 0 OR ap_seen > 0")
+        .selectExpr(
             "sn",
-            F.when(F.col("_band_seen") > 0, F.col("_band")).alias("band_success_count"),
-            F.when(F.col("_ap_seen") > 0, F.col("_ap")).alias("ap_success_count"),
-            (F.col("_band") + F.col("_ap")).alias("steer_start_count"),
+            "if(band_seen > 0, band_start, NULL) AS band_success_count",
+            "if(ap_seen > 0, ap_start, NULL) AS ap_success_count",
+            "band_start + ap_start AS steer_start_count",
             "distinct_rowkey_count",
+            "(band_start + ap_start) / distinct_rowkey_count AS steer_start_perHome_count",
         )
-        .withColumn("steer_start_perHome_count", F.try_divide("steer_start_count", "distinct_rowkey_count"))
         .withColumns(
             {
                 "steer_start_category": bucketize("steer_start_count", R.STEER_START),
@@ -164,48 +209,25 @@ def steering_kpi(history: DataFrame) -> DataFrame:
     )
 
 
-def _station_levels(history: DataFrame, value: Column, profiles: Mapping[str, R.Profile], only_bands: bool) -> DataFrame:
-    """Per station: label counts by band, record count, bytes and log volume."""
-    c = "Station_Data_connect_data"
-    records = history.select(
-        P.serial(F.col("rowkey")).alias("sn"), "rowkey",
-        P.band_family(F.col(f"{c}.connect_type")).alias("band"), value.alias("value"),
-        F.col(f"{c}.diff_bs").alias("sent"), F.col(f"{c}.diff_br").alias("received"),
-    )
-    records = records.where(F.col("band").isin(*P.BANDS)) if only_bands else records.where(F.col("value").isNotNull())
-    by_band = " ".join(f"WHEN '{b}' THEN {bucket_sql('value', profiles[b])}" for b in P.BANDS)
-    records = records.withColumn("level", F.expr(f"CASE band {by_band} ELSE 'No Data' END"))
+def station_levels(stations: DataFrame, kind: str) -> DataFrame:
+    """Label counts, vote, score and log volume of one kind (``rssi`` or
+    ``phyrate``) from the station-day table."""
+    columns = ["total_count", *(_counter(label, b) for label in LABELS for b in P.BANDS), "byte_send", "byte_received"]
     return (
-        records.groupBy("sn", "rowkey")
-        .agg(
-            F.count(F.lit(1)).alias("total_count"),
-            *(
-                F.expr(f"count_if(band = '{band}' AND level = '{label}') AS {_counter(label, band)}")
-                for label in LABELS for band in P.BANDS
-            ),
-            F.sum("sent").alias("byte_send"),
-            F.sum("received").alias("byte_received"),
-        )
-        .withColumn(
-            "category", vote({label: [_counter(label, b) for b in P.BANDS] for label in LABELS}, VOTE_MINIMUM)
-        )
+        stations.where(f"{kind}_total_count > 0")
+        .select("sn", "rowkey", *(F.col(f"{kind}_{c}").alias(c) for c in columns))
+        .withColumn("category", vote({label: [_counter(label, b) for b in P.BANDS] for label in LABELS}, VOTE_MINIMUM))
         .withColumn("score", label_to_score("category"))
         .withColumn("volume", log_volume("byte_send", "byte_received"))
     )
 
 
-def _counter(label: str, band: str) -> str:
-    return f"{label.lower()}_count_{band}Hz"
-
-
 def rssi_stations(history: DataFrame) -> DataFrame:
-    signal = F.col("Station_Data_connect_data.signal_strength")
-    return _station_levels(history, signal, R.DAILY_RSSI, only_bands=False)
+    return station_levels(station_day(history), "rssi")
 
 
 def phyrate_stations(history: DataFrame) -> DataFrame:
-    rate = P.rate_mbps(F.col("Station_Data_connect_data.tx_link_rate"))
-    return _station_levels(history, rate, R.DAILY_PHY, only_bands=True)
+    return station_levels(station_day(history), "phyrate")
 
 
 def volume_weighted(stations: DataFrame, out: str) -> DataFrame:
@@ -265,7 +287,8 @@ def daily_station_score(history: DataFrame) -> DataFrame:
         }
         return stations.withColumnsRenamed(names).drop("byte_send", "byte_received", "volume")
 
-    return renamed(rssi_stations(history), "rssi").join(renamed(phyrate_stations(history), "phyrate"), ["sn", "rowkey"])
+    day = materialise(station_day(history), "station-day")
+    return renamed(station_levels(day, "rssi"), "rssi").join(renamed(station_levels(day, "phyrate"), "phyrate"), ["sn", "rowkey"])
 
 
 def sudden_drops(history: DataFrame) -> DataFrame:
@@ -342,13 +365,17 @@ def daily_home_score(
     history: DataFrame, groups: DataFrame, owl: DataFrame, day: str,
     tiebreak: Sequence[str] = (), blocked: Sequence[str] = (),
 ) -> DataFrame:
-    """The daily score of every home with a known model."""
+    """The daily score of every home with a known model.
+
+    The station-day table is written once; three KPIs read it.
+    """
+    stations = materialise(station_day(history), "station-day")
     kpis = [
         ip_change_kpi(ip_changes_daily(owl, tiebreak), day),
-        steering_kpi(history),
+        steering_kpi(stations),
         restart_kpi(restarts_daily(owl), day),
-        rssi_kpi(rssi_stations(history)),
-        phyrate_kpi(phyrate_stations(history)),
+        rssi_kpi(station_levels(stations, "rssi")),
+        phyrate_kpi(station_levels(stations, "phyrate")),
         airtime_kpi(airtime_daily(groups), day),
         sudden_drops(history),
     ]

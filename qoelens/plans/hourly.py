@@ -38,7 +38,7 @@ SNR_RANGE, STEERS, RATE_RANGE_24, RATE_RANGE_5 = 13, 6, 30, 300
 def connection_records(history: DataFrame, *extra: str) -> DataFrame:
     """Nested station reports as one flat, numeric row each."""
     return history.selectExpr(
-        f"regexp_extract(rowkey, '{P.ROUTER_UPPER}', 1) AS sn",
+        f"regexp_extract(rowkey, r'{P.ROUTER_UPPER}', 1) AS sn",
         "rowkey",
         "Station_Data_connect_data.station_mac",
         "Station_Data_connect_data.station_name",

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing as P
 from ..functions.scoring import half_up, log_volume
+from ..operators.histogram import percentiles_of_counts, value_counts
 from ..operators.skew import keep_members
-from ..operators.stationarity import stationarity
+from ..operators.stationarity import POINTS, judge, with_bound
 
 DEVICE = ["rowkey", "rk_row_sn", "serial_num", "station_mac"]
 HOME = ["serial_num", "mdn", "cust_id"]
@@ -46,37 +47,45 @@ def home_records(history: DataFrame) -> DataFrame:
 
 
 def device_features(records: DataFrame) -> DataFrame:
-    """Weak-signal and low-rate shares, volume and weight per device, from one
-    aggregation; devices with at least 36 records and one usable rate."""
-    weak = F.lit(False)
-    for band, limit in WEAK.items():
-        weak = weak | ((F.col("band") == band) & (F.col("signal") < limit))
-    usable = (F.col("rate") > RATE_LOW) & (F.col("rate") < RATE_HIGH) & ~F.col("rate").isin(*CONTROL_RATES)
-    averages = [
-        F.avg(F.when(F.col("band") == band, F.col("signal"))).alias(f"avg_sig_strength_cat{i}")
-        for i, band in enumerate(WEAK, start=1)
-    ]
-    grouped = records.groupBy(*DEVICE).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(weak).alias("_weak"),
-        F.count_if(usable).alias("_usable"),
-        F.count_if(usable & (F.col("rate") < POOR_RATE)).alias("_poor"),
-        F.avg(F.when(usable, F.col("rate"))).alias("avg_phyrate"),
-        F.sum("byte_send").alias("byte_send"),
-        F.sum("byte_received").alias("byte_received"),
-        *averages,
-    )
-    fixed = stationarity(records, DEVICE, "signal").drop("n")
-    slow = (F.col("avg_phyrate") < SLOW_RATE) & (F.col("stationarity") == "1")
+    """Weak-signal and low-rate shares, volume and weight per device; devices
+    with at least 36 records, one usable rate and a surviving signal.
+
+    One pass: everything is summed per (device, signal level), which also gives
+    the percentiles behind the stationarity flag.
+    """
+    weak = " OR ".join(f"(band = '{band}' AND signal < {limit})" for band, limit in WEAK.items())
+    usable = f"rate > {RATE_LOW} AND rate < {RATE_HIGH} AND rate NOT IN {CONTROL_RATES}"
+    sums = {
+        "weak": F.expr(f"count_if({weak})"),
+        "usable": F.expr(f"count_if({usable})"),
+        "poor": F.expr(f"count_if({usable} AND rate < {POOR_RATE})"),
+        "rates": F.expr(f"sum(if({usable}, rate, 0))"),
+        "byte_send": F.sum("byte_send"),
+        "byte_received": F.sum("byte_received"),
+    }
+    for i, band in enumerate(WEAK, start=1):
+        sums[f"_on_{i}"] = F.expr(f"count_if(band = '{band}')")
+        sums[f"_signal_{i}"] = F.expr(f"sum(if(band = '{band}', signal, 0))")
+    counts = value_counts(records, DEVICE, "signal", **sums)
+    devices = judge(with_bound(percentiles_of_counts(counts, DEVICE, "signal", POINTS, sums=list(sums))))
+    slow = f"avg_phyrate < {SLOW_RATE} AND stationarity = '1'"
     return (
-        grouped.where((F.col("_n") >= MIN_RECORDS) & (F.col("_usable") > 0))
-        .withColumn("poor_rssi", F.col("_weak") / F.col("_n") * 100)
-        .withColumn("poor_phyrate", F.col("_poor") / F.col("_usable") * 100)
-        .withColumn("volume", log_volume("byte_send", "byte_received"))
-        .join(fixed, DEVICE)
-        .withColumn("weight", F.when(slow, F.col("volume") * F.col("avg_phyrate") / SLOW_RATE).otherwise(F.col("volume")))
-        .withColumn("device_score", (100 - F.col("poor_rssi")) * 0.5 + (100 - F.col("poor_phyrate")) * 0.5)
-        .drop("_n", "_weak", "_usable", "_poor")
+        devices.where(f"n >= {MIN_RECORDS} AND usable > 0")
+        .withColumns(
+            {
+                "avg_phyrate": F.expr("rates / usable"),
+                "poor_rssi": F.expr("weak / n * 100"),
+                "poor_phyrate": F.expr("poor / usable * 100"),
+                "volume": log_volume("byte_send", "byte_received"),
+            }
+            | {f"avg_sig_strength_cat{i}": F.expr(f"try_divide(_signal_{i}, _on_{i})") for i in range(1, len(WEAK) + 1)}
+        )
+        .withColumn("weight", F.expr(f"if({slow}, volume * avg_phyrate / {SLOW_RATE}, volume)"))
+        .withColumn("device_score", F.expr("(100 - poor_rssi) * 0.5D + (100 - poor_phyrate) * 0.5D"))
+        .select(
+            *DEVICE, "stationarity", "avg_phyrate", "poor_rssi", "poor_phyrate", "byte_send", "byte_received", "volume",
+            "weight", "device_score", *(f"avg_sig_strength_cat{i}" for i in range(1, len(WEAK) + 1)),
+        )
     )
 
 
