@@ -306,7 +306,7 @@ def sudden_drops(history: DataFrame) -> DataFrame:
         .agg(F.count("station_mac").alias("station_cnt"))
     )
     drops = count_steps(
-        present, ["sn"], ["second"], "station_cnt", dropped_by_more_than(STATION_DROP), out="no_sudden_drop"
+        present, ["sn"], ["second"], "station_cnt", dropped_by_more_than(STATION_DROP), out="no_sudden_drop", unique=True
     )
     return drops.where(F.col("no_sudden_drop") > 0).withColumn(
         "sudden_drop_category", bucketize("no_sudden_drop", R.SUDDEN_DROPS)

@@ -42,12 +42,12 @@ def shared_dir(spark: SparkSession) -> str:
     cluster the missing setting is an error, because a machine-local folder
     would be lost with its executor.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
-        folder = os.path.join(tempfile.gettempdir(), f"qoelens-{os.getpid()}")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = os.path.join(tempfile.gettempdir(), f"qoelens-{context.applicationId}")
     return folder.rstrip("/")
 
 

@@ -101,6 +101,25 @@ def test_steps_match_lag(spark, batch, partitions):
     assert got == brute_steps(data, lambda a, b: a != b)
 
 
+def test_a_series_leaves_one_segment_per_task(spark):
+    from qoelens.operators import ordered
+
+    df = spark.createDataFrame([("hot", t, "x" if t % 3 else "y") for t in range(2000)], "k string, t int, v string")
+    df = df.withColumn("_counted", F.lit(True)).coalesce(1).sortWithinPartitions("t")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        schema = ordered._segment_schema(df, ["k"], [], ["t"], "v")
+        got = df.mapInPandas(ordered._summarise(["k"], [], ["t"], "v", CHANGED), schema).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert len(got) == 1 and (got[0]["_at_t"], got[0]["_to_t"], got[0]["_inner"]) == (0, 1999, 1333)
+
+
+def test_copies_add_nothing(spark):
+    df = spark.createDataFrame([("h", 1, "x")] * 500 + [("h", 2, "y")] * 500, "k string, t int, v string").repartition(6)
+    assert rows_of(count_steps(df, ["k"], ["t"], "v", CHANGED)) == [("h", 1)]
+
+
 def test_drops_and_single_rows(spark):
     df = spark.createDataFrame([("h", 1, 9), ("h", 2, 5), ("h", 3, 1), ("h", 4, 0), ("i", 1, 9)], "k string, t int, v int")
     got = rows_of(count_steps(df, ["k"], ["t"], "v", dropped_by_more_than(3)))
