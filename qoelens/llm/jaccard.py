@@ -14,8 +14,8 @@ document and then per pair:
    ``n - ceil(0.75 n) + 1``; and the places where they first meet bound the
    overlap. First every document meets the smallest document of each of its
    posting lists only - linear in the postings, whatever the size of a group of
-   copies. What that links is one component already; only documents of
-   different components in one list are compared after that.
+   copies. What links to one smallest document belongs together already; only
+   others in a list are compared after that.
 3. **Per pair.** Fragments of both sets are intersected separately and the
    counts summed per pair; the threshold is tested on the exact sum.
 
@@ -35,6 +35,7 @@ from pyspark.sql.window import Window
 from ..operators.skew import materialise
 from . import textbytes as B
 from .components import components
+from .store import compact
 
 #: Two sets link when ``100 * intersection >= THRESHOLD * union``.
 THRESHOLD = 75
@@ -230,20 +231,19 @@ def _segments(sets: DataFrame) -> DataFrame:
 
 def _links(sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect what is connected: star links first, then every
-    link between different components of those."""
-    postings = materialise(_prefixes(sets), "postings")
+    link between documents that these do not tie to the same one."""
+    postings = compact(_prefixes(sets), "postings")
     segments = materialise(_segments(sets), "segments")
     heads = postings.groupBy("gram").agg(F.min(F.struct("doc_id", "n", "place")).alias("head"), F.count(F.lit(1)).alias("size"))
     heads = heads.where("size > 1").select("gram", "head.*")
     star = postings.alias("l").join(heads.alias("r"), "gram").where("l.doc_id <> r.doc_id").where(_may_reach("l", "r"))
     stars = star.select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
-    linked = materialise(_verify(stars, segments), "links")
+    linked = compact(_verify(stars, segments), "links")
 
-    parts = components(linked)
-    placed = postings.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")
-    )
-    placed = materialise(placed, "placed")
+    # What links to the same smallest document needs no further comparing.
+    low = linked.groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("low"))
+    placed = postings.join(low, "doc_id", "left").withColumn("component", F.least("doc_id", "low"))
+    placed = placed.drop("low")
     members = placed.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("members"))
     mixed = members.groupBy("gram").agg(F.max(F.struct("members", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("parts"))
     mixed = mixed.where("parts > 1").select("gram", "main")
@@ -272,7 +272,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     fragments = max(FRAGMENTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     known = materialise(signatures(docs), "sizes")
     identified = known.where("doc_id is not null and n > 0")
-    alive = materialise(_may_link(docs.where("doc_id is not null"), identified, fragments), "alive")
+    alive = compact(_may_link(docs.where("doc_id is not null"), identified, fragments), "alive")
     sets = materialise(_sets(docs, alive), "sets")
     # Equal sets first: one node per set, tied to its smallest doc_id.
     nodes = identified.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("node"))
