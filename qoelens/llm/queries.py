@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import run_dir
 from ..telemetry import table
-from . import jaccard
+from . import context_tree, jaccard, language, mixing, quality_rules, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,25 @@ _WORDS = (
 )
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
+@query("op2_cube_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir)).drop("times")
+
+
+@query("op4_quality_rules")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(_documents(spark, sf_dir))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.learn_and_identify(_documents(spark, sf_dir))
+
+
 @query(
     "op7_ngram_jaccard_join",
     f"""WITH RECURSIVE ws AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -45,4 +65,22 @@ _WORDS = (
     JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)""",
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates(_documents(spark, sf_dir))
+
+
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.learn_and_score(_documents(spark, sf_dir))
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op9_token_output")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_dir(spark, "tokens")
+    token_store.write(_documents(spark, sf_dir), folder, _tokenizer())
+    return token_store.digests(spark, folder)
