@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import run_dir
 from ..telemetry import table
-from . import context_tree, jaccard, language, mixing, quality_rules, token_store
+from . import context_tree, decontaminate, jaccard, language, licenses, mixing, quality_rules, secret_scan, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,11 +35,22 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+@query("op1_secret_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(_documents(spark, sf_dir)))
+
+
 @query("op2_cube_mixing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).drop("times")
 
 
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash").withColumns({c: found[c].cast("long") for c in ("start_word", "n_words", "distance")})
+
+
 @query("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(_documents(spark, sf_dir))
@@ -84,3 +95,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_dir(spark, "tokens")
     token_store.write(_documents(spark, sf_dir), folder, _tokenizer())
     return token_store.digests(spark, folder)
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir)).drop("detections")
