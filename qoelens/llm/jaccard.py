@@ -268,9 +268,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeat a doc_id are one document; if their texts differ, its links are
     those of all its texts. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    fragments = max(FRAGMENTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     known = materialise(signatures(docs), "sizes")
+    return known.join(_components(docs, known), "doc_id", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    )
+
+
+def _components(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, component) of the documents that are linked with any other."""
+    fragments = max(FRAGMENTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     identified = known.where("doc_id is not null and n > 0")
     alive = compact(_may_link(docs.where("doc_id is not null"), identified, fragments), "alive")
     sets = materialise(_sets(docs, alive), "sets")
@@ -278,7 +284,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = identified.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("node"))
     tied = identified.join(nodes, ["n", "sig_a", "sig_b"]).where("doc_id <> node")
     edges = _links(sets).unionByName(tied.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct())
-    parts = components(edges).withColumnRenamed("node", "doc_id")
-    return known.join(parts, "doc_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
-    )
+    return components(edges).withColumnRenamed("node", "doc_id")
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` less those whose document is linked with one of a
+    smaller doc_id. Rows that repeat in full are one document and leave one row;
+    rows without doc_id stay."""
+    known = materialise(signatures(docs), "sizes")
+    parts = _components(docs, known)
+    later = materialise(parts.where("component <> doc_id").select("doc_id"), "later")
+    kept = docs.join(later, "doc_id", "left_anti").select(docs.columns)
+    repeated = known.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates()
+    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once)

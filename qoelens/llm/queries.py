@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import run_dir
 from ..telemetry import table
-from . import context_tree, decontaminate, jaccard, language, licenses, mixing, quality_rules, secret_scan, token_store
+from . import context_tree, decontaminate, grades, jaccard, language, licenses, mixing, quality_rules, secret_scan, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.learn_and_identify(_documents(spark, sf_dir))
 
 
+@query("op6_quality_grades")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grades.learn_and_grade(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query(
     "op7_ngram_jaccard_join",
     f"""WITH RECURSIVE ws AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -84,16 +89,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.learn_and_score(_documents(spark, sf_dir))
 
 
-def _tokenizer() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 @query("op9_token_output")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_dir(spark, "tokens")
-    token_store.write(_documents(spark, sf_dir), folder, _tokenizer())
+    token_store.write(_documents(spark, sf_dir), folder, token_store.public_tokenizer())
     return token_store.digests(spark, folder)
 
 

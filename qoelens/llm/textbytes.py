@@ -86,7 +86,7 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_BASE, n), _powers(_INVERSE, n)
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, table: np.ndarray):
+def runs(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, table: np.ndarray):
     """Starts, ends and hashes of the maximal runs without separators; a run
     never crosses a document."""
     edge = np.zeros(len(data) + 1, dtype=bool)
@@ -119,7 +119,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, table: n
     return np.concatenate(starts), np.concatenate(ends), mix(np.concatenate(hashes))
 
 
-def _table(separator: np.ndarray, lower: bool) -> np.ndarray:
+def hash_table(separator: np.ndarray, lower: bool) -> np.ndarray:
     table = _BYTE[LOWER] if lower else _BYTE.copy()
     table[separator] = 0
     return table
@@ -127,20 +127,20 @@ def _table(separator: np.ndarray, lower: bool) -> np.ndarray:
 
 _IS_NEWLINE = np.zeros(256, dtype=bool)
 _IS_NEWLINE[0x0A] = True
-_WORD_TABLES = {lower: _table(IS_SPACE, lower) for lower in (False, True)}
-_LINE_TABLE = _table(_IS_NEWLINE, False)
+_WORD_TABLES = {lower: hash_table(IS_SPACE, lower) for lower in (False, True)}
+_LINE_TABLE = hash_table(_IS_NEWLINE, False)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool):
     """(starts, ends, hashes) of all words and ``bounds``: document i has the
     words ``bounds[i]:bounds[i + 1]``. ``lower`` folds A-Z."""
-    s, e, h = _runs(data, offsets, IS_SPACE, _WORD_TABLES[lower])
+    s, e, h = runs(data, offsets, IS_SPACE, _WORD_TABLES[lower])
     return s, e, h, np.searchsorted(s, offsets)
 
 
 def lines(data: np.ndarray, offsets: np.ndarray):
     """The same for non-empty ``\\n``-split lines."""
-    s, e, h = _runs(data, offsets, _IS_NEWLINE, _LINE_TABLE)
+    s, e, h = runs(data, offsets, _IS_NEWLINE, _LINE_TABLE)
     return s, e, h, np.searchsorted(s, offsets)
 
 
