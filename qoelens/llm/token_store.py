@@ -18,13 +18,15 @@ table; ids before a part come from the parts' totals.
 
 from __future__ import annotations
 
-import itertools
 import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,15 +51,18 @@ _SELECTOR = np.full(256, ESCAPE, dtype=np.int8)
 _SELECTOR[COUNTS[1:]] = np.arange(1, len(COUNTS))
 
 
+_BITS = np.zeros(1 << 16, dtype=np.uint8)
+for _bit in range(16):
+    _BITS[1 << _bit:] = _bit + 1
+
+
 def _bits(ids: np.ndarray) -> np.ndarray:
     """Bits that each id needs."""
-    out = np.zeros(len(ids), dtype=np.uint8)
-    for step in (32, 16, 8, 4, 2, 1) if int(ids.max()) >> 16 else (8, 4, 2, 1):
-        wide = ids >> np.uint64(step) != 0
-        if wide.any():
-            out += wide * np.uint8(step)
-            ids = np.where(wide, ids >> np.uint64(step), ids)
-    return out + (ids != 0)
+    out = _BITS[ids & np.uint64(0xFFFF)]
+    for step in (16, 32, 48) if int(ids.max()) >> 16 else ():
+        part = (ids >> np.uint64(step)) & np.uint64(0xFFFF)
+        out = np.where(part != 0, _BITS[part] + np.uint8(step), out)
+    return out
 
 
 def pack(ids: np.ndarray) -> np.ndarray:
@@ -98,9 +103,10 @@ def pack(ids: np.ndarray) -> np.ndarray:
         if selector == ESCAPE:
             out[place[:-1][mine] + 1] = ids[starts[mine]]
             continue
-        words = np.zeros(int(mine.sum()), dtype=np.uint64)
-        for k in range(COUNTS[selector]):
-            words |= padded[starts[mine] + k] << np.uint64(k * _WIDTHS[selector])
+        at = starts[mine]
+        words = padded[at]
+        for k in range(1, COUNTS[selector]):
+            words |= padded[at + k] << np.uint64(k * _WIDTHS[selector])
         out[place[:-1][mine]] |= words
     return out
 
@@ -126,91 +132,105 @@ def unpack(words: np.ndarray, n_ids: int) -> np.ndarray:
     for selector in np.unique(selectors[head]).tolist():
         if selector in (0, ESCAPE):
             continue
-        mine = head & (selectors == selector)
+        mine = np.flatnonzero(head & (selectors == selector))
+        held, place = body[mine], first[mine]
         width = _WIDTHS[selector]
         mask = np.uint64((1 << width) - 1)
         for k in range(COUNTS[selector]):
-            out[first[:-1][mine] + k] = body[mine] >> np.uint64(k * width) & mask
+            out[place + k] = held >> np.uint64(k * width) & mask
     return out[:n_ids]
 
 
-#: ``str.split`` also splits at these, the tokenizer does not.
-_CONTROL = re.compile("[\x1c-\x1f]")
-_PIECE = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-#: Printable ASCII without contractions, which the tokenizer cuts like this once it is lower-cased.
+# How the tokenizer cuts normalised text, and the characters it shows bytes as.
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_CUT_PLAIN = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 _PLAIN = re.compile(r"[!-&(-~]+")
-_CUT = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+def cut(piece: str) -> list[str]:
+    """The stretches that the tokenizer merges on their own, in its byte characters."""
+    if _PLAIN.fullmatch(piece):  # printable ASCII without contractions
+        return _CUT_PLAIN.findall(piece.lower())
+    whole = unicodedata.normalize("NFC", piece)
+    # The tokenizer lower-cases character by character.
+    low = "".join(map(str.lower, whole)) if "\u03a3" in whole else whole.lower()
+    return [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_BYTE_CHARS) for w in _CUT.findall(low)]
 
 
 class Encoder:
-    """Ids of whole texts. What the tokenizer's normalizer and pre-tokenizer cut
-    out of a text never reaches across white space, so pieces between white
-    space, and the words within, are encoded by its model once and remembered.
-    Beyond ``most`` pieces it starts to remember anew.
+    """Ids of whole texts. What the tokenizer merges never reaches across white
+    space, so the pieces between white space, and the stretches it cuts them
+    into, go through its model once and are remembered, pieces by their 64-bit
+    hash. Beyond ``most`` pieces, or stretches, it starts to remember anew.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 2_000_000, most_stretches: int = 400_000):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        self.normalizer, self.cutter, self.model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
-        self.most = most
-        self.words: dict[str, bytes] = {}
-        self.pieces = _Pieces(self)
-
-    def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            found = np.array([t.id for t in self.model.tokenize(word)], np.uint32).tobytes()
-            if len(self.words) < self.most:
-                self.words[word] = found
-        return found
-
-    def piece(self, piece: str) -> bytes:
-        if _PLAIN.fullmatch(piece):
-            words = _CUT.findall(piece.lower())
-        else:
-            words = [w for w, _ in self.cutter.pre_tokenize_str(self.normalizer.normalize_str(piece))]
-        return b"".join(map(self._word, words))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.tokenize = Tokenizer.from_file(path).model.tokenize
+        self.most, self.most_stretches = most, most_stretches
+        self.stretches: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        # Pieces by ascending hash: where their ids start and how many there are.
+        self.hashes = np.empty(0, np.uint64)
+        self.first = np.empty(0, np.int64)
+        self.size = np.empty(0, np.int64)
+        self.ids = np.empty(0, np.uint32)
+
+    def _ids_of(self, piece: str) -> list[int]:
+        out: list[int] = []
+        for stretch in cut(piece):
+            ids = self.stretches.get(stretch)
+            if ids is None:
+                if len(self.stretches) >= self.most_stretches:
+                    self.stretches.clear()
+                ids = self.stretches[stretch] = [t.id for t in self.tokenize(stretch)]
+            out += ids
+        return out
+
+    def _learn(self, pieces: list[str], hashes: np.ndarray) -> None:
+        flat, ends = array("I"), array("q")
+        for piece in pieces:
+            flat.extend(self._ids_of(piece))
+            ends.append(len(flat))
+        stop = np.array(ends, np.int64)
+        start = np.append(0, stop[:-1])
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, place, hashes)
+        self.first = np.insert(self.first, place, start + len(self.ids))
+        self.size = np.insert(self.size, place, stop - start)
+        self.ids = np.append(self.ids, np.array(flat, np.uint32))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in turn, number per text), the end id included."""
-        if len(self.pieces) > self.most:
-            self.pieces = _Pieces(self)
-        pieces = [_PIECE.findall(text) if _CONTROL.search(text) else text.split() for text in texts]
-        ends = np.cumsum([len(piece) for piece in pieces])
-        at = np.fromiter(map(self.pieces.__getitem__, itertools.chain.from_iterable(pieces)), np.int64, int(ends[-1]))
-        ids, bounds = self.pieces.table()
+        if len(self.hashes) > self.most:
+            self._forget()
+        starts, stops, hashes, bounds = B.words(data, offsets, lower=False)
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        new = np.append(True, ordered[1:] != ordered[:-1]) if len(hashes) else np.empty(0, bool)
+        distinct, sample = ordered[new], order[new]
+        place = np.searchsorted(self.hashes, distinct)
+        unknown = np.append(self.hashes, np.uint64(0))[place] != distinct
+        unknown[place == len(self.hashes)] = True
+        if unknown.any():
+            spans = zip(starts[sample[unknown]].tolist(), stops[sample[unknown]].tolist())
+            whole = data.tobytes()
+            self._learn([whole[a:b].decode() for a, b in spans], distinct[unknown])
+            place = np.searchsorted(self.hashes, distinct)
+        at = np.empty(len(hashes), np.int64)
+        at[order] = place[np.cumsum(new) - 1]
         # The end of every text is one more piece of one id.
-        first = np.insert(bounds[at], ends, len(ids) - 1)
-        size = np.insert(bounds[at + 1] - bounds[at], ends, 1)
+        ends = bounds[1:]
+        first = np.insert(self.first[at], ends, len(self.ids))
+        size = np.insert(self.size[at], ends, 1)
         stop = np.cumsum(size)
-        out = ids[np.arange(stop[-1]) + np.repeat(first - (stop - size), size)]
-        return out, np.diff(np.append(0, stop[ends + np.arange(len(texts))]))
-
-
-class _Pieces(dict):
-    """piece -> its number; a piece that is new is encoded and numbered on the way."""
-
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder, self.new, self.sizes = encoder, [], []
-        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
-
-    def __missing__(self, piece: str) -> int:
-        ids = self.encoder.piece(piece)
-        self.new.append(ids)
-        self.sizes.append(len(ids) // 4)
-        number = self[piece] = len(self)
-        return number
-
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all pieces in turn and the end id, where each piece starts)."""
-        if self.new:
-            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(self.new), np.uint32)])
-            self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(self.sizes, dtype=np.int64))
-            self.new, self.sizes = [], []
-        return np.append(self.ids, np.uint32(END_ID)), self.bounds
+        out = np.append(self.ids, np.uint32(END_ID))[np.arange(stop[-1]) + np.repeat(first - (stop - size), size)]
+        return out, np.diff(np.append(0, stop[ends + np.arange(len(ends))]))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -240,9 +260,8 @@ def _blocks(path: str):
             }
             return pa.RecordBatch.from_pydict(row, schema=_BLOCK_ARROW)
 
-        for batch, _, _ in B.slices(batches):
-            texts = batch.column("text").fill_null("").to_pylist()
-            found, sizes = encode(texts)
+        for batch, data, offsets in B.slices(batches):
+            found, sizes = encode(data, offsets)
             docs += batch.column("doc_id").to_pylist()
             lengths.append(sizes)
             ids.append(found)
@@ -263,6 +282,13 @@ _BLOCK_ARROW = pa.schema([
 ])
 
 
+def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Where a public tokenizer's file is; the same on every machine that has the files installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
     """Encode ``docs`` (doc_id, text) with the tokenizer file at ``tokenizer``
     (a path every executor has) and write the blocks to ``folder``.
