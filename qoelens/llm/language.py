@@ -52,7 +52,7 @@ def _ngrams(data: np.ndarray) -> np.ndarray:
 def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct codes ascending, how often)."""
     ordered = np.sort(codes)
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(codes)])
     return ordered[first], np.diff(np.append(first, len(ordered)))
 
 
