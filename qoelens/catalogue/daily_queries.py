@@ -432,9 +432,11 @@ def worst_of(spark, sf_dir):
 
 @query(
     "station_vote",
-    f"""WITH {S.REC} SELECT sn, hour, CASE WHEN greatest(p1, p2) >= 12 THEN 'Poor' WHEN greatest(f1, f2) >= 12 THEN 'Fair'
-      WHEN greatest(g1, g2) >= 12 THEN 'Good' WHEN greatest(e1, e2) >= 12 THEN 'Excellent' ELSE 'No Data' END AS category
+    f"""WITH {S.REC} SELECT sn, hour, CASE WHEN greatest(p1, p2, p3) >= 12 THEN 'Poor' WHEN greatest(f1, f2, f3) >= 12 THEN 'Fair'
+      WHEN greatest(g1, g2, g3) >= 12 THEN 'Good' WHEN greatest(e1, e2, e3) >= 12 THEN 'Excellent' ELSE 'No Data' END AS category
     FROM (SELECT sn, hour,
+      count(*) FILTER (WHERE band = '2.4GI' AND rssi < -78) AS p3, count(*) FILTER (WHERE band = '2.4GI' AND rssi BETWEEN -78 AND -71) AS f3,
+      count(*) FILTER (WHERE band = '2.4GI' AND rssi BETWEEN -70 AND -56) AS g3, count(*) FILTER (WHERE band = '2.4GI' AND rssi > -56) AS e3,
       count(*) FILTER (WHERE band = '5GI' AND rssi < -75) AS p1, count(*) FILTER (WHERE band = '6GI' AND rssi < -70) AS p2,
       count(*) FILTER (WHERE band = '5GI' AND rssi BETWEEN -75 AND -71) AS f1,
       count(*) FILTER (WHERE band = '6GI' AND rssi BETWEEN -70 AND -65) AS f2,
@@ -448,9 +450,9 @@ def station_vote(spark, sf_dir):
     from ..plans.hourly import connection_records
 
     records = connection_records(_history(spark, sf_dir))
-    bands = ("5G", "6G")
+    bands = {"2_4G": "2.4GI", "5G": "5GI", "6G": "6GI"}
     counts = [
-        F.count_if((F.col("band") == f"{b}I") & (bucketize("rssi", DAILY_RSSI[b]) == lab)).alias(f"{lab}_{b}")
+        F.count_if((F.col("band") == bands[b]) & (bucketize("rssi", DAILY_RSSI[b]) == lab)).alias(f"{lab}_{b}")
         for lab in LABELS for b in bands
     ]
     counted = records.groupBy("sn", "hour").agg(*counts)

@@ -80,12 +80,14 @@ def _restarts(spark, sf_dir):
 
 @query(
     "rate_per_active_day",
-    f"""WITH {S.OWL}, {S.RESTART_DAILY} SELECT sn, CAST(sum(coalesce(num_total_reboots, 0)) AS BIGINT) AS events,
-    count(DISTINCT day) AS active_days, round(sum(coalesce(num_total_reboots, 0)) / count(DISTINCT day), 6) AS rate
-    FROM restart_daily GROUP BY sn""",
+    f"""WITH {S.OWL}, {S.RESTART_DAILY}, act AS (SELECT sn, count(DISTINCT day) AS active_days FROM owl GROUP BY sn),
+    ev AS (SELECT sn, CAST(sum(coalesce(num_total_reboots, 0)) AS BIGINT) AS events FROM restart_daily GROUP BY sn)
+    SELECT sn, coalesce(events, 0) AS events, active_days, round(coalesce(events, 0) / active_days, 6) AS rate
+    FROM act LEFT JOIN ev USING (sn)""",
 )
 def rate_per_active_day(spark, sf_dir):
-    out = E.rate_per_active_day(_restarts(spark, sf_dir), ["sn"], "num_total_reboots")
+    reports = D.with_router_keys(data.owl_history(spark, sf_dir)).select("sn", "day")
+    out = E.rate_per_active_day(_restarts(spark, sf_dir), reports, ["sn"], "num_total_reboots")
     return out.withColumn("rate", F.round("rate", 6))
 
 

@@ -94,15 +94,18 @@ def stream_lag(spark, sf_dir):
 
 @query(
     "source_completeness",
-    """SELECT strftime(least(e, s, v), '%Y-%m-%d %H:%M:%S') AS complete_until, strftime(e, '%Y-%m-%d %H:%M:%S') AS newest_error,
+    """SELECT strftime(least(c, e, p, s, v), '%Y-%m-%d %H:%M:%S') AS complete_until,
+      strftime(c, '%Y-%m-%d %H:%M:%S') AS newest_click, strftime(e, '%Y-%m-%d %H:%M:%S') AS newest_error,
+      strftime(p, '%Y-%m-%d %H:%M:%S') AS newest_purchase,
       strftime(s, '%Y-%m-%d %H:%M:%S') AS newest_signup, strftime(v, '%Y-%m-%d %H:%M:%S') AS newest_view
-    FROM (SELECT max(ts) FILTER (WHERE event_type = 'error') AS e, max(ts) FILTER (WHERE event_type = 'signup') AS s,
+    FROM (SELECT max(ts) FILTER (WHERE event_type = 'click') AS c, max(ts) FILTER (WHERE event_type = 'error') AS e,
+      max(ts) FILTER (WHERE event_type = 'purchase') AS p, max(ts) FILTER (WHERE event_type = 'signup') AS s,
       max(ts) FILTER (WHERE event_type = 'view') AS v FROM events)""",
 )
 def source_completeness(spark, sf_dir):
     events = data.table(spark, sf_dir, "events")
     return windows.complete_until(
-        {kind: events.where(F.col("event_type") == kind) for kind in ("error", "signup", "view")}, "ts"
+        {kind: events.where(F.col("event_type") == kind) for kind in ("click", "error", "purchase", "signup", "view")}, "ts"
     )
 
 

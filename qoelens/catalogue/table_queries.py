@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import telemetry as data
@@ -336,19 +338,22 @@ def consumption_report(spark, sf_dir):
 
 @query(
     "partition_roundtrip",
-    f"""WITH {S.REC} SELECT station_mac, date, hour, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM rec
-    WHERE hour = '08' GROUP BY ALL""",
+    f"""WITH {S.REC} SELECT station_mac, date, hour,
+    CAST(sum(bytes) + max(CASE WHEN hour = '12' THEN 0 ELSE 1 END) AS BIGINT) AS total_bytes FROM rec GROUP BY ALL""",
 )
 def partition_roundtrip(spark, sf_dir):
-    """Write all hours twice (the second run replaces the first), read one back."""
+    """Write all hours, then two of them anew with other values: these are
+    replaced, the third stays."""
     base = run_dir(spark, "hours")
     c = "Station_Data_connect_data"
     used = data.station_history(spark, sf_dir).groupBy("date", "hour", F.col(f"{c}.station_mac")).agg(
         F.sum(F.col(f"{c}.bs").cast("bigint") + F.col(f"{c}.br").cast("bigint")).alias("total_bytes")
     )
     sinks.write_partitions(used, base)
-    sinks.write_partitions(used.where("hour <> '12'"), base)
-    return tables.read_partitioned(spark, base, date=data.SCORE_DATE, hour="08")
+    sinks.write_partitions(used.where("hour <> '12'").withColumn("total_bytes", F.col("total_bytes") + 1), base)
+    return reduce(
+        DataFrame.unionByName, (tables.read_partitioned(spark, base, date=data.SCORE_DATE, hour=h) for h in ("08", "12", "18"))
+    )
 
 
 @query(
@@ -373,7 +378,7 @@ def lookback_read(spark, sf_dir):
 def csv_export(spark, sf_dir):
     path = run_dir(spark, "export")
     rows = D.export_rows(D.models(data.device_groups(spark, sf_dir)), ["MODEL-1", "MODEL-3"])
-    sinks.export_csv(rows, path, single_file=True)
+    sinks.export_csv(rows, path)
     return spark.read.schema("sn string, model_name string").option("header", True).csv(path)
 
 
@@ -406,7 +411,7 @@ def volume_gate(spark, sf_dir):
     w AS (SELECT date, hour FROM d, h WHERE date < '20240130' OR hour < '15'),
     p AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS date, strftime(ts, '%H') AS hour, event_type FROM events)
     SELECT date, hour, string_agg(name, ',' ORDER BY name) AS missing FROM (
-      SELECT w.date, w.hour, name FROM w CROSS JOIN (VALUES ('error'), ('signup'), ('view')) n(name)
+      SELECT w.date, w.hour, name FROM w CROSS JOIN (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) n(name)
       WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.date = w.date AND p.hour = w.hour AND p.event_type = name))
     GROUP BY date, hour""",
 )
@@ -415,7 +420,8 @@ def missing_slots(spark, sf_dir):
     dates = [d.replace("-", "") for d in tables.days_back(data.SCORE_DAY, 30)]
     wanted = gaps.wanted_hours(spark, dates, datetime(2024, 1, 30, 15, 30))
     present = {
-        kind: gaps.slots_of(events.where(F.col("event_type") == kind), F.col("ts")) for kind in ("error", "signup", "view")
+        kind: gaps.slots_of(events.where(F.col("event_type") == kind), F.col("ts"))
+        for kind in ("click", "error", "purchase", "signup", "view")
     }
     return gaps.missing_slots(wanted, present)
 

@@ -70,10 +70,10 @@ def _questions(spark, sf_dir):
 
 def _chunk_corpus(spark, sf_dir):
     pieces = R.chunks(_docs(spark, sf_dir))
-    return pieces.select((F.col("doc_id") * 1_000_000 + F.col("chunk_no")).alias("id"), F.col("chunk").alias("text"))
+    return pieces.select(F.concat_ws(":", "doc_id", "chunk_no").alias("id"), F.col("chunk").alias("text"))
 
 
-_CHUNK_CORPUS = "SELECT doc_id * 1000000 + chunk_no AS id, chunk AS text FROM chunks"
+_CHUNK_CORPUS = "SELECT doc_id || ':' || chunk_no AS id, chunk AS text FROM chunks"
 
 
 @query("bm25_topk", f"WITH {_CHUNKS}, {_bm25_sql(_CHUNK_CORPUS)} SELECT query_id, id, score, rank FROM sparse")

@@ -10,6 +10,7 @@ ROUTER_OF_STATION = r"-(\w+)_"
 ROUTER_OF_GROUP = r"-(\w+)"
 ROUTER_UPPER = r"-([A-Z0-9]+)_"
 ROUTER_STRICT = r"-([^-_]+)"
+ROUTER_OF_BYTES = r"-([^-_]+)_"
 ROUTER_SERIAL = r"([A-Z]+\d+)"
 
 BANDS = ("2_4G", "5G", "6G")

@@ -1,14 +1,11 @@
 """Joining group statistics back to rows when one key may hold most rows.
 
-A per-key table ``stats`` (unique on the keys, with the key's row count) meets
-its rows again. It is written to the shared folder first: it is computed once,
-it survives a lost executor, and its true size picks the join.
-
-* few keys: broadcast the table, the rows are not shuffled at all;
-* many keys, none hot: one ordinary shuffled join;
-* many keys, some hot: a key above ``hot_share`` of all rows is one of at most
-  ``1/hot_share`` keys, so those are broadcast and their rows never shuffled by
-  key, while all other rows take the shuffled join.
+A per-key table ``stats`` (unique on the keys) meets its rows again. It is
+written to the shared folder first: it is computed once, it survives a lost
+executor, and its size in bytes is known to the planner, which broadcasts it if
+it is small. Keys that hold more than ``hot_share`` of all *rows* - members of
+``stats`` or not - are at most ``1/hot_share``, so those are broadcast and their
+rows never shuffled by key, while all other rows take an ordinary join.
 """
 
 from __future__ import annotations
@@ -21,8 +18,6 @@ from pyspark.sql import functions as F
 
 from ..session import run_dir
 
-#: Largest table, in keys, that is broadcast whole.
-BROADCAST_KEYS = 100_000
 #: A key above this share of all rows is hot; at most 10,000 keys can be.
 HOT_SHARE = 1 / 10_000
 
@@ -39,48 +34,54 @@ def _same(keys: Sequence[str]) -> Column:
 
 
 def _meet(
-    rows: DataFrame, stats: DataFrame, keys: Sequence[str], size: str,
-    join: Callable[[DataFrame, DataFrame, Column], DataFrame], broadcast_keys: int, hot_share: float,
+    rows: DataFrame, stats: DataFrame, keys: Sequence[str], sizes: DataFrame,
+    join: Callable[[DataFrame, DataFrame, Column], DataFrame], hot_share: float,
 ) -> DataFrame:
+    """``sizes`` has the row count ``n`` of every key of ``rows``."""
     table = materialise(stats).withColumnsRenamed({k: f"_k_{k}" for k in keys})
     on = _same(keys)
-    known, total = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    if known <= broadcast_keys:
-        return join(rows, F.broadcast(table), on)
-    is_hot = F.col(size) > float(total) * hot_share
-    if table.where(is_hot).isEmpty():
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = materialise(sizes.where(F.col("n") > float(total) * hot_share).select(*keys), "hot-keys")
+    if hot.isEmpty():
         return join(rows, table, on)
-    hot = F.broadcast(table.where(is_hot))
-    spread = join(rows.join(hot, on, "left_semi"), hot, on)
-    rest = join(rows.join(hot, on, "left_anti"), table.where(~is_hot), on)
+    hot = F.broadcast(hot.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
+    known = reduce(Column.__and__, (table[f"_k_{k}"].eqNullSafe(hot[f"_k_{k}"]) for k in keys))
+    spread = join(rows.join(hot, on, "left_semi"), F.broadcast(table.join(hot, known, "left_semi")), on)
+    rest = join(rows.join(hot, on, "left_anti"), table.join(hot, known, "left_anti"), on)
     return spread.unionByName(rest)
 
 
+def _row_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
+
+
 def join_back(
-    rows: DataFrame, stats: DataFrame, keys: Sequence[str], size: str = "n", how: str = "inner",
-    keep_size: bool = False, broadcast_keys: int = BROADCAST_KEYS, hot_share: float = HOT_SHARE,
+    rows: DataFrame, stats: DataFrame, keys: Sequence[str], size: str | None = None, how: str = "inner",
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Add the columns of ``stats`` to every row of ``rows`` with the same keys.
 
     ``how`` is ``inner`` or ``left``. NULL keys match each other, as they do in
-    a window partition.
+    a window partition. ``size`` names the column of ``stats`` with the row
+    count of its key, and may be given only if ``stats`` has every key of
+    ``rows``; it is dropped. Without it the rows are counted.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"join_back does inner or left, not {how}")
-    joined = _meet(
-        rows, stats, keys, size, lambda left, right, on: left.join(right, on, how), broadcast_keys, hot_share
-    )
-    return joined.drop(*(f"_k_{k}" for k in keys), *([] if keep_size else [size]))
+    if size:
+        stats = materialise(stats)
+        sizes = stats.select(*keys, F.col(size).alias("n"))
+    else:
+        sizes = _row_counts(rows, keys)
+    joined = _meet(rows, stats.drop(*([size] if size else [])), keys, sizes, lambda left, right, on: left.join(right, on, how), hot_share)
+    return joined.drop(*(f"_k_{k}" for k in keys))
 
 
-def keep_members(
-    rows: DataFrame, stats: DataFrame, keys: Sequence[str], size: str = "n",
-    broadcast_keys: int = BROADCAST_KEYS, hot_share: float = HOT_SHARE,
-) -> DataFrame:
-    """Rows whose keys occur in ``stats`` (left semi join)."""
+def keep_members(rows: DataFrame, members: DataFrame, keys: Sequence[str], hot_share: float = HOT_SHARE) -> DataFrame:
+    """Rows whose keys occur in ``members`` (left semi join)."""
     return _meet(
-        rows, stats.select(*keys, size), keys, size,
-        lambda left, right, on: left.join(right, on, "left_semi"), broadcast_keys, hot_share,
+        rows, members.select(*keys).distinct(), keys, _row_counts(rows, keys),
+        lambda left, right, on: left.join(right, on, "left_semi"), hot_share,
     )
 
 

@@ -43,7 +43,7 @@ def with_bound(levels: DataFrame) -> DataFrame:
 
 def drop_low_outliers(rows: DataFrame, keys: Sequence[str], signal: str, method: str = "exact") -> DataFrame:
     """Rows whose signal lies strictly above their key's outlier bound."""
-    bounds = signal_bounds(rows, keys, signal, method).select(*keys, "bound", "p50", "p90", "n")
+    bounds = signal_bounds(rows, keys, signal, method).select(*keys, "bound", "p50", "p90")
     heard = rows.where(F.col(signal).isNotNull())
     return join_back(heard, bounds, keys).where(F.col(signal) > F.col("bound"))
 

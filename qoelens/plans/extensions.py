@@ -66,12 +66,15 @@ def trimmed_mean(rows: DataFrame, keys: Sequence[str], value: str, low: float =
     )
 
 
-def rate_per_active_day(daily: DataFrame, keys: Sequence[str], counter: str, day: str = "day") -> DataFrame:
-    """Events per day on which the key reported at all."""
-    grouped = daily.groupBy(*keys).agg(
-        F.sum(F.coalesce(counter, F.lit(0))).alias("events"), F.countDistinct(day).alias("active_days")
-    )
-    return grouped.withColumn("rate", F.try_divide("events", "active_days"))
+def rate_per_active_day(
+    daily: DataFrame, reports: DataFrame, keys: Sequence[str], counter: str, day: str = "day"
+) -> DataFrame:
+    """Events per day on which the key reported anything at all; ``reports`` has
+    every report's keys and day, ``daily`` only days with events."""
+    active = reports.select(*keys, day).distinct().groupBy(*keys).agg(F.count(day).alias("active_days"))
+    events = daily.groupBy(*keys).agg(F.sum(F.coalesce(counter, F.lit(0))).alias("events"))
+    joined = active.join(events, list(keys), "left").withColumn("events", F.coalesce("events", F.lit(0)))
+    return joined.withColumn("rate", F.try_divide("events", "active_days"))
 
 
 def cumulative_alerts(daily: DataFrame, keys: Sequence[str], counter: str, limit: int, day: str = "day") -> DataFrame:

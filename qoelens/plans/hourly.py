@@ -81,7 +81,9 @@ def enrich(history: DataFrame, mobility: DataFrame, **join_options) -> DataFrame
     counts = materialise(
         value_counts(flagged, station, "rssi", son=F.count_if(F.col("_success"))), "signal-counts"
     )
-    signal = percentiles_of_counts(counts, mac_hour, "rssi", {"p50_rssi": 0.5, "p90_rssi": 0.9}).drop("top", "n")
+    # One row per level of a MAC, however many homes a placeholder MAC appears in.
+    levels = counts.groupBy(*mac_hour, "rssi").agg(F.sum("n").alias("n"))
+    signal = percentiles_of_counts(levels, mac_hour, "rssi", {"p50_rssi": 0.5, "p90_rssi": 0.9}).drop("top", "n")
     signal = signal.withColumnsRenamed({k: f"_s_{k}" for k in mac_hour})
     same_mac = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in mac_hour))
     steers = counts.groupBy("rowkey", "date", "hour").agg(F.nullif(F.sum("son"), F.lit(0)).alias("son"))
@@ -91,7 +93,7 @@ def enrich(history: DataFrame, mobility: DataFrame, **join_options) -> DataFrame
         .join(steers, ["rowkey", "date", "hour"], "left")
         .join(mobility.select("sn", "station_mac", "mobility_status"), ["sn", "station_mac"], "left")
     )
-    return join_back(connection_records(history), stations, station, **join_options)
+    return join_back(connection_records(history), stations, station, size="n", **join_options)
 
 
 def enrich_contract(records: DataFrame, **join_options) -> DataFrame:
@@ -100,7 +102,7 @@ def enrich_contract(records: DataFrame, **join_options) -> DataFrame:
     counts = value_counts(records, ["station_mac"], "rssi")
     signal = percentiles_of_counts(counts, ["station_mac"], "rssi", {"p50_rssi": 0.5, "p90_rssi": 0.9})
     still = F.when(F.col("p90_rssi") - F.col("p50_rssi") <= 5, "Stationary").otherwise("Non-stationary")
-    stats = signal.drop("top").withColumn("mobility_status", still)
+    stats = signal.drop("top", "n").withColumn("mobility_status", still)
     joined = join_back(records, stats, ["station_mac"], how="left", **join_options)
     joined = joined.fillna({"mobility_status": "Non-stationary"})
     return joined if "son" in joined.columns else joined.withColumn("son", F.lit(0))
@@ -211,19 +213,19 @@ def _any_equal(columns: Sequence[str], value: float) -> Column:
 
 
 def consumption(history: DataFrame, limit: int = CONSUMPTION_LIMIT) -> DataFrame:
-    """Bytes per station and hour; totals at or above ``limit`` are dropped as
-    counter faults."""
+    """Bytes per station and hour; totals at or above ``limit``, and those beyond
+    38 digits, are dropped as counter faults."""
     c = "Station_Data_connect_data"
-    sent, received = (F.col(f"{c}.{x}").try_cast("decimal(20,0)") for x in ("bs", "br"))
+    sent, received = (F.col(f"{c}.{x}").try_cast("decimal(38,0)") for x in ("bs", "br"))
     return (
         history.where(F.col(c).isNotNull())
         .groupBy(
-            P.serial(F.col("rowkey"), P.ROUTER_STRICT).alias("sn"),
+            P.serial(F.col("rowkey"), P.ROUTER_OF_BYTES).alias("sn"),
             F.col(f"{c}.station_mac").alias("station_mac"),
             P.day_of(F.col("ts")).alias("date"),
             P.day_of(F.col("ts"), "HH").alias("hour"),
         )
-        .agg(F.sum(sent + received).alias("total_bytes"))
+        .agg(F.try_sum(F.try_add(sent, received)).alias("total_bytes"))
         .where(F.col("total_bytes") < limit)
     )
 
@@ -241,7 +243,6 @@ def pillar_features(
             F.count(F.lit(1)).alias("records"),
             F.count_if(F.expr(usable)).alias("usable_rates"),
             *(F.expr(f"max(CASE WHEN {usable} THEN {c} END)").alias(c) for c in ("model", "mobility_status", "station_name")),
-            *(F.max(c).alias(f"any_{c}") for c in ("model", "mobility_status", "station_name")),
             *(percentiles(band_value(tx, b), (0.9,)).alias(f"_tx_{b}") for b in bands),
             *(percentiles(band_value("rssi", b), (0.9,)).alias(f"_rssi_{b}") for b in bands),
             _value_range(valid_snr).alias("snr_range_variation"),
@@ -249,7 +250,6 @@ def pillar_features(
         .where(F.col("records") >= min_records)
         .select(
             *STATION, "records", "usable_rates", "model", "mobility_status", "station_name",
-            "any_model", "any_mobility_status", "any_station_name",
             *(F.get(f"_tx_{b}", F.lit(0)).alias(f"p90_phy_rate_{_suffix(b)}_speed") for b in bands),
             *(F.get(f"_rssi_{b}", F.lit(0)).alias(f"p90_rssi_{_suffix(b)}") for b in bands),
             "snr_range_variation",

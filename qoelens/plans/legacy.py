@@ -153,9 +153,8 @@ def consumption_report(
     used: DataFrame, devices: DataFrame, scores: DataFrame, bands: Sequence[str] = ("2_4G", "5G")
 ) -> DataFrame:
     """Data volume by home score and band, over stations with a known class."""
-    known = devices.groupBy("rowkey").agg(F.count(F.lit(1)).alias("n"))
     return (
-        keep_members(used.where(F.col("connect_type").isin(*bands)), known, ["rowkey"])
+        keep_members(used.where(F.col("connect_type").isin(*bands)), devices, ["rowkey"])
         .join(scores.select("sn", "score"), "sn")
         .groupBy("score", "connect_type")
         .agg(F.sum(F.col("byte_send") + F.col("byte_received")).alias("data_volume"))

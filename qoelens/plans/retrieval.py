@@ -8,8 +8,6 @@ are taken in blocks of bounded size; more questions mean more blocks.
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -19,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import top_rows
+from ..operators.skew import materialise
 
 # Chunking, number of hits and fusion weights.
 CHUNK, OVERLAP = 1200, 150
@@ -123,56 +122,27 @@ def dense_topk(vectors: DataFrame, questions: DataFrame, k: int = TOP_K) -> Data
 def bm25_topk(docs: DataFrame, questions: DataFrame, k: int = TOP_K, k1: float = K1, b: float = B) -> DataFrame:
     """Best k documents (id, text) per question (query_id, text) by BM25.
 
-    One pass gives corpus size, mean length and the document frequency of the
-    questions' words (combined on the map side), a second pass scores.
+    The corpus is cut into words once, for any number of questions: only words
+    that some question has are kept, counted per document and written. Document
+    frequencies and scores come from those counts.
     """
+    asked = questions.select("query_id", F.explode(words(F.col("text"))).alias("word"))
+    asked = asked.groupBy("query_id", "word").agg(F.count(F.lit(1)).alias("asked"))
     tokens = docs.select("id", words(F.col("text")).alias("words"))
-    corpus, length = tokens.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
-    parts = []
-    for block in _blocks(questions.select("query_id", words(F.col("text")).alias("words")), ["query_id", "words"]):
-        vocabulary = sorted({w for r in block for w in r["words"]})
-        if not vocabulary or not corpus:
-            continue
-        position = {w: i for i, w in enumerate(vocabulary)}
-        known = docs.sparkSession.createDataFrame([(w,) for w in vocabulary], "word string")
-        seen = (
-            tokens.select(F.explode(F.array_distinct("words")).alias("word"))
-            .join(F.broadcast(known), "word", "left_semi")
-            .groupBy("word").count()
-        )
-        frequency = {r["word"]: r["count"] for r in seen.collect()}
-        weights = np.zeros((len(vocabulary), len(block)))
-        for q, r in enumerate(block):
-            for w, n in Counter(r["words"]).items():
-                df = frequency.get(w, 0)
-                weights[position[w], q] = n * math.log(1 + (corpus - df + 0.5) / (df + 0.5))
-
-        def bm25(batch: pd.DataFrame, position=position, weights=weights):
-            term = np.zeros((len(batch), len(position)))
-            for i, doc in enumerate(batch["words"]):
-                norm = k1 * (1 - b + b * len(doc) / length)
-                for w, n in Counter(doc).items():
-                    at = position.get(w)
-                    if at is not None:
-                        term[i, at] = n * (k1 + 1) / (n + norm)
-            return batch["id"].to_numpy(), term @ weights
-
-        best = _local_best(_in_slices(bm25, len(vocabulary)), [r["query_id"] for r in block], k, positive=True)
-        parts.append(tokens.mapInPandas(best, HITS))
-    if not parts:
-        return docs.sparkSession.createDataFrame([], HITS + ", rank int")
-    return _global_best(parts, k)
-
-
-def _in_slices(score, width: int, cells: int = 8_000_000):
-    """Score a large Arrow batch in slices, bounding the dense term matrix."""
-    rows = max(1, cells // width)
-
-    def run(batch: pd.DataFrame):
-        done = [score(batch.iloc[i : i + rows]) for i in range(0, len(batch), rows)]
-        return np.concatenate([ids for ids, _ in done]), np.concatenate([s for _, s in done])
-
-    return run
+    corpus, mean = tokens.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
+    counts = materialise(
+        tokens.select("id", F.size("words").alias("length"), F.explode("words").alias("word"))
+        .join(asked.select("word").distinct(), "word", "left_semi")
+        .groupBy("id", "length", "word").agg(F.count(F.lit(1)).alias("n")),
+        "word-counts",
+    )
+    frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log(1 + (F.lit(float(corpus)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = asked.join(frequency, "word").select("query_id", "word", (F.col("asked") * idf).alias("weight"))
+    norm = k1 * (1 - b + b * F.col("length") / F.lit(float(mean or 1.0)))
+    term = F.col("weight") * F.col("n") * (k1 + 1) / (F.col("n") + norm)
+    scored = counts.join(weights, "word").groupBy("query_id", "id").agg(F.round(F.sum(term), DIGITS).alias("score"))
+    return top_rows(scored.where("score > 0"), ["query_id"], [F.desc("score"), F.col("id")], k)
 
 
 def fuse(

@@ -17,9 +17,10 @@ from qoelens.operators.stationarity import drop_low_outliers, stationarity
 from .conftest import rows_of
 
 WAYS = {
-    "broadcast": {},
-    "shuffled": {"broadcast_keys": 0, "hot_share": 1.0},
-    "split": {"broadcast_keys": 0, "hot_share": 0.2},
+    "default": {},
+    "joined": {"hot_share": 1.0},
+    "split": {"hot_share": 0.2},
+    "counted": {"hot_share": 0.2, "size": None},
 }
 
 
@@ -34,7 +35,7 @@ def skewed(spark, n=3000, seed=1):
 def test_join_back_equals_window(spark, way):
     rows = skewed(spark)
     stats = rows.groupBy("k").agg(F.max("v").alias("top"), F.count(F.lit(1)).alias("n"))
-    got = join_back(rows, stats, ["k"], **WAYS[way])
+    got = join_back(rows, stats, ["k"], **{"size": "n", **WAYS[way]})
     top = defaultdict(int)
     for r in rows.collect():
         top[r.k] = max(top[r.k], r.v)
@@ -54,17 +55,27 @@ def test_left_join_back_keeps_unknown_keys(spark, way):
 def test_keep_members(spark, way):
     rows = skewed(spark)
     members = rows.where("k in ('hot', 'b')").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    assert rows_of(keep_members(rows, members, ["k"], **WAYS[way])) == rows_of(rows.where("k in ('hot', 'b')"))
+    options = {k: v for k, v in WAYS[way].items() if k != "size"}
+    assert rows_of(keep_members(rows, members, ["k"], **options)) == rows_of(rows.where("k in ('hot', 'b')"))
 
 
 def test_hot_rows_are_not_shuffled_by_their_key(spark):
     rows = skewed(spark).repartition(3)
     stats = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    plan = join_back(rows, stats, ["k"], broadcast_keys=0, hot_share=0.2)._jdf.queryExecution().executedPlan().toString()
+    plan = join_back(rows, stats, ["k"], size="n", hot_share=0.2)._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan and "BroadcastHashJoin" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_hot_keys_outside_the_table_are_split_too(spark):
+    rows = skewed(spark).repartition(3)
+    members = rows.where("k = 'a'").select("k").distinct()
+    plan = keep_members(rows, members, ["k"], hot_share=0.2)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
+    left = join_back(rows, members.withColumn("x", F.lit(1)), ["k"], how="left", hot_share=0.2)
+    assert left.count() == rows.count() and left.where("x = 1").count() == rows.where("k = 'a'").count()
+
+
 def test_shares_sum_to_one(spark):
     got = share_of_total(skewed(spark), ["k"], "v", "share").groupBy("k").agg(F.sum("share").alias("s")).collect()
     assert all(r.s == pytest.approx(1.0) for r in got)

@@ -175,3 +175,52 @@ def test_core_stays_in_the_jvm_without_windows(spark, build):
     plan = plan_of(build(spark))
     for node in ("Python", "InPandas", "Window", "CartesianProduct", "NestedLoop"):
         assert node not in plan
+
+
+def _byte_reports(spark, rows):
+    return spark.createDataFrame(
+        [(k, 1706572800000, (mac, bs, br)) for k, mac, bs, br in rows],
+        "rowkey string, ts bigint, Station_Data_connect_data struct<station_mac: string, bs: string, br: string>",
+    )
+
+
+def test_consumption_counts_huge_counters(spark):
+    from qoelens.plans.hourly import consumption
+
+    huge = "9999999999999999999999"
+    history = _byte_reports(spark, [
+        ("R1-SN1_M1", "m1", huge, "0"), ("R1-SN1_M1", "m1", "100", "5"), ("R1-SN1_M2", "m2", "100", "5"),
+        ("R1-SN1_M2", "m2", "n/a", "7"), ("R1-SN1_M3", "m3", "9" * 38, "9" * 38),
+    ])
+    found = {r["station_mac"]: int(r["total_bytes"]) for r in consumption(history).collect()}
+    assert found == {"m2": 105}
+
+
+def test_consumption_takes_the_last_part_of_the_key(spark):
+    from qoelens.plans.hourly import consumption
+
+    found = consumption(_byte_reports(spark, [("AB-12-SN2_M", "m", "1", "2")])).collect()
+    assert [(r["sn"], int(r["total_bytes"])) for r in found] == [("SN2", 3)]
+
+
+def test_days_without_events_are_active(spark):
+    from qoelens.plans.extensions import rate_per_active_day
+
+    daily = spark.createDataFrame([("a", 1, 3), ("a", 4, 1)], "sn string, day int, resets int")
+    reports = spark.createDataFrame([("a", d) for d in (1, 2, 3, 4, 4)] + [("b", 1)], "sn string, day int")
+    found = {r["sn"]: (r["events"], r["active_days"], r["rate"]) for r in rate_per_active_day(daily, reports, ["sn"], "resets").collect()}
+    assert found == {"a": (4, 4, 1.0), "b": (0, 1, 0.0)}
+
+
+def test_golden_votes_and_labels(spark):
+    """Cases with known answers: the vote of twelve, worst of three, number to label."""
+    from qoelens.functions.profiles import score_to_label
+    from qoelens.functions.scoring import vote, worst_label
+
+    counts = spark.createDataFrame([(7, 11, 13, 1, 1, 0)], "p5 int, f5 int, g5 int, f2 int, g2 int, e5 int")
+    picked = counts.select(vote({"Poor": ["p5"], "Fair": ["f5", "f2"], "Good": ["g5", "g2"], "Excellent": ["e5"]}, 12).alias("v")).first()["v"]
+    assert picked == "Good"
+    labels = spark.createDataFrame([("Good", "Fair", "Poor")], "a string, b string, c string")
+    assert labels.select(worst_label("a", "b", "c").alias("w")).first()["w"] == "Poor"
+    scores = spark.createDataFrame([(1,), (2,), (3,), (4,)], "s int").select(score_to_label("s").alias("l"))
+    assert [r["l"] for r in scores.collect()] == ["Poor", "Fair", "Good", "Excellent"]

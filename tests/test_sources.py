@@ -108,15 +108,15 @@ def test_mapping_csv(spark, tmp_path):
     df = spark.createDataFrame(
         [("m1", "s1", "c1", "INSTALL COMPLETE"), ("m2", "s2", "c2", "PENDING")],
         "mdn_5g string, serialnumber string, cust_id string, status string")
-    sinks.export_csv(df, str(tmp_path / "m"), single_file=True)
+    sinks.export_csv(df, str(tmp_path / "m"))
     assert rows_of(tables.read_mapping(spark, str(tmp_path / "m"))) == [("m1", "s1", "c1")]
 
 
-def test_single_file_export_refuses_large_results(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 5)
-    with pytest.raises(ValueError):
-        sinks.export_csv(spark.range(6), str(tmp_path / "e"), single_file=True)
-    sinks.export_csv(spark.range(6), str(tmp_path / "e"))
+def test_export_has_a_header_in_every_part(spark, tmp_path):
+    sinks.export_csv(spark.range(60).repartition(4), str(tmp_path / "e"))
+    parts = list((tmp_path / "e").glob("part-*.csv"))
+    assert len(parts) == 4 and all(p.read_text().startswith("id\n") for p in parts)
+    assert spark.read.option("header", True).csv(str(tmp_path / "e")).count() == 60
 
 
 def test_today_only_past_hours_are_wanted(spark):
