@@ -167,68 +167,71 @@ def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - np.log(np.pi)
 
 
-def _decisions(counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per bit: how often 0 and 1 followed each prefix; ``counts`` has 256 columns."""
-    out = []
-    for bit in range(8):
-        halves = counts.reshape(len(counts), 1 << bit, 2, 256 >> (bit + 1)).sum(axis=3)
-        out.append((halves[:, :, 0].astype(float), halves[:, :, 1].astype(float)))
-    return out
+def _decisions(counts: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often 0 and 1 followed each prefix of ``bit`` bits; ``counts`` has 256 columns."""
+    halves = counts.reshape(len(counts), 1 << bit, 2, 256 >> (bit + 1)).sum(axis=3)
+    return halves[:, :, 0].astype(float), halves[:, :, 1].astype(float)
 
 
-def model(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 of the probability of every byte in every context, ``CONTEXTS * 256`` of them."""
+def _levels(codes: np.ndarray, counts: np.ndarray):
+    """Per depth d the contexts of the last d bytes (the last byte is the lowest
+    digit) with their byte counts, and for all but the deepest the parents of
+    the contexts one deeper."""
     seen, row = np.unique(codes // 256, return_inverse=True)
     table = np.zeros((len(seen), 256), dtype=np.int64)
     np.add.at(table, (row, codes % 256), counts)
-    # Level d holds the contexts of the last d bytes; the last byte is the lowest digit.
-    levels, at = [(seen, table)], []
-    for depth in range(DEPTH - 1, -1, -1):
-        below, counts_below = levels[0]
-        parents, parent = np.unique(below % CLASSES ** depth, return_inverse=True)
-        summed = np.zeros((len(parents), 256), dtype=np.int64)
-        np.add.at(summed, parent, counts_below)
-        levels.insert(0, (parents, summed))
-        at.insert(0, parent)
-    # Bottom up: weighted probabilities, and how far each node outweighs its children.
-    outweigh: list[list[np.ndarray]] = [[] for _ in range(DEPTH)]
-    weighted = [_log_kt(z, o) for z, o in _decisions(levels[DEPTH][1])]
+    levels, above = [(seen, table)], []
     for depth in range(DEPTH - 1, -1, -1):
-        own = [_log_kt(z, o) for z, o in _decisions(levels[depth][1])]
-        above = []
-        for mine, theirs in zip(own, weighted):
-            product = np.zeros_like(mine)
-            np.add.at(product, at[depth], theirs)
-            outweigh[depth].append(mine - product)
-            above.append(np.logaddexp(mine, product) - np.log(2))
-        weighted = above
-    # Top down in the order of contexts: an unseen context predicts 1/2 below its last seen ancestor.
-    out = np.empty((CONTEXTS, 256), dtype=np.float32)
-    one = [[(o + 0.5) / (z + o + 1.0) for z, o in _decisions(c)] for _, c in levels]
-    every = np.arange(CONTEXTS)
-    rows = []
-    for depth in range(DEPTH + 1):
-        known, _ = levels[depth]
+        below, below_counts = levels[0]
+        known, parent = np.unique(below % CLASSES ** depth, return_inverse=True)
+        summed = np.zeros((len(known), 256), dtype=np.int64)
+        np.add.at(summed, parent, below_counts)
+        levels.insert(0, (known, summed))
+        above.insert(0, parent)
+    return levels, above
+
+
+def model(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """log10 of the probability of every byte in every context, ``CONTEXTS * 256``
+    of them. The trees of the eight bits are worked out one after another."""
+    levels, above = _levels(codes, counts)
+    every, rows = np.arange(CONTEXTS), []
+    for depth, (known, _) in enumerate(levels):
         wanted = every % CLASSES ** depth
-        place = np.searchsorted(known, wanted)
-        place[place == len(known)] = 0
+        place = np.minimum(np.searchsorted(known, wanted), max(len(known) - 1, 0))
         rows.append(np.where(known[place] == wanted, place, -1) if len(known) else np.full(CONTEXTS, -1))
-    for first in range(0, CONTEXTS, 1000):
-        part = slice(first, first + 1000)
-        log_p = np.zeros((len(every[part]), 256))
-        for bit in range(8):
-            leaf = rows[DEPTH][part]
-            mixed = np.where((leaf >= 0)[:, None], one[DEPTH][bit][leaf] if len(levels[DEPTH][0]) else 0.5, 0.5)
-            for depth in range(DEPTH - 1, -1, -1):
+    out = np.zeros((CONTEXTS, 256), dtype=np.float32)
+    for bit in range(8 if len(codes) else 0):
+        # Bottom up: weighted probabilities, and how far a node outweighs its children.
+        one, outweigh, weighted = [], [], None
+        for depth in range(DEPTH, -1, -1):
+            zeros, ones = _decisions(levels[depth][1], bit)
+            one.insert(0, (ones + 0.5) / (zeros + ones + 1.0))
+            own = _log_kt(zeros, ones)
+            if weighted is None:
+                weighted = own
+                continue
+            product = np.zeros_like(own)
+            np.add.at(product, above[depth], weighted)
+            outweigh.insert(0, own - product)
+            weighted = np.logaddexp(own, product) - np.log(2)
+        # Top down in the order of contexts: below its last seen ancestor an unseen context predicts 1/2.
+        for first in range(0, CONTEXTS, 2000):
+            part = slice(first, first + 2000)
+            mixed = np.full((len(every[part]), 1 << bit), 0.5)
+            for depth in range(DEPTH, -1, -1):
                 node = rows[depth][part]
-                if not len(levels[depth][0]):
-                    continue
-                lead = 1 / (1 + np.exp(-np.clip(outweigh[depth][bit][node], -700, 700)))
-                mixed = np.where((node >= 0)[:, None], lead * one[depth][bit][node] + (1 - lead) * mixed, mixed)
+                if depth == DEPTH:
+                    new = one[depth][node]
+                else:
+                    lead = 1 / (1 + np.exp(-np.clip(outweigh[depth][node], -700, 700)))
+                    new = lead * one[depth][node] + (1 - lead) * mixed
+                mixed = np.where((node >= 0)[:, None], new, mixed)
             mixed = np.clip(mixed, 1e-12, 1 - 1e-12)
             both = np.stack([np.log10(1 - mixed), np.log10(mixed)], axis=2).reshape(len(mixed), -1)
-            log_p += np.repeat(both, 256 >> (bit + 1), axis=1)
-        out[part] = log_p
+            out[part] += np.repeat(both, 256 >> (bit + 1), axis=1)
+    if not len(codes):
+        out += 8 * np.log10(0.5)
     return out.ravel()
 
 
@@ -263,6 +266,25 @@ def _score(parameters: Broadcast):
 _SCORED = "doc_id bigint, score double, n_coded bigint, n_words bigint, logs double, known bigint, rest array<bigint>"
 
 
+def _columns(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """key and n of a bounded table, on the driver."""
+    table = rows.select("key", "n").toArrow()
+    return tuple(table.column(c).to_numpy().copy() for c in ("key", "n"))
+
+
+def _common_from(words: DataFrame) -> int:
+    """The smallest count such that at most ``COMMON_WORDS`` words have it or more."""
+    step = F.floor(F.log2(F.col("n")) * 16)
+    ladder = words.groupBy(step.alias("step")).agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("words")).orderBy(F.desc("step"))
+    have, least = 0, 1 << 62
+    for row in ladder.collect():  # sixteen steps per doubling, a thousand at most
+        have += row["words"]
+        if have > COMMON_WORDS:
+            break
+        least = row["n"]
+    return least
+
+
 def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text) by what ``training`` (text) teaches.
 
@@ -275,16 +297,15 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     counts = tally(training)
-    byte_rows = counts.where(F.col("kind") == BYTE).select("key", "n").toPandas()  # at most 2^24, see above
     words = counts.where(F.col("kind") == WORD).select("key", "n")
     n_words, vocabulary = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     texts = counts.where(F.col("kind") == TEXT).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tokens, types = n_words + texts, vocabulary + (texts > 0)
-    common = words.orderBy(F.desc("n"), "key").limit(COMMON_WORDS).toPandas()
-    order = np.argsort(common["key"].to_numpy().astype(np.int64).view(np.uint64))
-    keys = common["key"].to_numpy().astype(np.int64).view(np.uint64)[order]
-    often = common["n"].to_numpy().astype(np.float64)[order]
-    log_p = model(byte_rows["key"].to_numpy().astype(np.int64), byte_rows["n"].to_numpy().astype(np.int64))
+    keys, often = _columns(words.where(F.col("n") >= _common_from(words)))
+    order = np.argsort(keys.view(np.uint64))
+    keys, often = keys.view(np.uint64)[order], often[order].astype(np.float64)
+    # At most 2^24 counts, see above.
+    log_p = model(*_columns(counts.where(F.col("kind") == BYTE).select("key", "n")))
     parameters = spark.sparkContext.broadcast((log_p, keys, often))
 
     scored = docs.select("doc_id", "text").mapInArrow(_score(parameters), _SCORED)
