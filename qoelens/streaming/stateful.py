@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import Step, count_steps, last_rows
+from ..operators.skew import join_back
 from .sink import batches
 
 
@@ -33,12 +34,13 @@ class StepCounter:
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         rows = batch.select(*dict.fromkeys([*self.keys, *self.groups, *self.order, self.value]))
-        rows = rows.where(F.col(self.value).isNotNull())
+        # The batch is read for its hot series, for late rows, for counts and for last rows.
+        whole = rows = rows.where(F.col(self.value).isNotNull()).persist()
         carry = self._carried(batch, number)
         folder = f"batch={number:08d}"
         if carry is not None:
             seen = carry.select(*self.keys, F.struct(*self.order).alias("_seen"))
-            placed = rows.join(seen, self.keys, "left")
+            placed = join_back(rows, seen, self.keys, how="left")
             is_late = F.coalesce(F.struct(*self.order) < F.col("_seen"), F.lit(False))
             placed.where(is_late).drop("_seen").write.mode("overwrite").parquet(f"{self.path}/late/{folder}")
             rows = placed.where(~is_late).drop("_seen")
@@ -48,6 +50,7 @@ class StepCounter:
         if carry is not None:
             known = known.unionByName(carry)
         last_rows(known, self.keys, self.order, self.value).write.mode("overwrite").parquet(f"{self.path}/last/{folder}")
+        whole.unpersist()
 
     def _carried(self, batch: DataFrame, number: int) -> DataFrame | None:
         spark = batch.sparkSession

@@ -217,8 +217,8 @@ def test_golden_votes_and_labels(spark):
     from qoelens.functions.profiles import score_to_label
     from qoelens.functions.scoring import vote, worst_label
 
-    counts = spark.createDataFrame([(7, 11, 13, 1, 1, 0)], "p5 int, f5 int, g5 int, f2 int, g2 int, e5 int")
-    picked = counts.select(vote({"Poor": ["p5"], "Fair": ["f5", "f2"], "Good": ["g5", "g2"], "Excellent": ["e5"]}, 12).alias("v")).first()["v"]
+    counts = spark.createDataFrame([(7, 11, 13, 0, 0, 1, 1, 0)], "p5 int, f5 int, g5 int, e5 int, p2 int, f2 int, g2 int, e2 int")
+    picked = counts.select(vote({k: [f"{k[0].lower()}5", f"{k[0].lower()}2"] for k in ("Poor", "Fair", "Good", "Excellent")}, 12).alias("v")).first()["v"]
     assert picked == "Good"
     labels = spark.createDataFrame([("Good", "Fair", "Poor")], "a string, b string, c string")
     assert labels.select(worst_label("a", "b", "c").alias("w")).first()["w"] == "Poor"
