@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from .. import telemetry as data
 from ..operators.skew import materialise
 from ..operators.stationarity import drop_low_outliers, mobility, stationarity
 from ..plans import hourly as H
+from ..plans.jobs import HourlyPaths, backfill_hours, day_before, score_hour
+from ..session import run_dir
+from ..sources import sinks, tables
 from . import sql as S
 from .base import query
 
@@ -364,3 +369,20 @@ def coverage_pillar(spark, sf_dir):
     return _pillar_stations(spark, sf_dir).select(
         "sn", "station_mac", "date", "hour", "p90_rssi_2_4g", "p90_rssi_5g", "p90_rssi_6g", "station_coverage"
     )
+
+
+@query("hourly_jobs", home_score_sql())
+def hourly_jobs(spark, sf_dir):
+    """Two of three hours are scored by the hour's job, the third is found and
+    scored by the back-fill; mobility comes from the day before."""
+    base = run_dir(spark, "hourly")
+    paths = HourlyPaths(*(f"{base}/{t}" for t in ("history", "groups", "mobility", "stations", "homes")))
+    history, before = data.station_history(spark, sf_dir), day_before(data.SCORE_DATE)
+    sinks.write_partitions(history, paths.history)
+    sinks.write_partitions(data.device_groups(spark, sf_dir), paths.groups)
+    mobility(H.connection_records(history), ["sn", "station_mac"], "rssi").write.parquet(f"{paths.mobility}/date={before}")
+    for hour in ("08", "18"):
+        score_hour(spark, paths, data.SCORE_DATE, hour)
+    if backfill_hours(spark, paths, [data.SCORE_DATE], datetime(2024, 1, 31)) != 2:
+        raise RuntimeError("the back-fill did not find both outputs of the missing hour")
+    return tables.read_partitioned(spark, paths.homes)
