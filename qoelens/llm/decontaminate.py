@@ -34,6 +34,8 @@ BLOCKS, BLOCK_BITS = 8, 8
 #: Bits that may differ within a block.
 FLIPS = 2
 RADIUS = BLOCKS * (FLIPS + 1) - 1
+#: Most item shingles that are broadcast, 16 bytes each.
+MOST_BROADCAST = 1 << 20
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _KEY = ("doc_id", "text_hash")
 
@@ -119,6 +121,34 @@ def _weights(windows: DataFrame, key: list[str], weight: str) -> DataFrame:
     return windows.select(*key, F.explode("shingles").alias("g")).groupBy(*key, "g").agg(F.count(F.lit(1)).alias(weight))
 
 
+def _item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, row, n_words, at, start_word, shingles): a window of
+    ``n_words`` words for every shingle of a text, at ``at``, that an item of
+    ``n_words`` words has. ``row`` tells repeated rows of a document apart.
+
+    The items' shingles are broadcast if there are at most ``MOST_BROADCAST``;
+    then windows are cut where the texts are read and no text is shuffled. More of
+    them are joined by shingle, and the texts that met any are read again.
+    """
+    wanted = materialise(items.select(F.explode("shingles").alias("g"), "n_words").distinct(), "wanted")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
+    at_hand = wanted.count() <= MOST_BROADCAST
+    texts = with_shingles(keyed, *_KEY, "row")
+    held = [*_KEY, "row", F.col("n_words").alias("size"), *(["shingles"] if at_hand else [])]
+    met = texts.select(*held, F.posexplode("shingles").alias("at", "g")).join(F.broadcast(wanted) if at_hand else wanted, "g")
+    start = F.when(F.col("size") < F.col("n_words"), 0).otherwise(F.least(F.col("at"), F.col("size") - F.col("n_words")))
+    starts = met.withColumn("start_word", start)
+    window = F.slice("shingles", F.col("start_word") + 1, F.greatest(F.col("n_words") - (SHINGLE - 1), F.lit(1))).alias("shingles")
+    if not at_hand:
+        starts = materialise(starts.select(*_KEY, "n_words", "at", "start_word").distinct(), "starts")
+        some = starts.select(*_KEY).distinct()
+        again = keyed.join(some, reduce(Column.__and__, (keyed[k].eqNullSafe(some[k]) for k in _KEY)), "left_semi")
+        cut = with_shingles(again.dropDuplicates(list(_KEY)), *_KEY).select(*(F.col(k).alias(f"_{k}") for k in _KEY), "shingles")
+        same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _KEY))
+        starts = starts.withColumn("row", F.lit(0).cast("long")).join(cut, same)
+    return materialise(starts.select(*_KEY, "row", "n_words", "at", "start_word", window), "windows")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Where items of ``benchmark`` (item_id, text) stand in ``docs`` (doc_id, text).
 
@@ -130,27 +160,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     give no rows.
     """
     items = materialise(with_shingles(benchmark.where("item_id is not null"), "item_id").where("n_words > 0"), "items")
-    wanted = items.select(F.explode("shingles").alias("g"), "n_words").distinct()
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    texts = with_shingles(keyed, *_KEY)
-    placed = texts.select(*_KEY, F.col("n_words").alias("size"), F.posexplode("shingles").alias("at", "g"))
-    met = placed.join(wanted, "g")
-    short = F.col("size") < F.col("n_words")
-    starts = met.select(
-        *_KEY, "n_words", F.when(short, F.lit(0)).otherwise(F.least(F.col("at"), F.col("size") - F.col("n_words"))).alias("start_word")
-    )
-    starts = materialise(starts.distinct(), "windows")
-    # Only texts that share something are read and cut again.
-    some = starts.select(*_KEY).distinct()
-    again = keyed.join(some, reduce(Column.__and__, (keyed[k].eqNullSafe(some[k]) for k in _KEY)), "left_semi")
-    cut = with_shingles(again.dropDuplicates(list(_KEY)), *_KEY).drop("n_words")
-    held = starts.join(cut, reduce(Column.__and__, (starts[k].eqNullSafe(cut[k]) for k in _KEY)))
-    length = F.greatest(F.col("n_words") - (SHINGLE - 1), F.lit(1))
-    windows = materialise(
-        held.select(*(starts[k] for k in _KEY), "n_words", "start_word", F.slice("shingles", F.col("start_word") + 1, length).alias("shingles")),
-        "windows",
-    )
-    key = [*_KEY, "n_words", "start_word"]
+    windows = _item_windows(docs, items)
+    key = [*_KEY, "row", "n_words", "at", "start_word"]
     found = near(fingerprints(windows, key), fingerprints(items, ["item_id", "n_words"]).withColumnRenamed("total", "item_total"))
     found = materialise(found, "pairs")
     again = reduce(Column.__and__, (F.col(f"p.{k}").eqNullSafe(F.col(f"w.{k}")) for k in key))
@@ -176,4 +187,4 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item stands."""
     found = materialise(leaks(docs, benchmark).select(*_KEY).distinct(), "leaks")
     same = docs["doc_id"].eqNullSafe(found["doc_id"]) & (F.xxhash64(docs["text"]) == found["text_hash"])
-    return docs.join(found, same, "left_anti")
+    return docs.join(found.hint("merge"), same, "left_anti")

@@ -146,7 +146,9 @@ def plain_leaks(docs, items):
     return out
 
 
-def test_leaks_against_all_windows(spark):
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_leaks_against_all_windows(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", most)
     rng = random.Random(11)
     vocabulary = [f"w{i}" for i in range(400)]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([4, 6, 20, 30, 30, 45])))) for i in range(25)] + [(90, ""), (91, None), (92, "one two")]
