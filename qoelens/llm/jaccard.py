@@ -151,15 +151,21 @@ def _member_filter(alive: DataFrame) -> np.ndarray:
     return bits
 
 
-def _whole_sets(bits):
+def _filtered(bits, inside: bool):
+    """Rows whose position ``__at`` is set in the filter, or those whose isn't."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = np.unpackbits(bits.value, bitorder="little").astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(member[batch.column("__at").to_numpy()] == inside))
+
+    return run
 
-        def chosen():
-            for batch in batches:
-                yield batch.filter(pa.array(member[batch.column("at").to_numpy()]))
 
-        for batch, data, offsets in B.slices(chosen()):
+def _whole_sets(bits):
+    chosen = _filtered(bits, True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in B.slices(chosen(batches)):
             _, _, hashes, bounds = B.words(data, offsets, lower=True)
             sets = B.shingle_sets(hashes, bounds)
             one = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
@@ -176,7 +182,7 @@ def _whole_sets(bits):
 def _sets(docs: DataFrame, alive: DataFrame) -> DataFrame:
     """(doc_id, n, grams) of the documents in ``alive``."""
     bits = docs.sparkSession.sparkContext.broadcast(_member_filter(alive))
-    rows = docs.select("doc_id", "text", _filter_position().alias("at")).where("doc_id is not null").mapInArrow(
+    rows = docs.select("doc_id", "text", _filter_position().alias("__at")).where("doc_id is not null").mapInArrow(
         _whole_sets(bits), "doc_id bigint, sig_a bigint, grams array<bigint>"
     )
     return rows.join(alive.select("doc_id", "sig_a", "n"), ["doc_id", "sig_a"]).dropDuplicates(["doc_id", "sig_a"]).drop("sig_a")
@@ -294,7 +300,11 @@ def keep_first(docs: DataFrame) -> DataFrame:
     known = materialise(signatures(docs), "sizes")
     parts = _components(docs, known)
     later = materialise(parts.where("component <> doc_id").select("doc_id"), "later")
-    kept = docs.join(later, "doc_id", "left_anti").select(docs.columns)
+    # Most rows miss the filter and stay without being shuffled; the others are looked up.
+    bits = docs.sparkSession.sparkContext.broadcast(_member_filter(later))
+    marked = docs.withColumn("__at", F.coalesce(_filter_position(), F.lit(0)))
+    stay, ask = (marked.mapInArrow(_filtered(bits, inside), marked.schema).drop("__at") for inside in (False, True))
+    kept = stay.unionByName(ask.join(later.hint("merge"), "doc_id", "left_anti").select(docs.columns))
     repeated = known.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept

@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..operators.skew import materialise
 from . import textbytes as B
@@ -218,5 +217,5 @@ def take(docs: DataFrame) -> DataFrame:
     mixed = mix(docs)
     times = mixed.groupBy("doc_id", "source").agg(F.max("times").alias("_times")).where("_times > 0")
     same = docs["doc_id"].eqNullSafe(times["doc_id"]) & docs["source"].eqNullSafe(times["source"])
-    taken = docs.join(times, same).select(docs["*"], "_times")
+    taken = docs.join(times.hint("merge"), same).select(docs["*"], "_times")
     return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))).drop("_copy", "_times")

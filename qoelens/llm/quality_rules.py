@@ -141,8 +141,8 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, data, offsets in B.slices(batches):
+def _add_counts(batches: Iterator[pa.RecordBatch], inside: str | None = None) -> Iterator[pa.RecordBatch]:
+    for batch, data, offsets in B.slices(batches, inside):
         found = counts(data, offsets)
         yield pa.record_batch(
             [batch.column("row"), *(pa.array(found[c].astype(np.int64)) for c in BASE + MORE)],
@@ -150,11 +150,15 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _add_counts_to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _add_counts(batches, "row")
+
+
 def with_counts(docs: DataFrame, *columns: str) -> DataFrame:
     """Rows as a struct ``row`` (of all or the given columns, so that no name can clash) and their counts."""
-    rows = docs.select(F.struct(*(columns or ["*"])).alias("row"), F.col("text"))
+    rows = docs.select(F.struct(*(columns or ["*"])).alias("row"), *(["text"] if columns else []))
     schema = T.StructType([rows.schema["row"], *(T.StructField(c, T.LongType()) for c in BASE + MORE)])
-    return rows.mapInArrow(_add_counts, schema)
+    return rows.mapInArrow(_add_counts if columns else _add_counts_to_rows, schema)
 
 
 def votes() -> dict[str, Column]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import run_dir
 from ..telemetry import table
 from . import context_tree, decontaminate, grades, jaccard, language, licenses, mixing, quality_rules, secret_scan, token_store
+from .store import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +33,7 @@ _WORDS = (
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return table(spark, sf_dir, "documents")
 
 

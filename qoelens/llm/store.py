@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.skew import materialise
 
@@ -10,6 +10,17 @@ from ..operators.skew import materialise
 PER_FILE = 8
 
 
+#: Rows and bytes of text that travel to Python at once.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end after a few MB, so that a task's memory does not
+    depend on how long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def compact(df: DataFrame, purpose: str) -> DataFrame:
     """``materialise`` for a table much smaller than what it is made from: a
     file for every few shuffle partitions, which one task goes through in turn."""

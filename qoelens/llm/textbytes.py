@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer document is a slice of its own.
 SLICE = 4 << 20
@@ -54,19 +55,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Pieces of the batches with about ``SLICE`` bytes of text each, so that
-    memory is bounded by that and the longest document."""
+def slices(batches: Iterator[pa.RecordBatch], inside: str | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Pieces of the batches with about ``SLICE`` bytes of ``text`` each, so that
+    memory is bounded by that and the longest document. ``inside`` names the
+    struct column that holds ``text``, if one does."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        data, offsets = text_bytes(batch.column(column))
+        data, offsets = text_bytes(pc.struct_field(batch.column(inside), "text") if inside else batch.column("text"))
         first = 0
         while first < batch.num_rows:
             last = int(np.searchsorted(offsets, offsets[first] + SLICE, side="right")) - 1
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first), data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
             first = last
+    pa.default_memory_pool().release_unused()
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:

@@ -166,7 +166,7 @@ class Encoder:
     hash. Beyond ``most`` pieces, or stretches, it starts to remember anew.
     """
 
-    def __init__(self, path: str, most: int = 2_000_000, most_stretches: int = 400_000):
+    def __init__(self, path: str, most: int = 1_200_000, most_stretches: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenize = Tokenizer.from_file(path).model.tokenize
