@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from qoelens.llm import decontaminate, jaccard, mixing, quality_rules, token_store
+from qoelens.llm.store import small_batches
 from qoelens.operators.skew import materialise
 from qoelens.session import run_dir
 from qoelens.telemetry import table
@@ -17,11 +18,13 @@ from qoelens.telemetry import table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed votes of the quality rules call good."""
+    small_batches(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id."""
+    small_batches(spark)
     return jaccard.keep_first(docs)
 
 
@@ -32,11 +35,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them: not at all, or one to three times."""
+    small_batches(spark)
     return mixing.take(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token ids of all documents in order, and a digest of each read back from them."""
+    small_batches(spark)
     folder = run_dir(spark, "tokens")
     token_store.write(docs, folder, token_store.public_tokenizer())
     return token_store.digests(spark, folder)
