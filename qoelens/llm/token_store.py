@@ -163,13 +163,20 @@ class Encoder:
     """Ids of whole texts. What the tokenizer merges never reaches across white
     space, so the pieces between white space, and the stretches it cuts them
     into, go through its model once and are remembered, pieces by their 64-bit
-    hash. Beyond ``most`` pieces, or stretches, it starts to remember anew.
+    hash. A piece that contains one of the file's added tokens is encoded by the
+    library as it stands. Beyond ``most`` pieces, or stretches, it starts to remember anew.
     """
 
     def __init__(self, path: str, most: int = 1_200_000, most_stretches: int = 200_000):
         from tokenizers import Tokenizer
 
-        self.tokenize = Tokenizer.from_file(path).model.tokenize
+        self.whole = Tokenizer.from_file(path)
+        self.tokenize = self.whole.model.tokenize
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        if any(t.split() != [t] for t in added):
+            raise ValueError("an added token has white space, so texts can't be cut there")
+        # The library finds added tokens first. Those it looks for in normalised text are lower-cased there.
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
         self.most, self.most_stretches = most, most_stretches
         self.stretches: dict[str, list[int]] = {}
         self._forget()
@@ -182,6 +189,8 @@ class Encoder:
         self.ids = np.empty(0, np.uint32)
 
     def _ids_of(self, piece: str) -> list[int]:
+        if self.added.search(piece):
+            return self.whole.encode(piece, add_special_tokens=False).ids
         out: list[int] = []
         for stretch in cut(piece):
             ids = self.stretches.get(stretch)

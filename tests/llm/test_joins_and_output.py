@@ -214,6 +214,21 @@ def test_ids_are_the_tokenizers(most):
             assert ids[a:b].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1]
 
 
+@pytest.mark.parametrize("most", [2, 10_000])
+def test_added_tokens_keep_their_own_ids(most):
+    from tokenizers import Tokenizer
+
+    texts = [
+        "a <|endoftext|> b", "<|startoftext|>hello", "x<|endoftext|><|startoftext|>Y's <|ENDOFTEXT|>",
+        "é<|endoftext|>\u0301 a", "<|endoftext|", *TRICKY,
+    ]
+    encoder, library = token_store.Encoder(token_store.public_tokenizer(), most, most), Tokenizer.from_file(token_store.public_tokenizer())
+    ids, sizes = encoder.encode(*B.text_bytes(pa.array(texts)))
+    ends = np.cumsum(sizes)
+    for text, a, b in zip(texts, (ends - sizes).tolist(), ends.tolist()):
+        assert ids[a:b].tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+
+
 def test_token_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_store, "BLOCK_IDS", 50)
     rows = list(ROWS) + [(300 + i, t, None, None) for i, t in enumerate(TRICKY)]
