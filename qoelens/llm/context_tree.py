@@ -1,10 +1,16 @@
 """Language-model scoring by context-tree weighting over bytes.
 
 A byte is eight binary decisions, first bit first. Every decision has its own
-context tree: the contexts are the last 0 to ``DEPTH`` bytes, each folded to
-one of 40 classes (26 letters, blank, line end, digit, other ASCII and ten for
-the bytes of other characters), so a tree has at most 40^3 leaves and the whole
-model at most 2^24 counts, whatever the corpus. The coded byte is not folded.
+context tree: the contexts are the last 0 to ``CONTEXT_BYTES`` bytes as they
+are, and their number grows with the corpus.
+
+The contexts, in the order of their last byte, the one before it and so on, are
+cut into fragments of a few MB of text each, so that all contexts that end alike
+are neighbours. Each fragment counts its contexts and weights them bottom up; a
+context that a cut goes through, at most eight for each cut, belongs to several
+fragments, which hand in what they have of it. The counts are a written table.
+For scoring, the contexts of the texts go to their fragments, and what these
+find is added up for each text.
 
 Each node has a Krichevsky-Trofimov estimate of its two counts, and the weighted
 probability of a node is half its own estimate and half the product of its
@@ -22,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import materialise
 from . import textbytes as B
 
+# The small tree of three folded bytes: no query uses it, a test works it out by hand.
 DEPTH = 3
 CLASSES = 40
 CONTEXTS = CLASSES ** DEPTH
@@ -120,21 +127,17 @@ def _rows(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     )
 
 
-#: Kinds of counts: bytes in contexts, words, ends (all texts).
-BYTE, WORD, TEXT = 0, 1, 2
+#: Kinds of counts: words, ends (all texts).
+WORD, TEXT = 1, 2
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    coded, words, texts = _Tally(1 << 22), _Tally(HELD_WORDS), 0
+    words, texts = _Tally(HELD_WORDS), 0
     for batch, data, offsets in B.slices(batches):
-        coded.add(_codes(data, offsets)[0])
         words.add(B.words(data, offsets, lower=True)[2])
         texts += batch.num_rows
-        if coded.full():
-            yield _rows(BYTE, *coded.take())
         if words.full():
             yield _rows(WORD, *words.take())
-    yield _rows(BYTE, *coded.take())
     yield _rows(WORD, *words.take())
     yield _rows(TEXT, np.zeros(1, np.uint64), np.array([texts]))
 
@@ -235,35 +238,434 @@ def model(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out.ravel()
 
 
-def _score(parameters: Broadcast):
-    """Per text the model's score, the number of tokens, and of its distinct words
-    what is known at hand; the rest as rows to be joined."""
+#: Bytes of context, unfolded: with the coded byte they fill a 64-bit key.
+CONTEXT_BYTES = 7
+#: Bytes of text between two sampled contexts, and sampled contexts a fragment of the model has.
+SAMPLE_STEP, FRAGMENT_SAMPLES = 1 << 18, 24
+BILLION = 10 ** 9
+#: Distinct keys a task holds before it hands their counts on.
+HELD_KEYS = 1 << 21
+
+
+def _keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last seven bytes, the last one highest, and the byte itself as one
+    64-bit key, for every byte and end of the texts; and where each text starts."""
+    n = len(offsets) - 1
+    starts = offsets + np.arange(n + 1)
+    coded = np.full(len(data) + n, END, dtype=np.uint8)
+    body = np.ones(len(coded), dtype=bool)
+    body[starts[1:] - 1] = False
+    coded[body] = B.LOWER[data]
+    symbol = np.where(body, coded, np.uint8(0x0A))
+    keys = coded.astype(np.uint64)
+    for back in range(1, CONTEXT_BYTES + 1):
+        before = np.full(len(coded), 0x0A, dtype=np.uint8)
+        before[back:] = symbol[:-back]
+        for k in range(back - 1):
+            late = starts[:-1] + k
+            before[late[late < starts[1:]]] = 0x0A
+        keys |= before.astype(np.uint64) << np.uint64(64 - 8 * back)
+    return keys, starts
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers, compressed: their lowest bytes, the next ones and so on, as many as the largest needs."""
+    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    held = values.astype(np.uint64).view(np.uint8).reshape(-1, 8)
+    planes = b"".join(held[:, k].tobytes() for k in range(width))
+    return len(values).to_bytes(7, "little") + bytes([width]) + pa.Codec("zstd", 3).compress(planes, asbytes=True)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    n, width = int.from_bytes(raw[:7], "little"), raw[7]
+    planes = np.frombuffer(pa.Codec("zstd", 3).decompress(raw[8:], width * n, asbytes=True), np.uint8).reshape(width, n)
+    out = np.zeros((n, 8), np.uint8)
+    for k in range(width):
+        out[:, k] = planes[k]
+    return out.view(np.uint64).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys, compressed."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw), dtype=np.uint64)
+
+
+def _sampled(step: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = step // 2
+        for _, data, _ in B.slices(batches):
+            places = np.arange(at, len(data), step)
+            at += len(places) * step - len(data)
+            found = np.zeros(len(places), np.uint64)
+            for back in range(1, CONTEXT_BYTES + 1) if len(places) else ():
+                found |= B.LOWER[data[np.maximum(places - back, 0)]].astype(np.uint64) << np.uint64(64 - 8 * back)
+            yield pa.record_batch([pa.array(found.view(np.int64))], names=["key"])
+
+    return run
+
+
+def fragment_splits(docs: DataFrame) -> np.ndarray:
+    """The first keys of all fragments of the model but the first one. There is
+    one for every few MB of text, and each gets about as many bytes to score."""
+    rows = docs.select("text").mapInArrow(_sampled(SAMPLE_STEP), "key bigint").toArrow()  # one for every 256 KB of text
+    found = np.sort(rows.column("key").to_numpy().view(np.uint64))
+    return np.unique(found[FRAGMENT_SAMPLES::FRAGMENT_SAMPLES])
+
+
+def _fragment_bounds(splits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where the keys of each fragment start among ascending keys, and where the last one's end."""
+    return np.concatenate([[0], np.searchsorted(keys, splits), [len(keys)]]).astype(np.int64)
+
+
+_COUNTED = "fragment bigint, keys binary, counts binary"
+
+
+def _count_contexts(splits: np.ndarray):
+    def rows(tally: _Tally) -> pa.RecordBatch:
+        keys, counts = tally.take()
+        bounds = _fragment_bounds(splits, keys)
+        some = np.flatnonzero(np.diff(bounds))
+        cut = [(bounds[f], bounds[f + 1]) for f in some]
+        return pa.record_batch(
+            [
+                pa.array(some), pa.array([_packed_keys(keys[a:b]) for a, b in cut], pa.binary()),
+                pa.array([_packed(counts[a:b]) for a, b in cut], pa.binary()),
+            ],
+            names=["fragment", "keys", "counts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_p, common, often = parameters.value
+        coded = _Tally(HELD_KEYS)
+        for _, data, offsets in B.slices(batches):
+            coded.add(_keys(data, offsets)[0])
+            if coded.full():
+                yield rows(coded)
+        yield rows(coded)
+
+    return run
+
+
+def _at_depth(keys: np.ndarray, depth: int) -> np.ndarray:
+    """Keys with the last ``depth`` bytes of context only."""
+    byte = keys & np.uint64(0xFF)
+    return keys >> np.uint64(64 - 8 * depth) << np.uint64(8) | byte if depth else byte
+
+
+class _Tree:
+    """One fragment of the model, or what several fragments share.
+
+    ``levels[d]`` has the distinct keys of depth ``d`` and their counts. A
+    context that a split stands in belongs to several fragments: its counts are
+    the whole ones, and ``known[d, bit]`` has its nodes, how they lead over
+    their children and what they estimate.
+    """
+
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], shared: list[np.ndarray], known=None, below=None):
+        self.levels, self.shared, self.known, self.below = levels, shared, known, below
+        self.up = []
+        for depth in range(CONTEXT_BYTES):
+            low = levels[depth + 1][0]
+            above = low >> np.uint64(16) << np.uint64(8) | low & np.uint64(0xFF)
+            self.up.append(np.searchsorted(levels[depth][0], above))
+        self.held = [np.isin(codes >> np.uint64(8), shared[depth]) for depth, (codes, _) in enumerate(levels)]
+
+    def nodes(self, bit: int):
+        """Per depth the nodes of the decision, bottom up worked out: (codes,
+        first entry, node of each entry, estimate, lead, products of shared nodes)."""
+        out, weighted, under = [], None, None
+        for depth in range(CONTEXT_BYTES, -1, -1):
+            codes, counts = self.levels[depth]
+            group = codes >> np.uint64(8 - bit)
+            new = np.append(True, group[1:] != group[:-1]) if len(group) else np.empty(0, bool)
+            first, node = np.flatnonzero(new), np.cumsum(new) - 1
+            total = np.bincount(node, counts, len(first))
+            ones = np.bincount(node, counts * (codes >> np.uint64(7 - bit) & np.uint64(1)).astype(np.int64), len(first))
+            estimate, own = (ones + 0.5) / (total + 1.0), _log_kt_of(total - ones, ones)
+            held = self.held[depth][first]
+            product = np.zeros(len(first))
+            if weighted is not None:
+                parent = node[self.up[depth][under[0]]]
+                # What the driver adds up may not be counted in by every fragment that shares it.
+                mine = ~under[1] if self.below is None else np.ones(len(parent), bool)
+                product += np.bincount(parent[mine], weighted[mine], len(first))
+            if self.below is not None and (depth, bit) in self.below:
+                at, value = self.below[depth, bit]
+                product[np.searchsorted(group[first], at)] += value
+            lead = 1 / (1 + np.exp(-np.clip(own - product, -700, 700))) if depth < CONTEXT_BYTES else np.ones(len(first))
+            if self.known is not None and held.any():
+                at, leads = self.known[depth, bit]
+                lead[held] = leads[np.searchsorted(at, group[first][held])]
+            weighted = np.logaddexp(own, product) - np.log(2) if depth < CONTEXT_BYTES else own
+            under = (first, held)
+            out.insert(0, (group[first], first, node, estimate, lead, product))
+        return out
+
+    def log_p(self, queries: np.ndarray) -> np.ndarray:
+        """log10 of the probability of the byte of each of the ascending keys."""
+        codes = self.levels[CONTEXT_BYTES][0]
+        place = np.minimum(np.searchsorted(codes, queries), max(len(codes) - 1, 0))
+        seen = codes[place] == queries if len(codes) else np.zeros(len(queries), bool)
+        other = queries[~seen]
+        of_seen, of_other = np.zeros(len(codes)), np.zeros(len(other))
+        for bit in range(8):
+            p, a, b = np.full(len(other), 0.5), np.zeros(0), np.ones(0)
+            nodes = self.nodes(bit)
+            for depth, (group, first, node, estimate, lead, _) in enumerate(nodes):
+                # What a text's byte gets is a + b * what the deeper contexts predict; an unseen one predicts 1/2.
+                if depth:
+                    parent = nodes[depth - 1][2][self.up[depth - 1][first]]
+                    a, b = a[parent], b[parent]
+                else:
+                    a, b = np.zeros(len(group)), np.ones(len(group))
+                a, b = a + b * lead * estimate, b * (1 - lead)
+                if len(other) and len(group):
+                    wanted = _at_depth(other, depth) >> np.uint64(8 - bit)
+                    at = np.minimum(np.searchsorted(group, wanted), len(group) - 1)
+                    p = np.where(group[at] == wanted, a[at] + b[at] / 2, p)
+            for total, chance, keys in ((of_seen, a[node], codes), (of_other, p, other)):
+                chance = np.clip(chance, 1e-12, 1 - 1e-12)
+                one = (keys >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
+                total += np.log10(np.where(one, chance, 1 - chance))
+        out = np.empty(len(queries))
+        out[seen], out[~seen] = of_seen[place[seen]], of_other
+        return out
+
+
+#: Log-gamma of halves and wholes up to here is looked up.
+_SMALL = 1 << 16
+_GAMMA_HALF, _GAMMA_WHOLE = _log_gamma(np.arange(_SMALL) + 0.5), _log_gamma(np.arange(_SMALL) + 1.0)
+
+
+def _log_kt_of(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """``_log_kt`` with small counts looked up."""
+    total = zeros + ones
+    small = total < _SMALL
+    z, o = np.where(small, zeros, 0).astype(np.int64), np.where(small, ones, 0).astype(np.int64)
+    out = _GAMMA_HALF[z] + _GAMMA_HALF[o] - _GAMMA_WHOLE[z + o] - np.log(np.pi)
+    if not small.all():
+        out[~small] = _log_kt(zeros[~small], ones[~small])
+    return out
+
+
+def _shared_contexts(splits: np.ndarray) -> list[np.ndarray]:
+    """Per depth the contexts that a split stands in."""
+    return [np.unique(_at_depth(splits, depth) >> np.uint64(8)) for depth in range(CONTEXT_BYTES + 1)]
+
+
+def _levels_of(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    levels = [(keys, counts)]
+    for _ in range(CONTEXT_BYTES):
+        low = levels[0][0]
+        levels.insert(0, _sum_by(low >> np.uint64(16) << np.uint64(8) | low & np.uint64(0xFF), levels[0][1]))
+    return levels
+
+
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of a fragment, from all rows of them."""
+    keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for k, n in zip(table.column("keys"), table.column("counts")):
+        keys.append(_unpacked_keys(k.as_py()))
+        counts.append(_unpacked(n.as_py()).astype(np.int64))
+        if sum(map(len, keys[1:])) > HELD_KEYS:
+            keys, counts = ([x] for x in _sum_by(np.concatenate(keys), np.concatenate(counts)))
+    return _sum_by(np.concatenate(keys), np.concatenate(counts))
+
+
+#: Rows of the written model. ``bit`` is -1 for the counts of a shared context's
+#: keys and 0 to 7 for what its nodes have below; NULL for a fragment's own counts.
+_MODEL = "fragment bigint, keys binary, counts binary, depth int, bit int, code bigint, value double"
+
+
+def _fold(splits: np.ndarray):
+    """A fragment's counts, and what the contexts it shares have in it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        fragment = table.column("fragment")[0].as_py()
+        keys, counts = _merged(table)
+        tree = _Tree(_levels_of(keys, counts), _shared_contexts(splits[max(fragment - 1, 0):fragment + 1]))
+        found = []
+        for depth, (codes, n) in enumerate(tree.levels):
+            mine = tree.held[depth]
+            found.append((depth, -1, codes[mine], n[mine].astype(float)))
+        for bit in range(8 if len(splits) else 0):
+            for depth, (group, first, *_, product) in enumerate(tree.nodes(bit)):
+                mine = tree.held[depth][first] & (depth < CONTEXT_BYTES)
+                found.append((depth, bit, group[mine], product[mine]))
+        n = sum(len(x[2]) for x in found)
+        return pa.table(
+            [
+                pa.array([fragment] + [None] * n, pa.int64()), pa.array([_packed_keys(keys)] + [None] * n, pa.binary()),
+                pa.array([_packed(counts)] + [None] * n, pa.binary()),
+                pa.array([None] + [d for d, _, c, _ in found for _ in range(len(c))], pa.int32()),
+                pa.array([None] + [b for _, b, c, _ in found for _ in range(len(c))], pa.int32()),
+                pa.array([None] + np.concatenate([c for _, _, c, _ in found]).view(np.int64).tolist(), pa.int64()),
+                pa.array([None] + np.concatenate([v for *_, v in found]).tolist(), pa.float64()),
+            ],
+            names=["fragment", "keys", "counts", "depth", "bit", "code", "value"],
+        )
+
+    return run
+
+
+def _shared_model(model_rows: DataFrame, splits: np.ndarray):
+    """Levels and nodes of the contexts that fragments share: at most eight for each split."""
+    rows = model_rows.where("depth is not null").groupBy("depth", "bit", "code").agg(F.sum("value").alias("value")).toArrow()
+    depth, bit, code, value = (rows.column(c).to_numpy() for c in ("depth", "bit", "code", "value"))
+    code = code.view(np.uint64)
+    order = np.argsort(code)
+    depth, bit, code, value = depth[order], bit[order], code[order], value[order]
+
+    def part(d, b):
+        mine = (depth == d) & (bit == b)
+        return code[mine], value[mine]
+
+    levels = [(c, v.astype(np.int64)) for c, v in (part(d, -1) for d in range(CONTEXT_BYTES + 1))]
+    below = {(d, b): part(d, b) for d in range(CONTEXT_BYTES) for b in range(8)}
+    tree, known = _Tree(levels, _shared_contexts(splits), below=below), {}
+    for b in range(8):
+        for d, (group, _, _, _, lead, _) in enumerate(tree.nodes(b)):
+            known[d, b] = group, lead
+    return levels, known
+
+
+def _postings(splits: np.ndarray, common: Broadcast):
+    """Per slice and fragment a row: distinct keys, how often each, and whose
+    they are. One more row has what is known of the texts otherwise; it belongs
+    to no fragment and so has a negative number of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch, data, offsets in B.slices(batches):
-            codes, starts = _codes(data, offsets)
-            score = np.add.reduceat(log_p[codes].astype(np.float64), starts[:-1])
-            _, _, words, bounds = B.words(data, offsets, lower=True)
-            place = np.minimum(np.searchsorted(common, words), max(len(common) - 1, 0))
-            at_hand = common[place] == words if len(common) else np.zeros(len(words), bool)
-            logs = np.append(0.0, np.cumsum(np.where(at_hand, np.log10(often[place] + 1.0) if len(common) else 0.0, 0.0)))
-            met = np.append(0, np.cumsum(at_hand))
-            rest = words[~at_hand].view(np.int64)
-            left = bounds - met[bounds]
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id"), pa.array(score), pa.array(np.diff(starts)), pa.array(np.diff(bounds).astype(np.int64)),
-                    pa.array(logs[bounds[1:]] - logs[bounds[:-1]]), pa.array((met[bounds[1:]] - met[bounds[:-1]]).astype(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), pa.array(rest)),
-                ],
-                names=["doc_id", "score", "n_coded", "n_words", "logs", "known", "rest"],
-            )
+            number += 1
+            yield _posting(-number, number, _of_texts(batch, data, offsets, *common.value), None, None)
+            keys, starts = _keys(data, offsets)
+            order = np.argsort(keys)
+            keys = keys[order]
+            new = np.append(True, keys[1:] != keys[:-1])
+            # Whose a key is, ascending for each key: first the text, then steps from text to text.
+            owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint32), np.diff(starts))[order]
+            del order
+            owner = np.sort(np.cumsum(new, dtype=np.uint64) << np.uint64(32) | owner).astype(np.uint32)
+            owner[1:] -= np.where(new[1:], np.uint32(0), owner[:-1])
+            bounds = _fragment_bounds(splits, keys)
+            for f in np.flatnonzero(np.diff(bounds)).tolist():
+                a, b = bounds[f], bounds[f + 1]
+                distinct, often = _sum_by(keys[a:b])
+                yield _posting(f, number, _packed_keys(distinct), _packed(often), _packed(owner[a:b]))
+
+    return run
+
+
+_POSTINGS = "fragment bigint, slice bigint, keys binary, often binary, owners binary"
+
+
+def _posting(fragment: int, number: int, keys: bytes, often: bytes | None, owners: bytes | None) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.record_batch(
+        [pa.array([x], kind) for x, kind in zip((fragment, number, keys, often, owners), kinds)],
+        names=["fragment", "slice", "keys", "often", "owners"],
+    )
+
+
+def _score_fragment(parameters: Broadcast):
+    def run(postings: pa.Table, counts: pa.Table) -> pa.Table:
+        splits, shared_levels, known = parameters.value
+        if not postings.num_rows:
+            return _PARTIAL_ARROW.empty_table()
+        fragment = postings.column("fragment")[0].as_py()
+        if fragment < 0:
+            return pa.table([postings.column("slice"), postings.column("owners"), postings.column("keys")], schema=_PARTIAL_ARROW)
+        shared = _shared_contexts(splits[max(fragment - 1, 0):fragment + 1])
+        levels = _levels_of(*_merged(counts))
+        for depth in range(CONTEXT_BYTES + 1 if len(splits) else 0):
+            codes, n = levels[depth]
+            own = ~np.isin(codes >> np.uint64(8), shared[depth])
+            whole, whole_n = shared_levels[depth]
+            mine = np.isin(whole >> np.uint64(8), shared[depth])
+            codes, n = np.append(codes[own], whole[mine]), np.append(n[own], whole_n[mine])
+            order = np.argsort(codes)
+            levels[depth] = codes[order], n[order]
+        every = [_unpacked_keys(k) for k in postings.column("keys").to_pylist()]
+        distinct = np.unique(np.concatenate(every))
+        log_p = _Tree(levels, shared, known).log_p(distinct)
+        owners, sums = [], []
+        for keys, often, owner in zip(every, postings.column("often").to_pylist(), postings.column("owners").to_pylist()):
+            often = _unpacked(often).astype(np.int64)
+            each = np.repeat(log_p[np.searchsorted(distinct, keys)], often)
+            steps = np.cumsum(_unpacked(owner).astype(np.int64))
+            first = np.cumsum(often) - often
+            owner = steps - np.repeat(np.append(0, steps)[first], often)
+            total = np.bincount(owner, each)
+            some = np.flatnonzero(np.bincount(owner))
+            owners.append(_packed(some))
+            # Whole billionths: whatever the order they are added up in, the sum is the same.
+            sums.append(_packed(np.rint(total[some] * -BILLION).astype(np.int64)))
+        return pa.table([postings.column("slice"), pa.array(owners, pa.binary()), pa.array(sums, pa.binary())], schema=_PARTIAL_ARROW)
 
     return run
 
 
-_SCORED = "doc_id bigint, score double, n_coded bigint, n_words bigint, logs double, known bigint, rest array<bigint>"
+_PARTIAL_ARROW = pa.schema([("slice", pa.int64()), ("owners", pa.binary()), ("sums", pa.binary())])
+
+
+def _sum_slice(table: pa.Table) -> pa.Table:
+    """The texts of a slice with their scores."""
+    texts, total = None, None
+    rows = sorted(zip(table.column("owners").to_pylist(), table.column("sums").to_pylist()), key=lambda row: (row[0] is not None, row))
+    for owners, sums in rows:
+        if owners is None:
+            texts = pa.ipc.open_stream(sums).read_all()
+            total = np.zeros(texts.num_rows, np.int64)
+        else:
+            total[_unpacked(owners).astype(np.int64)] += _unpacked(sums).astype(np.int64)
+    return texts.append_column("score", pa.array(total / -BILLION))
+
+
+def _of_texts(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, common: np.ndarray, often: np.ndarray) -> bytes:
+    """Per text the number of coded bytes and words, and of its words what is
+    known at hand; the rest to be joined. As an Arrow stream."""
+    _, _, words, bounds = B.words(data, offsets, lower=True)
+    place = np.minimum(np.searchsorted(common, words), max(len(common) - 1, 0))
+    at_hand = common[place] == words if len(common) else np.zeros(len(words), bool)
+    logs = np.append(0.0, np.cumsum(np.where(at_hand, np.log10(often[place] + 1.0) if len(common) else 0.0, 0.0)))
+    met = np.append(0, np.cumsum(at_hand))
+    rest = words[~at_hand].view(np.int64)
+    left = bounds - met[bounds]
+    found = pa.record_batch(
+        [
+            batch.column("doc_id"), pa.array(np.diff(offsets) + 1), pa.array(np.diff(bounds).astype(np.int64)),
+            pa.array(logs[bounds[1:]] - logs[bounds[:-1]]), pa.array((met[bounds[1:]] - met[bounds[:-1]]).astype(np.int64)),
+            pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), pa.array(rest)),
+        ],
+        names=["doc_id", "n_coded", "n_words", "logs", "known", "rest"],
+    )
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, found.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(found)
+    return out.getvalue().to_pybytes()
+
+
+_SCORED = "doc_id bigint, n_coded bigint, n_words bigint, logs double, known bigint, rest array<bigint>, score double"
+
+
+def _scored(docs: DataFrame, training: DataFrame, keys: np.ndarray, often: np.ndarray) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text) with the score that the context trees
+    of ``training`` (text) give it, and its counts of words."""
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    splits = fragment_splits(docs)
+    counted = training.select("text").mapInArrow(_count_contexts(splits), _COUNTED)
+    model_rows = materialise(counted.groupBy("fragment").applyInArrow(_fold(splits), _MODEL), "contexts")
+    parameters = broadcast((splits, *_shared_model(model_rows, splits)))
+    own = model_rows.where("fragment is not null").select("fragment", "keys", "counts")
+    postings = docs.select("doc_id", "text").mapInArrow(_postings(splits, broadcast((keys, often))), _POSTINGS)
+    partial = postings.groupBy("fragment").cogroup(own.groupBy("fragment")).applyInArrow(
+        _score_fragment(parameters), "slice bigint, owners binary, sums binary"
+    )
+    return partial.groupBy("slice").applyInArrow(_sum_slice, _SCORED)
 
 
 def _columns(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -295,7 +697,6 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     byte. Without training texts every word is unknown and every bit has
     probability one half. Rows that repeat are scored alike.
     """
-    spark = docs.sparkSession
     counts = tally(training)
     words = counts.where(F.col("kind") == WORD).select("key", "n")
     n_words, vocabulary = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -304,12 +705,7 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     keys, often = _columns(words.where(F.col("n") >= _common_from(words)))
     order = np.argsort(keys.view(np.uint64))
     keys, often = keys.view(np.uint64)[order], often[order].astype(np.float64)
-    # At most 2^24 counts, see above.
-    log_p = model(*_columns(counts.where(F.col("kind") == BYTE).select("key", "n")))
-    parameters = spark.sparkContext.broadcast((log_p, keys, often))
-
-    scored = docs.select("doc_id", "text").mapInArrow(_score(parameters), _SCORED)
-    scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
+    scored = materialise(_scored(docs, training, keys, often).withColumn("row", F.monotonically_increasing_id()), "scores")
     rare = (
         scored.select("row", F.explode("rest").alias("key"))
         .groupBy("row", "key").agg(F.count(F.lit(1)).alias("tf"))

@@ -210,6 +210,63 @@ def test_context_tree_weighting_by_hand():
             assert log_p[(c[2] * 1600 + c[1] * 40 + c[0]) * 256 + byte] == pytest.approx(want, abs=1e-4)
 
 
+@pytest.mark.parametrize("step", [8, 1 << 20])
+def test_scores_see_whole_contexts(spark, monkeypatch, step):
+    """In one fragment and in many: weighting over 0 to 7 unfolded bytes, worked out node by node."""
+    monkeypatch.setattr(context_tree, "SAMPLE_STEP", step)
+    monkeypatch.setattr(context_tree, "FRAGMENT_SAMPLES", 1)
+    texts = ["Abab abba. number 1234 or 1235", "", "ab", "\u00e9\nab 12 ab \u4e2d\u6587 \u4e2d\u6587", "number 1239 or 1235", None, "zzq number 7 abba \u00e8"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    splits = context_tree.fragment_splits(docs)
+    assert (len(splits) > 4) == (step == 8)
+    seqs = [[*(t or "").translate({c: c + 32 for c in range(65, 91)}).encode(), 0xFF] for t in texts]
+    depth_of = context_tree.CONTEXT_BYTES
+
+    def context(seq, i):
+        return tuple(seq[i - 1 - j] if i - 1 - j >= 0 else 0x0A for j in range(depth_of))
+
+    counts, children = defaultdict(lambda: [0, 0]), defaultdict(set)
+    for seq in seqs[:5]:
+        for i, byte in enumerate(seq):
+            c, prefix = context(seq, i), 1
+            for bit in range(7, -1, -1):
+                for depth in range(depth_of + 1):
+                    counts[c[:depth], prefix][byte >> bit & 1] += 1
+                    if depth:
+                        children[c[:depth - 1], prefix].add(c[:depth])
+                prefix = prefix * 2 + (byte >> bit & 1)
+
+    def own(c, prefix):
+        z, o = counts[c, prefix]
+        return math.lgamma(z + 0.5) + math.lgamma(o + 0.5) - math.lgamma(z + o + 1) - math.log(math.pi)
+
+    def below(c, prefix):
+        return sum(weighted(k, prefix) for k in children[c, prefix])
+
+    def weighted(c, prefix):
+        return own(c, prefix) if len(c) == depth_of else np.logaddexp(own(c, prefix), below(c, prefix)) - math.log(2)
+
+    def one(c, prefix):
+        p = 0.5
+        for depth in range(depth_of, -1, -1):
+            if (c[:depth], prefix) in counts:
+                z, o = counts[c[:depth], prefix]
+                lead = 1.0 if depth == depth_of else 1 / (1 + math.exp(below(c[:depth], prefix) - own(c[:depth], prefix)))
+                p = lead * (o + 0.5) / (z + o + 1) + (1 - lead) * p
+        return p
+
+    found = {r["doc_id"]: r["score"] for r in context_tree.score(docs, docs.where("doc_id < 5")).collect()}
+    for doc_id, seq in enumerate(seqs):
+        want = 0.0
+        for i, byte in enumerate(seq):
+            prefix = 1
+            for bit in range(7, -1, -1):
+                p = one(context(seq, i), prefix)
+                want += math.log10(p if byte >> bit & 1 else 1 - p)
+                prefix = prefix * 2 + (byte >> bit & 1)
+        assert found[doc_id] == pytest.approx(want, abs=1e-6)
+
+
 def test_scores_without_training(spark):
     docs = corpus(spark)
     found = context_tree.score(docs, docs.limit(0))
