@@ -115,6 +115,7 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     known = np.append(0, np.cumsum(alnum))
     same = np.zeros(len(data), dtype=bool)
     same[1:] = (data[1:] == data[:-1]) & ~alnum[1:] & ~B.IS_SPACE[data[1:]]
+    same[offsets[:-1][offsets[:-1] < len(data)]] = False  # what precedes a document is not its own
     tails = np.append(0, np.cumsum(~_ENDS[data[ends - 1]]))
     bare = np.append(0, np.cumsum(known[ends] == known[starts]))
     line_starts, line_ends, line_hashes, line_bounds = B.lines(data, offsets)

@@ -41,6 +41,15 @@ def test_base_counts_and_base_test(spark):
         assert not (failed and row["kept"])
 
 
+def test_counts_do_not_depend_on_the_neighbour():
+    texts = [".. a 'b'", "'quoted' **", "", "** starred", None, "* one more"]
+    alone = [quality_rules.counts(*B.text_bytes(pa.array([t], pa.string()))) for t in texts]
+    together = quality_rules.counts(*B.text_bytes(pa.array(texts)))
+    for name, found in together.items():
+        assert found.tolist() == [int(a[name][0]) for a in alone], name
+    assert together["n_doubled"].tolist() == [1, 1, 0, 1, 0, 0]
+
+
 def test_rules_separate_junk_from_prose(spark):
     prose = [(i, " ".join(f"word{(i * 31 + k * 7) % 997} and" for k in range(40)) + ".", "en", "a") for i in range(300)]
     junk = [(1000 + i, " ".join(f"w{(i + k) % 89}%%% |" for k in range(40)), "en", "a") for i in range(40)]
