@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import run_dir
 from ..telemetry import table
-from . import context_tree, decontaminate, grades, jaccard, language, licenses, mixing, quality_rules, secret_scan, token_store
+from . import (
+    context_tree, decontaminate, grades, jaccard, language, licenses, mixing, oracles, packing, prefix_trie, quality_rules,
+    secret_scan, token_store, vector_codes,
+)
+from .encoding import public_tokenizer
 from .store import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +105,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_documents(spark, sf_dir)).drop("detections")
+
+
+@query("op11_conversation_trie", oracles.CONVERSATION_TRIE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return prefix_trie.trie(table(spark, sf_dir, "conversations")).drop("turn_conv_id", "turn_pos")
+
+
+@query("op12_vector_codes", oracles.VECTOR_CODES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query("op13_mixture_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return packing.pack(docs, public_tokenizer("byte_bpe_50k.json"), with_ids=False).drop("source", "ids")
