@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 
 #: Stretches remembered; beyond it the encoder starts anew.
-MOST = 600_000
+MOST = 1_000_000
 #: Stretches handed to the library at once.
 CALL = 1 << 14
 
@@ -83,6 +84,15 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, stretches: list[str]) -> None:
+        # A stretch of printable ASCII is what the library merges: no normaliser or splitter changes it further.
+        merge = self.library.model.tokenize
+        rest = []
+        for stretch in stretches:
+            if stretch.isascii() and stretch.isprintable():
+                self.seen[stretch] = array("I", [t.id for t in merge(stretch.replace(" ", "\u0120"))]).tobytes()
+            else:
+                rest.append(stretch)
+        stretches = rest
         for first in range(0, len(stretches), CALL):
             some = stretches[first:first + CALL]
             found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)

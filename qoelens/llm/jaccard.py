@@ -302,8 +302,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     later = materialise(parts.where("component <> doc_id").select("doc_id"), "later")
     # Most rows miss the filter and stay without being shuffled; the others are looked up.
     bits = docs.sparkSession.sparkContext.broadcast(_member_filter(later))
-    marked = docs.withColumn("__at", F.coalesce(_filter_position(), F.lit(0)))
-    stay, ask = (marked.mapInArrow(_filtered(bits, inside), marked.schema).drop("__at") for inside in (False, True))
+    marked = docs.select(F.struct("*").alias("row"), F.coalesce(_filter_position(), F.lit(0)).alias("__at"))
+    stay, ask = (marked.mapInArrow(_filtered(bits, inside), marked.schema).select("row.*") for inside in (False, True))
     kept = stay.unionByName(ask.join(later.hint("merge"), "doc_id", "left_anti").select(docs.columns))
     repeated = known.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():

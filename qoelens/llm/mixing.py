@@ -13,18 +13,23 @@ last flight make up for the words that this adds or takes.
 The flight runs in buckets of a source; what a bucket leaves undecided, two
 documents at most, flies again with what other buckets left, until one bucket
 per source holds the rest. A hot source is many buckets. All "random" choices are
-hashes of the document, so reruns agree.
+hashes of the row (doc_id, source, text, and its number among equal rows), so
+reruns agree.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..operators.skew import materialise
 from . import textbytes as B
@@ -37,7 +42,41 @@ BUCKET = 4096
 SEED = 20240607
 _EPSILON = 1e-9
 
-_UNIT = "source string, key bigint, size bigint, p double"
+_UNIT = "source string, key bigint, number bigint, size bigint, p double"
+_ROW = ["key", "number"]
+
+
+def _row_key() -> Column:
+    """A number that rows of equal doc_id, source and text share."""
+    parts = [x for c in ("doc_id", "source", "text") for x in (F.col(c).isNull(), F.col(c))]
+    return F.xxhash64(*parts)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their part of the table and their number among its rows of the same key."""
+    part, seen = TaskContext.get().partitionId(), Counter()
+    for batch in batches:
+        numbers = []
+        for key in batch.column("key").to_pylist():
+            numbers.append(seen[key])
+            seen[key] += 1
+        batch = batch.append_column("part", pa.array([part] * len(numbers), pa.int32()))
+        yield batch.append_column("place", pa.array(numbers, pa.int64()))
+
+
+def _with_numbers(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``number``: 0, 1, ... among all rows of the same ``key``.
+
+    Numbers are given per part of the written table, so a key that holds most
+    rows is spread; a key has at most one row of counts per part.
+    """
+    schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType())])
+    held = materialise(rows.mapInArrow(_numbered, schema), "numbered")
+    counted = held.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.select("key", "part", F.sum("n").over(earlier).alias("before")).where("before > 0")
+    numbered = held.join(materialise(before, "before"), _ROW[:1] + ["part"], "left")
+    return numbered.withColumn("number", F.col("place") + F.coalesce("before", F.lit(0))).drop("part", "place", "before")
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,14 +86,15 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = ~B.IS_SPACE[data]
         begin[1:] &= ~begin[:-1] | edge[1:-1]
         yield pa.record_batch(
-            [batch.column("doc_id"), batch.column("source"), pa.array(B.per_document(begin, offsets))],
-            names=["doc_id", "source", "size"],
+            [*(batch.column(c) for c in ("doc_id", "source", "key")), pa.array(B.per_document(begin, offsets))],
+            names=["doc_id", "source", "key", "size"],
         )
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size) per row; size is the number of words, 0 for NULL text."""
-    return docs.select("doc_id", "source", "text").mapInArrow(_sizes, "doc_id bigint, source string, size bigint")
+    """(doc_id, source, key, size, number) per row; size is the number of words, 0 for NULL text."""
+    rows = docs.select("doc_id", "source", "text", _row_key().alias("key"))
+    return _with_numbers(rows.mapInArrow(_sizes, "doc_id bigint, source string, key bigint, size bigint"))
 
 
 def targets(totals: dict[str | None, int]) -> dict[str | None, float]:
@@ -123,9 +163,9 @@ def fly(size: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 
 def _fly_bucket(table: pa.Table) -> pa.Table:
-    table = table.sort_by([("order", "ascending"), ("key", "ascending")])
+    table = table.sort_by([("order", "ascending"), ("key", "ascending"), ("number", "ascending")])
     p = fly(table.column("size").to_numpy(), table.column("p").to_numpy())
-    return table.select(["source", "key", "size"]).append_column("p", pa.array(p))
+    return table.select(["source", "key", "number", "size"]).append_column("p", pa.array(p))
 
 
 def land(size: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -147,7 +187,7 @@ def land(size: np.ndarray, p: np.ndarray) -> np.ndarray:
 def _land_source(table: pa.Table) -> pa.Table:
     table = _fly_bucket(table)
     p = land(table.column("size").to_numpy().astype(float), table.column("p").to_numpy())
-    return table.select(["source", "key", "size"]).append_column("p", pa.array(p))
+    return table.select(["source", "key", "number", "size"]).append_column("p", pa.array(p))
 
 
 def _undecided() -> Column:
@@ -159,7 +199,7 @@ def _balanced(units: DataFrame) -> DataFrame:
     decided, rest, level = units.where(~_undecided()), units.where(_undecided()), 0
     while True:
         most = rest.groupBy("source").count().agg(F.max("count")).first()[0] or 0
-        order = F.xxhash64("key", F.lit(SEED + level))
+        order = F.xxhash64("key", "number", F.lit(SEED + level))
         if most <= BUCKET:
             last = rest.withColumn("order", order).groupBy("source").applyInArrow(_land_source, _UNIT)
             return decided.unionByName(last)
@@ -184,38 +224,44 @@ def _known_sources(measured: DataFrame) -> DataFrame:
 
 
 def shares(measured: DataFrame) -> DataFrame:
-    """``measured`` (doc_id, source, size) with source_size, target and taken.
+    """``measured`` (doc_id, source, key, number, size) with source_size, target, taken and times.
 
     ``taken`` is the number of words the mix takes of the row: its size times
-    how often it is taken, at most three times. Rows that agree in doc_id,
-    source and size are taken alike. A document without words is taken as often
-    as its source's whole copies say, and contributes none. An empty table
-    gives no rows.
+    how often it is taken, at most three times. Every row is drawn for itself,
+    also among rows that are equal in all columns. A document without words is
+    taken as often as its source's whole copies say, and contributes none. An
+    empty table gives no rows.
     """
     known = F.broadcast(_known_sources(measured))
-    key = F.xxhash64("doc_id", "source", "size")
-    keyed = measured.withColumn("key", key)
-    units = keyed.groupBy("source", "key").agg(F.sum("size").alias("size"))
-    units = units.join(known, units["source"].eqNullSafe(known["source"])).select(units["source"], "key", "size", "p")
-    drawn = materialise(_balanced(units).select("key", F.round("p").cast("bigint").alias("extra")), "draws")
-    held = keyed.join(known, keyed["source"].eqNullSafe(known["source"])).drop(known["source"])
-    # Only rows of sources that draw at all need their draw.
-    return (
-        held.join(drawn, "key")
-        .withColumn("times", F.col("copies") + F.col("extra"))
-        .select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
+    units = measured.select("source", *_ROW, "size").join(known, measured["source"].eqNullSafe(known["source"]))
+    units = units.select(measured["source"], *_ROW, "size", "p")
+    drawn = materialise(_balanced(units).select(*_ROW, F.round("p").cast("bigint").alias("extra")), "draws")
+    held = measured.join(known, measured["source"].eqNullSafe(known["source"])).drop(known["source"])
+    times = F.col("copies") + F.col("extra")
+    return held.join(drawn, _ROW).select(
+        "doc_id", "source", *_ROW, "size", "source_size", "target", (F.col("size") * times).alias("taken"), times.alias("times")
     )
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, times) per row of ``docs`` (doc_id, source, text)."""
-    return shares(materialise(sizes(docs), "sizes"))
+    return shares(materialise(sizes(docs), "sizes")).drop(*_ROW)
 
 
 def take(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    mixed = mix(docs)
-    times = mixed.groupBy("doc_id", "source").agg(F.max("times").alias("_times")).where("_times > 0")
-    same = docs["doc_id"].eqNullSafe(times["doc_id"]) & docs["source"].eqNullSafe(times["source"])
-    taken = docs.join(times.hint("merge"), same).select(docs["*"], "_times")
-    return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))).drop("_copy", "_times")
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Rows of equal doc_id, source and text are interchangeable: each takes one of
+    their draws. They are numbered in a table of their own; all others meet their
+    draw by key.
+    """
+    drawn = materialise(shares(materialise(sizes(docs), "sizes")).select(*_ROW, "times"), "times")
+    rows = docs.select(F.struct("*").alias("row"), _row_key().alias("key"))
+    repeated = materialise(drawn.where("number = 1").select("key"), "repeated")
+    if repeated.isEmpty():
+        taken = rows.join(drawn.hint("merge"), "key")
+    else:
+        alone = rows.join(repeated, "key", "left_anti").join(drawn.where("number = 0").select("key", "times").hint("merge"), "key")
+        among = _with_numbers(rows.join(repeated, "key", "left_semi")).join(drawn, _ROW)
+        taken = alone.select("row", "times").unionByName(among.select("row", "times"))
+    return taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))).select("row.*")

@@ -98,7 +98,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_token_output")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_dir(spark, "tokens")
-    token_store.write(_documents(spark, sf_dir), folder, token_store.public_tokenizer())
+    token_store.write(_documents(spark, sf_dir), folder, public_tokenizer("word_bpe_49k.json"))
     return token_store.digests(spark, folder)
 
 
@@ -110,7 +110,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_conversation_trie", oracles.CONVERSATION_TRIE)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return prefix_trie.trie(table(spark, sf_dir, "conversations")).drop("turn_conv_id", "turn_pos")
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
 @query("op12_vector_codes", oracles.VECTOR_CODES)

@@ -8,22 +8,27 @@ keeps those bytes out of longer characters.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from . import affine
+
 #: Bytes of text handled at once; a longer document is a slice of its own.
 SLICE = 4 << 20
 #: Bytes hashed at once, cut between words.
 PIECE = 1 << 19
+#: Bytes of a run up to which sums of digits (below 2^9) times halves of powers (below 2^31) stay below 2^64.
+LONGEST = 1 << 23
 SHINGLE = 5
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Words are polynomials of their bytes modulo a prime; modulo a power of two some long words would collide for any base.
+_BASE = int(_rng.integers(1 << 40, affine.PRIME))
+_LOW, _HIGH = np.uint64((1 << 31) - 1), np.uint64(31)
 _SPREAD = _rng.integers(1, 1 << 63, SHINGLE + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -72,21 +77,38 @@ def slices(batches: Iterator[pa.RecordBatch], inside: str | None = None) -> Iter
     pa.default_memory_pool().release_unused()
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, dtype=np.uint64)
+    while len(out) < n:
+        out = np.append(out, affine.times(out, np.full(len(out), pow(base, len(out), affine.PRIME), np.uint64)))
+    return out[:n]
 
-_POWERS = {"up": _powers(_BASE, PIECE), "down": _powers(_INVERSE, PIECE)}
 
-
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers and inverse powers for ``n`` positions; only a word longer than a
-    piece needs more than the stored ones."""
+def _power_table(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Powers, in two halves, and inverse powers for ``n`` positions; only a word
+    longer than a piece needs more than the stored ones."""
     if n <= PIECE:
-        return _POWERS["up"][:n], _POWERS["down"][:n]
-    return _powers(_BASE, n), _powers(_INVERSE, n)
+        low, high, down = _POWERS
+        return low[:n], high[:n], down[:n]
+    up = _powers(_BASE, n)
+    return up & _LOW, up >> _HIGH, _powers(pow(_BASE, -1, affine.PRIME), n)
+
+
+_UP = _powers(_BASE, PIECE)
+_POWERS = (_UP & _LOW, _UP >> _HIGH, _powers(pow(_BASE, -1, affine.PRIME), PIECE))
+
+
+def _polynomials(digits: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run: digits times powers, the two halves of a power added up apart so that no sum wraps."""
+    low, high, down = _power_table(len(digits))
+    low_sum = np.add.reduceat(digits * low, starts) % np.uint64(affine.PRIME)
+    high_sum = np.add.reduceat(digits * high, starts) % np.uint64(affine.PRIME)
+    raised = affine.times(high_sum, np.full(len(starts), 1 << 31, np.uint64))
+    out = affine.times((low_sum + raised) % np.uint64(affine.PRIME), down[starts])
+    for k in np.flatnonzero(ends - starts > LONGEST).tolist():  # here a sum could wrap
+        raw = digits[starts[k]:ends[k]].astype("<u2").tobytes()
+        out[k] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little") % affine.PRIME
+    return out
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, table: np.ndarray):
@@ -112,10 +134,10 @@ def runs(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, table: np
         finish[:-1] &= ~inside[1:] | edge[lo + 1:hi]
         s = np.flatnonzero(begin)
         if len(s):
-            up, down = _power_table(len(piece))
-            hashes.append(np.add.reduceat(table[piece] * up, s) * down[s])
+            e = np.flatnonzero(finish) + 1
+            hashes.append(_polynomials(table[piece], s, e))
             starts.append(s + lo)
-            ends.append(np.flatnonzero(finish) + 1 + lo)
+            ends.append(e + lo)
         lo = hi
     if not starts:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -123,7 +145,9 @@ def runs(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, table: np
 
 
 def hash_table(separator: np.ndarray, lower: bool) -> np.ndarray:
-    table = _BYTE[LOWER] if lower else _BYTE.copy()
+    """The digit of every byte; separators have none."""
+    table = np.arange(1, 257, dtype=np.uint64)
+    table = table[LOWER] if lower else table
     table[separator] = 0
     return table
 

@@ -18,21 +18,18 @@ table; ids before a part come from the parts' totals.
 
 from __future__ import annotations
 
-import re
-import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import textbytes as B
+from .encoding import encoder
 
 END_ID = 1
 BLOCK_IDS = 1 << 18
@@ -141,122 +138,11 @@ def unpack(words: np.ndarray, n_ids: int) -> np.ndarray:
     return out[:n_ids]
 
 
-# How the tokenizer cuts normalised text, and the characters it shows bytes as.
-_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_CHARS = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
-_CUT_PLAIN = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
-_PLAIN = re.compile(r"[!-&(-~]+")
-
-
-def cut(piece: str) -> list[str]:
-    """The stretches that the tokenizer merges on their own, in its byte characters."""
-    if _PLAIN.fullmatch(piece):  # printable ASCII without contractions
-        return _CUT_PLAIN.findall(piece.lower())
-    whole = unicodedata.normalize("NFC", piece)
-    # The tokenizer lower-cases character by character.
-    low = "".join(map(str.lower, whole)) if "\u03a3" in whole else whole.lower()
-    return [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_BYTE_CHARS) for w in _CUT.findall(low)]
-
-
-class Encoder:
-    """Ids of whole texts. What the tokenizer merges never reaches across white
-    space, so the pieces between white space, and the stretches it cuts them
-    into, go through its model once and are remembered, pieces by their 64-bit
-    hash. A piece that contains one of the file's added tokens is encoded by the
-    library as it stands. Beyond ``most`` pieces, or stretches, it starts to remember anew.
-    """
-
-    def __init__(self, path: str, most: int = 1_200_000, most_stretches: int = 200_000):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.tokenize = self.whole.model.tokenize
-        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        if any(t.split() != [t] for t in added):
-            raise ValueError("an added token has white space, so texts can't be cut there")
-        # The library finds added tokens first. Those it looks for in normalised text are lower-cased there.
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
-        self.most, self.most_stretches = most, most_stretches
-        self.stretches: dict[str, list[int]] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        # Pieces by ascending hash: where their ids start and how many there are.
-        self.hashes = np.empty(0, np.uint64)
-        self.first = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
-
-    def _ids_of(self, piece: str) -> list[int]:
-        if self.added.search(piece):
-            return self.whole.encode(piece, add_special_tokens=False).ids
-        out: list[int] = []
-        for stretch in cut(piece):
-            ids = self.stretches.get(stretch)
-            if ids is None:
-                if len(self.stretches) >= self.most_stretches:
-                    self.stretches.clear()
-                ids = self.stretches[stretch] = [t.id for t in self.tokenize(stretch)]
-            out += ids
-        return out
-
-    def _learn(self, pieces: list[str], hashes: np.ndarray) -> None:
-        flat, ends = array("I"), array("q")
-        for piece in pieces:
-            flat.extend(self._ids_of(piece))
-            ends.append(len(flat))
-        stop = np.array(ends, np.int64)
-        start = np.append(0, stop[:-1])
-        place = np.searchsorted(self.hashes, hashes)
-        self.hashes = np.insert(self.hashes, place, hashes)
-        self.first = np.insert(self.first, place, start + len(self.ids))
-        self.size = np.insert(self.size, place, stop - start)
-        self.ids = np.append(self.ids, np.array(flat, np.uint32))
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in turn, number per text), the end id included."""
-        if len(self.hashes) > self.most:
-            self._forget()
-        starts, stops, hashes, bounds = B.words(data, offsets, lower=False)
-        order = np.argsort(hashes)
-        ordered = hashes[order]
-        new = np.append(True, ordered[1:] != ordered[:-1]) if len(hashes) else np.empty(0, bool)
-        distinct, sample = ordered[new], order[new]
-        place = np.searchsorted(self.hashes, distinct)
-        unknown = np.append(self.hashes, np.uint64(0))[place] != distinct
-        unknown[place == len(self.hashes)] = True
-        if unknown.any():
-            spans = zip(starts[sample[unknown]].tolist(), stops[sample[unknown]].tolist())
-            whole = data.tobytes()
-            self._learn([whole[a:b].decode() for a, b in spans], distinct[unknown])
-            place = np.searchsorted(self.hashes, distinct)
-        at = np.empty(len(hashes), np.int64)
-        at[order] = place[np.cumsum(new) - 1]
-        # The end of every text is one more piece of one id.
-        ends = bounds[1:]
-        first = np.insert(self.first[at], ends, len(self.ids))
-        size = np.insert(self.size[at], ends, 1)
-        stop = np.cumsum(size)
-        out = np.append(self.ids, np.uint32(END_ID))[np.arange(stop[-1]) + np.repeat(first - (stop - size), size)]
-        return out, np.diff(np.append(0, stop[ends + np.arange(len(ends))]))
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python process; later tasks use what earlier ones remembered."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def _blocks(path: str):
     """Blocks of a sorted partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode, end = encoder(path).encode, np.array([END_ID], "<u4").tobytes()
         part, block, before = TaskContext.get().partitionId(), 0, 0
         docs, lengths, ids, held = [], [], [], 0
 
@@ -264,17 +150,17 @@ def _blocks(path: str):
             flat = np.concatenate(ids)
             row = {
                 "part": [part], "block": [block], "ids_before": [before], "n_ids": [len(flat)],
-                "doc_ids": [docs], "lengths": [np.concatenate(lengths).tolist()],
+                "doc_ids": [docs], "lengths": [lengths],
                 "packed": [pack(flat).astype("<u8").tobytes()],
             }
             return pa.RecordBatch.from_pydict(row, schema=_BLOCK_ARROW)
 
-        for batch, data, offsets in B.slices(batches):
-            found, sizes = encode(data, offsets)
+        for batch, _, _ in B.slices(batches):
+            found = [raw + end for raw in encode(batch.column("text").to_pylist())]
             docs += batch.column("doc_id").to_pylist()
-            lengths.append(sizes)
-            ids.append(found)
-            held += len(found)
+            lengths += [len(raw) // 4 for raw in found]
+            ids.append(np.frombuffer(b"".join(found), "<u4"))
+            held += len(ids[-1])
             if held >= BLOCK_IDS:
                 yield close()
                 block, before = block + 1, before + held
@@ -291,13 +177,6 @@ _BLOCK_ARROW = pa.schema([
 ])
 
 
-def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
-    """Where a public tokenizer's file is; the same on every machine that has the files installed."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
     """Encode ``docs`` (doc_id, text) with the tokenizer file at ``tokenizer``
     (a path every executor has) and write the blocks to ``folder``.

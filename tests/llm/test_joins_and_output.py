@@ -8,10 +8,14 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from qoelens.llm import jaccard, mixing, token_store
+from qoelens.llm import encoding, jaccard, mixing, token_store
 from qoelens.llm import textbytes as B
 from qoelens.llm.components import components
+from qoelens.llm.encoding import public_tokenizer
+from qoelens.llm.store import small_batches
 
 from .common import ROWS, SCHEMA, by_id, corpus, words
 
@@ -177,6 +181,46 @@ def test_mix_of_nothing(spark):
     assert [r["taken"] for r in mixing.mix(corpus(spark, [(1, None, None, None), (2, "", None, "a")])).collect()] == [0, 0]
 
 
+def test_equal_rows_are_drawn_one_by_one(spark):
+    small_batches(spark)
+    same = [(None, "w " * 20, "en", "hot")] * 3000 + [(5, "w " * 20, "en", "hot")] * 40
+    rows = same + [(i, "v " * 10, "en", "a" if i % 2 else "b") for i in range(300)]
+    docs = corpus(spark, rows).withColumn("_times", F.lit(1)).withColumn("key", F.lit("k")).withColumn("number", F.lit(2))
+    found = mixing.mix(docs).collect()
+    want = mixing.targets({"hot": 3040 * 20, "a": 1500, "b": 1500})
+    taken = Counter()
+    for r in found:
+        taken[r["source"]] += r["taken"]
+        assert r["taken"] <= 3 * r["size"]
+    assert len(found) == len(rows) and all(abs(taken[s] - t) <= 60 for s, t in want.items())
+    out = mixing.take(docs)
+    assert out.columns == docs.columns
+    words_out = Counter()
+    for r in out.collect():
+        words_out[r["source"]] += len((r["text"] or "").split())
+    assert words_out == taken
+
+
+def test_rows_of_one_doc_id_are_taken_as_the_mix_says(spark):
+    small_batches(spark)
+    rows = [(1, " ".join(["w"] * n), "en", "a") for n in range(1, 200)] + [(2, "x " * 500, "en", "b"), (3, "y " * 900, "en", None)]
+    docs = corpus(spark, rows)
+    want = Counter()
+    for r in mixing.mix(docs).collect():
+        want[r["doc_id"], r["size"]] += r["times"]
+    have = Counter((r["doc_id"], len(r["text"].split())) for r in mixing.take(docs).collect())
+    assert have == Counter({k: v for k, v in want.items() if v})
+
+
+def test_words_that_collide_modulo_powers_of_two():
+    line = "a"
+    while len(line) < 1024:
+        line += line.translate({97: 98, 98: 97})
+    other = line.translate({97: 98, 98: 97})
+    _, _, hashes, _ = B.words(*B.text_bytes(pa.array([f"{line} {other} {'x' * (B.LONGEST + 9)} {'x' * (B.LONGEST + 9)} {'x' * (B.LONGEST + 8)}"])), False)
+    assert hashes[0] != hashes[1] and hashes[2] == hashes[3] != hashes[4]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 59, 60, 61, 1000])
 @pytest.mark.parametrize("high", [1, 2, 100, 49408, 1 << 40, 1 << 63])
 def test_pack_round_trip(n, high):
@@ -189,12 +233,7 @@ def test_pack_round_trip(n, high):
     assert len(packed) <= 2 * n
 
 
-def tokenizer():
-    from tokenizers import Tokenizer
-
-    found = Tokenizer.from_file(token_store.public_tokenizer())
-    found.encode_special_tokens = True
-    return found
+WORD_BPE = public_tokenizer("word_bpe_49k.json")
 
 
 TRICKY = [
@@ -204,37 +243,24 @@ TRICKY = [
 
 
 @pytest.mark.parametrize("most", [2, 10_000])
-def test_ids_are_the_tokenizers(most):
-    texts = TRICKY + [r[1] or "" for r in ROWS]
-    encoder, plain = token_store.Encoder(token_store.public_tokenizer(), most, most), tokenizer()
-    for part in (texts[:5], texts, texts[::-1]):
-        ids, sizes = encoder.encode(*B.text_bytes(pa.array(part)))
-        ends = np.cumsum(sizes)
-        for text, a, b in zip(part, (ends - sizes).tolist(), ends.tolist()):
-            assert ids[a:b].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1]
-
-
-@pytest.mark.parametrize("most", [2, 10_000])
-def test_added_tokens_keep_their_own_ids(most):
-    from tokenizers import Tokenizer
-
+def test_ids_are_the_tokenizers(monkeypatch, most):
+    monkeypatch.setattr(encoding, "MOST", most)
     texts = [
-        "a <|endoftext|> b", "<|startoftext|>hello", "x<|endoftext|><|startoftext|>Y's <|ENDOFTEXT|>",
-        "é<|endoftext|>\u0301 a", "<|endoftext|", *TRICKY,
+        *TRICKY, *(r[1] or "" for r in ROWS), "a <|endoftext|> b", "<|startoftext|>hello", "x<|endoftext|><|startoftext|>Y's <|ENDOFTEXT|>",
+        "\xe9<|endoftext|>\u0301 a", "<|endoftext|",
     ]
-    encoder, library = token_store.Encoder(token_store.public_tokenizer(), most, most), Tokenizer.from_file(token_store.public_tokenizer())
-    ids, sizes = encoder.encode(*B.text_bytes(pa.array(texts)))
-    ends = np.cumsum(sizes)
-    for text, a, b in zip(texts, (ends - sizes).tolist(), ends.tolist()):
-        assert ids[a:b].tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+    encoder, library = encoding.Encoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    for part in (texts[:5], texts, texts[::-1]):
+        for text, raw in zip(part, encoder.encode(part)):
+            assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_token_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_store, "BLOCK_IDS", 50)
     rows = list(ROWS) + [(300 + i, t, None, None) for i, t in enumerate(TRICKY)]
     folder = str(tmp_path / "tokens")
-    token_store.write(corpus(spark, rows), folder, token_store.public_tokenizer())
-    found, plain, at = token_store.digests(spark, folder).orderBy("start").collect(), tokenizer(), 0
+    token_store.write(corpus(spark, rows), folder, WORD_BPE)
+    found, plain, at = token_store.digests(spark, folder).orderBy("start").collect(), Tokenizer.from_file(WORD_BPE), 0
     texts = {r[0]: r[1] or "" for r in rows}
     assert [r["doc_id"] for r in found] == sorted(r[0] for r in rows)
     for row in found:
@@ -247,7 +273,7 @@ def test_token_files(spark, tmp_path, monkeypatch):
 
 def test_no_tokens(spark, tmp_path):
     folder = str(tmp_path / "tokens")
-    token_store.write(spark.createDataFrame([], SCHEMA), folder, token_store.public_tokenizer())
+    token_store.write(spark.createDataFrame([], SCHEMA), folder, WORD_BPE)
     assert token_store.digests(spark, folder).count() == 0
 
 
