@@ -8,22 +8,24 @@ prefix of a rebuilt one is (product of the base's head) x (inverse of the own
 first h turns) x (product of the own prefix).
 
 Equal products make a node of the trie. A node is then held against the stored
-turns: its members must share the parent and agree in role and text of their
-last turn, looked up by reference (conversation, position). By induction over
-the depth equal nodes are equal sequences; if two differ, all is done anew with
-another seed.
+turns: every prefix refers to its last turn by the SHA-256 of role and text that
+is stored with the turn, and the members of a node must agree in that reference
+and in their parent. By induction over the depth equal nodes are equal
+sequences; if two differ, all is done anew with another seed.
 
 Nothing is gathered per conversation or node: running products are taken over
 range partitions, where one conversation may spread over many tasks and only the
 products of its stretches meet; a node's members are counted by aggregates that
-combine on the map side; sums over subtrees take as many rounds as the depth has
-binary digits, each adding up the sums of the nodes 1, 2, 4, ... levels below.
+combine on the map side; sums over subtrees go sixteen levels up in the first
+round, 256 in the second, and so on.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
@@ -32,25 +34,30 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import join_back, keep_members, materialise
+from ..operators.skew import join_back, materialise
 from . import affine
+from .store import compact
 
 #: Conversations that share a base, and the values that a head's length can take.
 FAMILY, HEADS = 100, 6
 #: Conversation ids that are joined into one piece of a digest's input.
 _PIECE = 4096
+#: Levels that sums go up in a round.
+LEAP = 16
 
 _STORED = (
-    "conv_id bigint, part int, k bigint, role string, text string, n_chars bigint, m bigint, a bigint, before_m bigint, before_a bigint"
+    "conv_id bigint, part int, k bigint, n_chars bigint, told_1 bigint, told_2 bigint, m bigint, a bigint, before_m bigint, before_a bigint"
 )
 _CARRY = "conv_id bigint, part int, first bigint, carry_m bigint, carry_a bigint"
-_PLACED = "conv_id bigint, pos bigint, n_chars bigint, before_m bigint, before_a bigint, after_m bigint, after_a bigint"
+_TURN = ["n_chars", "told_1", "told_2"]
+_PLACED = "conv_id bigint, pos bigint, n_chars bigint, told_1 bigint, told_2 bigint, before_m bigint, before_a bigint, after_m bigint, after_a bigint"
+_STORED_ARROW = pa.schema([(c.split()[0], pa.int32() if c.endswith(" int") else pa.int64()) for c in _STORED.split(", ")])
 _NODE = ["depth", "m", "a"]
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 NODES = (
     "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, "
-    "saved_tokens bigint, ends_sha256 string, turn_conv_id bigint, turn_pos bigint"
+    "saved_tokens bigint, ends_sha256 string"
 )
 
 
@@ -58,30 +65,29 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def reference(role: str, text: str) -> tuple[int, int]:
+    """128 bits of the SHA-256 of a turn, as two signed 64-bit numbers."""
+    raw = role.encode("utf-8", "surrogatepass")
+    digest = hashlib.sha256(len(raw).to_bytes(8, "little") + raw + text.encode("utf-8", "surrogatepass")).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:16], "little", signed=True)
+
+
 def _running(seed: int, item: Callable[..., affine.Map]):
     """Turns in order -> their place and the product before them within their run, the turns of one conversation in this part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last, k, product = TaskContext.get().partitionId(), None, 0, affine.ONE
         for batch in batches:
-            places, turns, products = [], [], []
-            roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
-            for conv, role, text in zip(batch.column("conv_id").to_pylist(), roles, texts):
+            out = []
+            columns = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))
+            for conv, role, text in zip(*columns):
                 if conv != last:
                     last, k, product = conv, 0, affine.ONE
                 turn = item(seed, role, text)
-                places.append(k)
-                turns.append(turn)
-                products.append(product)
+                out.append((conv, part, k, len(text), *reference(role, text), *turn, *product))
                 k, product = k + 1, affine.then(product, turn)
-            yield pa.record_batch(
-                [
-                    batch.column("conv_id"), pa.array([part] * len(places), pa.int32()), pa.array(places, pa.int64()),
-                    batch.column("role"), batch.column("text"), pa.array([len(t) for t in texts], pa.int64()),
-                    *(pa.array([x[i] for x in column], pa.int64()) for column in (turns, products) for i in (0, 1)),
-                ],
-                names=["conv_id", "part", "k", "role", "text", "n_chars", "m", "a", "before_m", "before_a"],
-            )
+            if out:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*out))), names=_STORED_ARROW.names).cast(_STORED_ARROW)
 
     return run
 
@@ -97,36 +103,28 @@ def stored_turns(convs: DataFrame, seed: int, item: Callable[..., affine.Map] =
     return materialise(ordered.drop("turn").mapInArrow(_running(seed, item), _STORED), "turns")
 
 
-def _fold(runs: pa.Table) -> pa.Table:
-    """What stands before each run of one conversation; there are no more runs than parts."""
-    rows = runs.sort_by("part").to_pylist()
-    place, product, out = 0, affine.ONE, []
-    for r in rows:
-        out.append({"conv_id": r["conv_id"], "part": r["part"], "first": place, "carry_m": product[0], "carry_a": product[1]})
-        place, product = place + r["n"], affine.then(product, (r["m"], r["a"]))
-    return pa.Table.from_pylist(out, schema=pa.schema([
-        ("conv_id", pa.int64()), ("part", pa.int32()), ("first", pa.int64()), ("carry_m", pa.int64()), ("carry_a", pa.int64()),
-    ]))
-
-
-def _run_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """conv_id, part, n and the product of whole runs, from their last turn."""
-    for batch in batches:
-        m, a = affine.each_then(_maps(batch, "before_m", "before_a"), _maps(batch, "m", "a"))
-        yield pa.record_batch(
-            [batch.column("conv_id"), batch.column("part"), batch.column("n"), pa.array(m.astype(np.int64)), pa.array(a.astype(np.int64))],
-            names=["conv_id", "part", "n", "m", "a"],
-        )
-
-
 def _carries(stored: DataFrame) -> DataFrame:
-    """For conversations that more than one part holds: what stands before each of their runs."""
-    last = F.max_by(F.struct("m", "a", "before_m", "before_a"), "k").alias("last")
-    runs = stored.groupBy("conv_id", "part").agg((F.max("k") + 1).alias("n"), last)
-    split = runs.groupBy("conv_id").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1")
-    runs = runs.join(split, "conv_id").select("conv_id", "part", "n", "last.*")
-    runs = runs.mapInArrow(_run_product, "conv_id bigint, part int, n bigint, m bigint, a bigint")
-    return materialise(runs.groupBy("conv_id").applyInArrow(_fold, _CARRY), "carries")
+    """For conversations that more than one part holds: what stands before each of their runs.
+
+    Only the first and the last conversation of a part can be split, so the
+    driver gets a row per part, and a row for each run of those conversations.
+    """
+    edges = stored.groupBy("part").agg(F.min("conv_id").alias("low"), F.max("conv_id").alias("high")).collect()
+    times = Counter(conv for e in edges for conv in {e["low"], e["high"]})
+    split = [(conv,) for conv, n in times.items() if n > 1]
+    rows = []
+    if split:
+        some = stored.join(F.broadcast(stored.sparkSession.createDataFrame(split, "conv_id bigint")), "conv_id")
+        last = F.max_by(F.struct("k", "m", "a", "before_m", "before_a"), "k").alias("last")
+        place, product, conv = 0, affine.ONE, None
+        for r in sorted(some.groupBy("conv_id", "part").agg(last).collect(), key=lambda r: (r["conv_id"], r["part"])):
+            if r["conv_id"] != conv:
+                place, product, conv = 0, affine.ONE, r["conv_id"]
+            rows.append((conv, r["part"], place, *product))
+            x = r["last"]
+            place += x["k"] + 1
+            product = affine.then(product, affine.then((x["before_m"], x["before_a"]), (x["m"], x["a"])))
+    return stored.sparkSession.createDataFrame(rows, _CARRY)
 
 
 def _maps(batch: pa.RecordBatch, *names: str) -> tuple[np.ndarray, ...]:
@@ -138,8 +136,8 @@ def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = affine.each_then(_maps(batch, "carry_m", "carry_a"), _maps(batch, "before_m", "before_a"))
         after = affine.each_then(before, _maps(batch, "m", "a"))
         yield pa.record_batch(
-            [batch.column("conv_id"), batch.column("pos"), batch.column("n_chars"), *(pa.array(x.astype(np.int64)) for x in (*before, *after))],
-            names=["conv_id", "pos", "n_chars", "before_m", "before_a", "after_m", "after_a"],
+            [*(batch.column(c) for c in ("conv_id", "pos", *_TURN)), *(pa.array(x.astype(np.int64)) for x in (*before, *after))],
+            names=["conv_id", "pos", *_TURN, "before_m", "before_a", "after_m", "after_a"],
         )
 
 
@@ -150,12 +148,12 @@ def _with_place(stored: DataFrame, carries: DataFrame) -> DataFrame:
 
 
 def prefix_products(stored: DataFrame, carries: DataFrame) -> DataFrame:
-    """(conv_id, pos, n_chars, product before and after) of every stored turn, counted from the conversation's start."""
+    """(conv_id, pos, the turn's size and reference, product before and after) of every turn, counted from the conversation's start."""
     placed = _with_place(stored, carries).select(
-        "conv_id", "pos", "n_chars", "m", "a", "before_m", "before_a",
+        "conv_id", "pos", *_TURN, "m", "a", "before_m", "before_a",
         F.coalesce("carry_m", F.lit(1)).alias("carry_m"), F.coalesce("carry_a", F.lit(0)).alias("carry_a"),
     )
-    return materialise(placed.mapInArrow(_products, _PLACED), "products")
+    return compact(placed.mapInArrow(_products, _PLACED), "products")
 
 
 def head_length(conv_id: Column) -> Column:
@@ -184,7 +182,7 @@ def rebuilt(products: DataFrame) -> DataFrame:
         *(F.coalesce(F.max(F.when(F.col("pos") == F.col("h"), F.col(f"before_{x}"))), F.lit(one)).alias(f"own_{x}") for x, one in (("m", 1), ("a", 0))),
     )
     turns = products.where((F.col("conv_id") % FAMILY == 0) & (F.col("pos") < HEADS - 1))
-    turn = F.struct("pos", "n_chars", "before_m", "before_a", "after_m", "after_a")
+    turn = F.struct("pos", *_TURN, "before_m", "before_a", "after_m", "after_a")
     bases = turns.groupBy(F.col("conv_id").alias("base")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     # A base has at most 199 conversations.
     held = own.withColumn("base", F.col("conv_id") - F.col("conv_id") % FAMILY).join(bases, "base", "left")
@@ -194,10 +192,11 @@ def rebuilt(products: DataFrame) -> DataFrame:
     for x, one in (("m", 1), ("a", 0)):
         last = F.try_element_at("heads", F.lit(-1))[f"after_{x}"]
         held = held.withColumn(f"head_{x}", F.coalesce(last, F.lit(one)))
-    item = "array<struct<pos:bigint,n_chars:bigint,before_m:bigint,before_a:bigint,after_m:bigint,after_a:bigint>>"
+    names = ("pos", *_TURN, "before_m", "before_a", "after_m", "after_a")
+    item = f"array<struct<{','.join(f'{n}:bigint' for n in names)}>>"
     held = held.select("conv_id", F.col("h").cast("bigint").alias("h"), "n", "n_head", F.col("heads").cast(item).alias("heads"), "head_m", "head_a", "own_m", "own_a")
     schema = f"conv_id bigint, h bigint, n bigint, n_head bigint, heads {item}, link_m bigint, link_a bigint"
-    return materialise(held.mapInArrow(_links, schema), "rebuilt")
+    return compact(held.mapInArrow(_links, schema), "rebuilt")
 
 
 def _own_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,16 +204,16 @@ def _own_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         link = _maps(batch, "link_m", "link_a")
         here = affine.each_then(link, _maps(batch, "after_m", "after_a"))
         up = affine.each_then(link, _maps(batch, "before_m", "before_a"))
-        columns = [batch.column(n) for n in ("conv_id", "depth", "ends", "turn_conv_id", "turn_pos", "n_chars")]
+        names = ["conv_id", "depth", "ends", "turn_conv_id", "turn_pos", *_TURN]
         yield pa.record_batch(
-            [*columns, *(pa.array(x.astype(np.int64)) for x in (*here, *up))],
-            names=["conv_id", "depth", "ends", "turn_conv_id", "turn_pos", "n_chars", "m", "a", "up_m", "up_a"],
+            [*(batch.column(n) for n in names), *(pa.array(x.astype(np.int64)) for x in (*here, *up))],
+            names=[*names, "m", "a", "up_m", "up_a"],
         )
 
 
 _PATH = (
     "conv_id bigint, depth bigint, ends boolean, turn_conv_id bigint, turn_pos bigint, n_chars bigint, "
-    "m bigint, a bigint, up_m bigint, up_a bigint"
+    "told_1 bigint, told_2 bigint, m bigint, a bigint, up_m bigint, up_a bigint"
 )
 
 
@@ -225,12 +224,12 @@ def paths(products: DataFrame, convs: DataFrame) -> DataFrame:
     nothing = F.lit(None).cast("bigint")
     roots = convs.select(
         "conv_id", F.lit(0).cast("bigint").alias("depth"), (whole == 0).alias("ends"), nothing.alias("turn_conv_id"), nothing.alias("turn_pos"),
-        F.lit(0).cast("bigint").alias("n_chars"), F.lit(1).cast("bigint").alias("m"), F.lit(0).cast("bigint").alias("a"),
+        *(F.lit(0).cast("bigint").alias(c) for c in _TURN), F.lit(1).cast("bigint").alias("m"), F.lit(0).cast("bigint").alias("a"),
         nothing.alias("up_m"), nothing.alias("up_a"),
     )
     heads = convs.select("conv_id", whole.alias("whole"), F.explode("heads").alias("x")).select(
         "conv_id", (F.col("x.pos") + 1).alias("depth"), (F.col("x.pos") + 1 == F.col("whole")).alias("ends"),
-        (F.col("conv_id") - F.col("conv_id") % FAMILY).alias("turn_conv_id"), F.col("x.pos").alias("turn_pos"), "x.n_chars",
+        (F.col("conv_id") - F.col("conv_id") % FAMILY).alias("turn_conv_id"), F.col("x.pos").alias("turn_pos"), *(f"x.{c}" for c in _TURN),
         F.col("x.after_m").alias("m"), F.col("x.after_a").alias("a"), F.col("x.before_m").alias("up_m"), F.col("x.before_a").alias("up_a"),
     )
     stats = convs.select("conv_id", "h", F.col("n").alias("rows"), "n_head", "link_m", "link_a", whole.alias("whole"))
@@ -238,55 +237,42 @@ def paths(products: DataFrame, convs: DataFrame) -> DataFrame:
     depth = F.col("n_head") + F.col("pos") - F.col("h") + 1
     own = own.select(
         "conv_id", depth.alias("depth"), (depth == F.col("whole")).alias("ends"), F.col("conv_id").alias("turn_conv_id"),
-        F.col("pos").alias("turn_pos"), "n_chars", "before_m", "before_a", "after_m", "after_a", "link_m", "link_a",
+        F.col("pos").alias("turn_pos"), *_TURN, "before_m", "before_a", "after_m", "after_a", "link_m", "link_a",
     ).mapInArrow(_own_paths, _PATH)
-    return materialise(roots.unionByName(heads).unionByName(own), "paths")
+    return compact(roots.unionByName(heads).unionByName(own), "paths")
 
 
 def _groups(path: DataFrame) -> DataFrame:
-    """Prefixes of equal fingerprint: smallest conversation, members, and the range of what they must agree in."""
-    turn, up = F.struct("turn_conv_id", "turn_pos"), F.struct("up_m", "up_a")
-    return materialise(
+    """Prefixes of equal fingerprint: smallest conversation, members, and whether they differ in parent or last turn."""
+    agree = [F.min(c) == F.max(c) for c in (*_TURN, "up_m", "up_a")]
+    unequal = ~F.coalesce(reduce(Column.__and__, agree), F.lit(True))  # the root has no parent
+    return compact(
         path.groupBy(*_NODE).agg(
-            F.min("conv_id").alias("first_conv"), F.count(F.lit(1)).alias("n_convs"), F.max("n_chars").alias("n_chars"),
-            F.min(turn).alias("turn"), (F.min(turn) != F.max(turn)).alias("turns_differ"), (F.min(up) != F.max(up)).alias("parents_differ"),
+            F.min("conv_id").alias("first_conv"), F.count(F.lit(1)).alias("n_convs"), F.max("n_chars").alias("n_chars"), unequal.alias("unequal")
         ),
         "groups",
     )
 
 
-def _unequal(path: DataFrame, groups: DataFrame, stored: DataFrame, carries: DataFrame) -> bool:
-    """Whether some group holds different sequences: other parents, or stored turns that differ in role or text."""
-    if not groups.where("parents_differ").isEmpty():
-        return True
-    several = groups.where("turns_differ").select(*_NODE)
-    refs = path.where("depth > 0").select(*_NODE, "turn_conv_id", "turn_pos").distinct()
-    refs = keep_members(refs, several, _NODE)
-    turns = _with_place(stored, carries).select(
-        F.col("conv_id").alias("turn_conv_id"), F.col("pos").alias("turn_pos"), F.struct("role", "text").alias("turn")
-    )
-    told = refs.join(turns, ["turn_conv_id", "turn_pos"]).groupBy(*_NODE)
-    return not told.agg(F.min("turn").alias("least"), F.max("turn").alias("most")).where("least <> most").isEmpty()
-
-
 def _subtree_sums(nodes: DataFrame, members: DataFrame) -> DataFrame:
     """(conv_id, depth, n_leaves, saved_tokens): ``leaf`` and ``saved`` of ``nodes`` summed over every node's subtree.
 
-    After round k a node has the sums of the 2^k levels that begin with it. A
-    node's forefather 2^k levels up is the node on the path of its own conv_id.
+    A round takes the sums of the 1, 16, 256, ... levels that begin with each node
+    to its fifteen forefathers at those distances. The forefather of a node so many
+    levels up is the node on the path of its own conv_id.
     """
     deepest = nodes.agg(F.max("depth")).first()[0] or 0
     sums = nodes.select("conv_id", "depth", F.col("leaf").alias("n_leaves"), F.col("saved").alias("saved_tokens"))
+    added = [F.sum(c).alias(c) for c in ("n_leaves", "saved_tokens")]
     step = 1
     while step <= deepest:
-        up = members.select(F.col("conv_id"), (F.col("depth") + step).alias("depth"), F.col("node").alias("up"))
-        given = sums.join(up, ["conv_id", "depth"]).groupBy(F.col("up").alias("conv_id"), (F.col("depth") - step).alias("depth"))
-        given = given.agg(F.sum("n_leaves").alias("more_leaves"), F.sum("saved_tokens").alias("more_saved"))
-        sums = sums.join(given, ["conv_id", "depth"], "left").select(
-            "conv_id", "depth", (F.col("n_leaves") + F.coalesce("more_leaves", F.lit(0))).alias("n_leaves"),
-            (F.col("saved_tokens") + F.coalesce("more_saved", F.lit(0))).alias("saved_tokens"),
-        )
-        sums, step = materialise(sums, "subtrees"), 2 * step
+        ups = F.sequence(F.lit(1), F.least(F.lit(LEAP - 1), F.floor(F.col("depth") / step)))
+        ups = sums.where(F.col("depth") >= step).select("conv_id", "n_leaves", "saved_tokens", "depth", F.explode(ups).alias("j"))
+        given = ups.groupBy("conv_id", (F.col("depth") - F.col("j") * step).alias("depth")).agg(*added)
+        given = given.join(members.select("conv_id", "depth", "node"), ["conv_id", "depth"])
+        given = given.select(F.col("node").alias("conv_id"), "depth", "n_leaves", "saved_tokens")
+        sums = compact(sums.unionByName(given).groupBy("conv_id", "depth").agg(*added), "subtrees")
+        step *= LEAP
     return sums
 
 
@@ -356,12 +342,12 @@ def _ends(members: DataFrame) -> DataFrame:
 def trie(convs: DataFrame, item: Callable[..., affine.Map] = affine.item) -> DataFrame:
     """The nodes of the trie of all rebuilt conversations of ``convs`` (conv_id, turn, role, text).
 
-    Per node: conv_id, its smallest member, with which (conv_id, depth) names
-    the node; depth; parent_conv_id; n_convs, members; n_children; n_leaves,
-    childless nodes of its subtree; saved_tokens, the sum over its subtree of
-    (n_convs - 1) times the code points of the last text; ends_sha256 of the
-    ascending ids that end here; and (turn_conv_id, turn_pos), where its last
-    turn is stored.
+    Per node: conv_id, its smallest member, so that the node is the first
+    ``depth`` rebuilt turns of conv_id (``paths`` says where each is stored);
+    depth; parent_conv_id; n_convs, members; n_children; n_leaves, childless nodes
+    of its subtree; saved_tokens, the sum over its subtree of (n_convs - 1) times
+    the code points of the last text; and ends_sha256 of the ascending ids that
+    end here.
 
     NULL role or text counts as empty. Turns of one conversation that agree in
     ``turn`` follow by role and text; repeated rows are turns of their own. Rows
@@ -375,23 +361,20 @@ def trie(convs: DataFrame, item: Callable[..., affine.Map] = affine.item) -> Dat
         return spark.createDataFrame([], NODES)
     for seed in count():
         stored = stored_turns(convs, seed, item)
-        carries = _carries(stored)
-        products = prefix_products(stored, carries)
+        products = prefix_products(stored, _carries(stored))
         path = paths(products, rebuilt(products))
         groups = _groups(path)
-        if not _unequal(path, groups, stored, carries):
+        if groups.where("unequal").isEmpty():
             break
     known = groups.select(*_NODE, F.col("first_conv").alias("node"), F.col("n_convs").alias("size"))
-    members = materialise(join_back(path.select("conv_id", "ends", *_NODE), known, _NODE, size="size").drop("m", "a"), "members")
+    members = compact(join_back(path.select("conv_id", "ends", *_NODE), known, _NODE, size="size").drop("m", "a"), "members")
     parents = members.select("conv_id", (F.col("depth") + 1).alias("depth"), F.col("node").alias("parent_conv_id"))
-    nodes = groups.select(
-        F.col("first_conv").alias("conv_id"), "depth", "n_convs", "turn.*", ((F.col("n_convs") - 1) * F.col("n_chars")).alias("saved")
-    ).join(parents, ["conv_id", "depth"], "left")
-    nodes = materialise(nodes, "nodes")
+    nodes = groups.select(F.col("first_conv").alias("conv_id"), "depth", "n_convs", ((F.col("n_convs") - 1) * F.col("n_chars")).alias("saved"))
+    nodes = compact(nodes.join(parents, ["conv_id", "depth"], "left"), "nodes")
     children = nodes.where("depth > 0").groupBy(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth"))
     nodes = nodes.join(children.agg(F.count(F.lit(1)).alias("n_children")), ["conv_id", "depth"], "left")
     nodes = nodes.withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-    nodes = materialise(nodes.withColumn("leaf", F.when(F.col("n_children") == 0, 1).otherwise(0).cast("bigint")), "nodes")
+    nodes = compact(nodes.withColumn("leaf", F.when(F.col("n_children") == 0, 1).otherwise(0).cast("bigint")), "nodes")
     sums = _subtree_sums(nodes, members)
     out = nodes.join(sums, ["conv_id", "depth"]).join(_ends(members), ["conv_id", "depth"], "left")
     return out.withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(_EMPTY))).select(*(c.split()[0] for c in NODES.split(", ")))
