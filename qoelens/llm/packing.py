@@ -156,13 +156,20 @@ class Layout:
         self.span = [max(span, -(-n_sources * n_sources // phase.size)) for phase in plan]
         self.starts = [[phase.before[s] for phase in plan] for s in range(n_sources)]
         self.largest = [max(range(n_sources), key=phase.quota.__getitem__) for phase in plan]
+        self._served: dict[tuple[int, int], list[int]] = {}
 
     def served(self, p: int, span: int) -> list[int]:
         """Ids of every source in phase ``p`` before its span ``span``."""
+        known = self._served.get((p, span))
+        if known is not None:
+            return known
+        if len(self._served) > 10_000:
+            self._served.clear()
         phase = self.plan[p]
         windows = min(span * self.span[p], phase.n_windows)
         out = [q * windows // phase.n_windows for q in phase.quota]
         out[self.largest[p]] += windows * phase.size - sum(out)
+        self._served[p, span] = out
         return out
 
     def find(self, source: int, at: int) -> tuple[int, int]:
@@ -208,17 +215,17 @@ def _pieces(layout: Layout, index: dict[str | None, int], with_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pydict()
-            queue = [index[s] for s in rows["source"]]
+            firsts, sizes = (batch.column(c).to_numpy() for c in ("first", "n"))
+            queue = [index[s] for s in batch.column("source").to_pylist()]
             # The spans that each document reaches into.
             reach: dict[tuple[int, int], list[int]] = {}
-            for row, (s, at, n) in enumerate(zip(queue, rows["first"], rows["n"])):
-                key, last = layout.find(s, at), layout.find(s, at + n - 1)
+            for row, (s, at, n) in enumerate(zip(queue, firsts.tolist(), sizes.tolist())):
+                key = layout.find(s, at)
                 while True:
                     reach.setdefault(key, []).append(row)
-                    if key == last:
-                        break
                     p, span = key
+                    if layout.plan[p].before[s] + layout.served(p, span + 1)[s] >= at + n:
+                        break
                     done = (span + 1) * layout.span[p] >= layout.plan[p].n_windows
                     key = (p + 1, 0) if done else (p, span + 1)
             at_once = max(1, _TABLE // (max(layout.span) * len(layout.starts)))
@@ -227,41 +234,55 @@ def _pieces(layout: Layout, index: dict[str | None, int], with_ids: bool):
                 p = keys[0][0]
                 mine = [k for k in keys[:at_once] if k[0] == p]
                 keys = keys[len(mine):]
-                yield from _cut(rows, queue, layout, mine, [reach[k] for k in mine], with_ids)
+                yield from _cut(batch, np.array(queue), layout, mine, [np.array(reach[k]) for k in mine], with_ids)
 
     return run
 
 
-def _cut(rows: dict, queue: list[int], layout: Layout, keys: list[tuple[int, int]], members: list[list[int]], with_ids: bool):
+def _cut(batch: pa.RecordBatch, queue: np.ndarray, layout: Layout, keys: list[tuple[int, int]], members: list[np.ndarray], with_ids: bool):
+    """The pieces of documents in some spans of one phase."""
     p = keys[0][0]
     phase = layout.plan[p]
-    table = layout.windows(p, [span for _, span in keys])
-    columns: dict[str, list] = {name: [] for name in _PIECES.names}
-    for (_, span), grid, docs in zip(keys, table, members):
+    firsts, sizes = (batch.column(c).to_numpy() for c in ("first", "n"))
+    rows, starts, lengths, numbers, places = ([] for _ in range(5))
+    for (_, span), grid, docs in zip(keys, layout.windows(p, [span for _, span in keys]), members):
         # Ids of each source before each window in its queue, and its place within the window.
         before = np.zeros((len(grid) + 1, grid.shape[1]), dtype=np.int64)
         np.cumsum(grid, axis=0, out=before[1:])
         before += np.array(layout.served(p, span)) + np.array(phase.before)
         inside = np.cumsum(grid, axis=1) - grid
         number = phase.window + span * layout.span[p]
-        for row in docs:
-            s, first, n = queue[row], rows["first"][row], rows["n"][row]
-            bounds = before[:, s]
-            start, stop = max(first, int(bounds[0])), min(first + n, int(bounds[-1]))
-            k = int(np.searchsorted(bounds, start, side="right")) - 1
-            ids = rows["ids"][row]
-            while start < stop:
-                end = min(int(bounds[k + 1]), stop)
-                if end > start:
-                    raw = ids[4 * (start - first):4 * (end - first)]
-                    for name, value in zip(_PIECES.names, (
-                        rows["doc_id"][row], rows["source"][row], start - first, end - start, zlib.crc32(raw), n,
-                        number + k, int(inside[k, s]) + start - int(bounds[k]), raw if with_ids else None,
-                    )):
-                        columns[name].append(value)
-                    start = end
-                k += 1
-    yield pa.RecordBatch.from_pydict(columns, schema=_PIECES)
+        for s in np.unique(queue[docs]).tolist():
+            mine, bounds = docs[queue[docs] == s], before[:, s]
+            first = np.maximum(firsts[mine], bounds[0])
+            last = np.minimum(firsts[mine] + sizes[mine], bounds[-1])
+            low = np.searchsorted(bounds, first, side="right") - 1
+            n = np.maximum(np.searchsorted(bounds, last, side="left") - low, 0)
+            # One candidate per document and window between its ends; windows without ids of the source fall out.
+            k = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+            row, start = np.repeat(mine, n), np.maximum(np.repeat(first, n), bounds[k])
+            length = np.minimum(np.repeat(last, n), bounds[k + 1]) - start
+            real = length > 0
+            k, row, start, length = k[real], row[real], start[real], length[real]
+            rows.append(row)
+            starts.append(start - firsts[row])
+            lengths.append(length)
+            numbers.append(number + k)
+            places.append(inside[k, s] + start - bounds[k])
+    row, start, length, number, place = map(np.concatenate, (rows, starts, lengths, numbers, places))
+    ids = batch.column("ids")
+    _, offsets, data = ids.buffers()
+    at = np.frombuffer(offsets, np.int32)[ids.offset:][row] + 4 * start
+    raw = memoryview(data)
+    told = [raw[a:b] for a, b in zip(at.tolist(), (at + 4 * length).tolist())]
+    yield pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id").take(pa.array(row)), batch.column("source").take(pa.array(row)), pa.array(start), pa.array(length),
+            pa.array(list(map(zlib.crc32, told)), pa.int64()), pa.array(sizes[row]), pa.array(number), pa.array(place),
+            pa.array([bytes(x) for x in told] if with_ids else [None] * len(told), pa.binary()),
+        ],
+        schema=_PIECES,
+    )
 
 
 def pack(
