@@ -1,37 +1,20 @@
-"""Chunking, sparse and dense top-k, fusion and retrieval reports.
-
-Documents are the large side and stay where they are: every task scores its
-own documents against a batch of questions and keeps only its best k per
-question, so what is shuffled is at most (tasks x questions x k) rows. Questions
-are taken in blocks of bounded size; more questions mean more blocks.
-"""
+"""Chunking, fusion of sparse and dense hits, and retrieval reports. The searches themselves are in ``search``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import top_rows
-from ..operators.skew import materialise
+from .search import TOP_K, bm25_topk, dense_topk  # noqa: F401
 
-# Chunking, number of hits and fusion weights.
+# Chunking and fusion weights.
 CHUNK, OVERLAP = 1200, 150
-TOP_K = 5
 SPARSE_WEIGHT, DENSE_WEIGHT = 0.4, 0.6
 RANK_OFFSET = 60
 SEPARATOR = "\n\n---\n\n"
-K1, B = 1.5, 0.75
-
-#: Questions scored in one pass over the documents.
-QUESTION_BLOCK = 256
-#: Decimals kept before ranking, so equal scores tie on every machine.
-DIGITS = 6
-WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
 def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -43,108 +26,6 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     return cut.select(key, "chunk_no", F.substring(text, F.col("_start") + 1, F.lit(size)).alias("chunk"))
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "")
-
-
-def _blocks(questions: DataFrame, columns: Sequence[str]) -> Iterator[list]:
-    """Questions in driver-sized blocks; only one block is held at a time."""
-    block = []
-    for row in questions.select(*columns).orderBy(columns[0]).toLocalIterator():
-        block.append(row)
-        if len(block) == QUESTION_BLOCK:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
-def _local_best(
-    score: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]], question_ids: Sequence[int], k: int, positive: bool
-):
-    """Per task: the k best (score, id) of every question over all its batches."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best_ids = [np.empty(0, dtype=np.int64) for _ in question_ids]
-        best_scores = [np.empty(0) for _ in question_ids]
-        for batch in batches:
-            if batch.empty:
-                continue
-            ids, scores = score(batch)
-            scores = np.round(scores, DIGITS)
-            for q in range(len(question_ids)):
-                column, have = scores[:, q], best_scores[q]
-                keep = column >= have[-1] if len(have) == k else np.ones(len(column), dtype=bool)
-                if positive:
-                    keep &= column > 0
-                if keep.any():
-                    all_scores = np.concatenate([have, column[keep]])
-                    all_ids = np.concatenate([best_ids[q], ids[keep]])
-                    order = np.lexsort((all_ids, -all_scores))[:k]
-                    best_scores[q], best_ids[q] = all_scores[order], all_ids[order]
-        for q, number in enumerate(question_ids):
-            if len(best_ids[q]):
-                yield pd.DataFrame({"query_id": number, "id": best_ids[q], "score": best_scores[q]})
-
-    return run
-
-
-def _global_best(parts: Sequence[DataFrame], k: int) -> DataFrame:
-    candidates = reduce(DataFrame.unionByName, parts)
-    return top_rows(candidates, ["query_id"], [F.desc("score"), F.col("id")], k)
-
-
-HITS = "query_id bigint, id bigint, score double"
-
-
-def _norms(vectors: np.ndarray) -> np.ndarray:
-    lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return np.where(lengths == 0, 1.0, lengths)
-
-
-def dense_topk(vectors: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Best k vectors (id, embedding) per question (query_id, embedding) by cosine."""
-    parts = []
-    for block in _blocks(questions, ["query_id", "embedding"]):
-        wanted = np.array([r["embedding"] for r in block], dtype=np.float64)
-        wanted /= _norms(wanted)
-
-        def cosine(batch: pd.DataFrame, wanted=wanted):
-            have = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
-            have /= _norms(have)
-            return batch["id"].to_numpy(), have @ wanted.T
-
-        best = _local_best(cosine, [r["query_id"] for r in block], k, positive=False)
-        parts.append(vectors.select("id", "embedding").mapInPandas(best, HITS))
-    return _global_best(parts, k)
-
-
-def bm25_topk(docs: DataFrame, questions: DataFrame, k: int = TOP_K, k1: float = K1, b: float = B) -> DataFrame:
-    """Best k documents (id, text) per question (query_id, text) by BM25.
-
-    The corpus is cut into words once, for any number of questions: only words
-    that some question has are kept, counted per document and written. Document
-    frequencies and scores come from those counts.
-    """
-    asked = questions.select("query_id", F.explode(words(F.col("text"))).alias("word"))
-    asked = asked.groupBy("query_id", "word").agg(F.count(F.lit(1)).alias("asked"))
-    tokens = docs.select("id", words(F.col("text")).alias("words"))
-    corpus, mean = tokens.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
-    counts = materialise(
-        tokens.select("id", F.size("words").alias("length"), F.explode("words").alias("word"))
-        .join(asked.select("word").distinct(), "word", "left_semi")
-        .groupBy("id", "length", "word").agg(F.count(F.lit(1)).alias("n")),
-        "word-counts",
-    )
-    frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (F.lit(float(corpus)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = asked.join(frequency, "word").select("query_id", "word", (F.col("asked") * idf).alias("weight"))
-    norm = k1 * (1 - b + b * F.col("length") / F.lit(float(mean or 1.0)))
-    term = F.col("weight") * F.col("n") * (k1 + 1) / (F.col("n") + norm)
-    scored = counts.join(weights, "word").groupBy("query_id", "id").agg(F.round(F.sum(term), DIGITS).alias("score"))
-    return top_rows(scored.where("score > 0"), ["query_id"], [F.desc("score"), F.col("id")], k)
-
-
 def fuse(
     sparse: DataFrame, dense: DataFrame, k: int = TOP_K, sparse_weight: float = SPARSE_WEIGHT,
     dense_weight: float = DENSE_WEIGHT, offset: int = RANK_OFFSET,

@@ -7,8 +7,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from qoelens.plans import retrieval as R
+from qoelens.plans import search
 
 from .conftest import rows_of
 
@@ -30,7 +32,9 @@ def test_chunks_cover_the_whole_text(spark):
 
 @pytest.fixture
 def small_blocks(monkeypatch):
-    monkeypatch.setattr(R, "QUESTION_BLOCK", 3)
+    monkeypatch.setattr(search, "QUESTION_BLOCK", 3)
+    monkeypatch.setattr(search, "SHELF", 40)
+    monkeypatch.setattr(search, "CELL", 50)
 
 
 def test_dense_topk(spark, small_blocks):
@@ -67,14 +71,77 @@ def test_bm25_topk(spark, small_blocks):
         scores = {}
         for i, t in tokens.items():
             tf = Counter(t)
-            norm = R.K1 * (1 - R.B + R.B * len(t) / mean)
+            norm = search.K1 * (1 - search.B + search.B * len(t) / mean)
             scores[i] = round(sum(
-                n * math.log(1 + (len(docs) - df_of[w] + 0.5) / (df_of[w] + 0.5)) * tf[w] * (R.K1 + 1) / (tf[w] + norm)
+                n * math.log(1 + (len(docs) - df_of[w] + 0.5) / (df_of[w] + 0.5)) * tf[w] * (search.K1 + 1) / (tf[w] + norm)
                 for w, n in Counter(re.findall(r"[^\W_]+", text.lower())).items() if tf[w]), 6)
         want = [i for i in sorted(scores, key=lambda i: (-scores[i], i)) if scores[i] > 0][:3]
         assert [got.get(q, {}).get(n) for n in range(1, len(want) + 1)] == want
 
 
+def test_an_index_serves_again(spark, small_blocks):
+    docs = spark.createDataFrame([(i, f"common word{i % 9} rare{i}") for i in range(150)], "id long, text string").repartition(3)
+    index = search.index_texts(docs)
+    for number in (3, 77):
+        question = spark.createDataFrame([(number, f"common rare{number} unheard")], "query_id long, text string")
+        assert rows_of(R.bm25_topk(index, question)) == rows_of(R.bm25_topk(docs, question))
+        assert R.bm25_topk(index, question).orderBy("rank").first().id == number
+    nothing = spark.createDataFrame([(1, "unheard"), (2, None)], "query_id long, text string")
+    assert R.bm25_topk(index, nothing).count() == 0 and R.bm25_topk(docs.limit(0), nothing).count() == 0
+
+
+def test_shelves_without_a_chance_are_closed(spark, small_blocks):
+    # Every text has the common words; only the question's own has the rare ones.
+    docs = spark.createDataFrame([(i, f"the of and to a{i} b{i} c{i}") for i in range(400)], "id long, text string").repartition(3)
+    asked = spark.createDataFrame([(i, f"the of and a{i} b{i}") for i in range(0, 400, 40)], "query_id long, text string")
+    index = search.index_texts(docs)
+    frequency = index.blocks.groupBy("word").agg(F.sum("n").alias("df"))
+    weights = search.asked_words(asked).join(frequency, "word").withColumn("weight", F.log(1 + 400 / F.col("df")))
+    opened = search.open_shelves(index, weights, 1)
+    assert opened.count() == 10 and R.bm25_topk(index, asked, k=1).where("id <> query_id").isEmpty()
+
+
+def test_few_texts_are_scored_in_full():
+    """Of one shelf, and with the best score known, under a fifth of the texts that share a word with a question is scored to the end."""
+    rng = np.random.default_rng(8)
+    n, full, pairs = 2000, 0, 0
+    for _ in range(20):
+        words_of, sums = [], np.zeros(n)
+        for df in (3, 10, 40, 200, 900, 1500, 1900):
+            places, impacts = rng.choice(n, df, replace=False), rng.uniform(0.4, 2.2, df)
+            weight = math.log(1 + n / df)
+            words_of.append((weight * impacts.max(), weight, places, impacts))
+            sums[places] += weight * impacts
+        least = float(np.sort(sums)[-5])
+        alive, scores = search.score_shelf(words_of, n, least)
+        assert set(np.flatnonzero(sums >= least)) == set(alive.tolist())
+        assert np.allclose(scores, sums[alive])
+        full, pairs = full + len(alive), pairs + int((sums > 0).sum())
+    assert full < pairs / 5
+
+
+def test_cells_without_a_chance_are_closed(spark, small_blocks):
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(12, 16))
+    rows = [(i, (centers[i % 12] + rng.normal(scale=0.02, size=16)).tolist()) for i in range(600)]
+    rows += [(1000 + i, rows[0][1]) for i in range(200)] + [(5000, None), (5001, [0.0] * 16)]
+    vectors = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(4)
+    asked = spark.createDataFrame([(i, centers[i].tolist()) for i in range(12)] + [(12, [0.0] * 16)], "query_id long, embedding array<double>")
+    index = search.index_vectors(vectors)
+    cells = index.cells.count()
+    opened = search.open_cells(index, asked.where("query_id < 12"), 5).count()
+    assert opened < 12 * cells / 3
+    table = {i: np.array(v) for i, v in rows if v}
+    got = {}
+    for r in R.dense_topk(index, asked).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.id
+    for q in asked.collect():
+        a = np.array(q.embedding)
+        cos = {i: round(float(a @ v / ((np.linalg.norm(a) * np.linalg.norm(v)) or 1)), 6) for i, v in table.items()}
+        assert [got[q.query_id][n] for n in range(1, 6)] == sorted(cos, key=lambda i: (-cos[i], i))[:5]
+    assert R.dense_topk(vectors.limit(0), asked).count() == 0
+
+
 def test_fusion_and_context(spark):
     hits = "query_id long, id long, score double, rank int"
     sparse = spark.createDataFrame([(1, 10, 9.0, 1), (1, 11, 8.0, 2)], hits)
