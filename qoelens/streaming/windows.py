@@ -20,7 +20,7 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType | str, glo
 
 def in_event_time(stream: DataFrame, column: str, late_by: str = "30 minutes") -> DataFrame:
     """Event time as a UTC timestamp with a watermark. Rows later than
-    ``late_by`` are dropped here and repaired by a batch back-fill."""
+    ``late_by`` are dropped here; ``corrections`` repairs their windows."""
     return stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, late_by)
 
 
@@ -64,3 +64,54 @@ def complete_until(sources: Mapping[str, DataFrame], time: str) -> DataFrame:
         F.min("newest").alias("complete_until"),
         *(F.max(F.when(F.col("source") == name, F.col("newest"))).alias(f"newest_{name}") for name in sources),
     )
+
+
+def common_slots(
+    sources: Mapping[str, DataFrame], time: str, delays: Mapping[str, str], width: str = "1 hour"
+) -> DataFrame:
+    """A stream of slots that all sources have passed, with each source's records.
+
+    Every source has a watermark of its own delay. A slot comes out, once, when
+    the slowest watermark has passed its end: the session's policy for several
+    watermarks is set to their minimum.
+    """
+    spark = next(iter(sources.values())).sparkSession
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    merged = None
+    for name, stream in sources.items():
+        timed = in_event_time(stream, time, delays[name]).select(time, F.lit(name).alias("source"))
+        merged = timed if merged is None else merged.unionByName(timed)
+    counts = {f"n_{name}": F.count_if(F.col("source") == name) for name in sources}
+    return windowed(merged, time, [], counts, width)
+
+
+def passed_slots(sources: Mapping[str, DataFrame], time: str, delays: Mapping[str, str], width: str = "1 hour") -> DataFrame:
+    """The batch twin of ``common_slots``: the slots that end by the earliest of the sources' newest time less its delay."""
+    merged = None
+    for name, df in sources.items():
+        timed = df.select(F.col(time).cast("timestamp").alias(time), F.lit(name).alias("source"))
+        merged = timed if merged is None else merged.unionByName(timed)
+    reached = merged.groupBy("source").agg(F.max(time).alias("newest"))
+    delay = F.create_map(*(x for name in sources for x in (F.lit(name), F.expr(f"INTERVAL {delays[name]}"))))
+    mark = reached.agg(F.min(F.col("newest") - delay[F.col("source")]).alias("mark"), F.count(F.lit(1)).alias("n"))
+    counts = {f"n_{name}": F.count_if(F.col("source") == name) for name in sources}
+    slots = windowed(merged, time, [], counts, width)
+    return slots.join(F.broadcast(mark), F.col("window_end") <= F.col("mark")).where(F.col("n") == len(sources)).select(slots["*"])
+
+
+def open_sessions(spark: SparkSession, progress: str, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Sessions that an append-mode ``sessions`` stream has not closed yet, read
+    from its state under ``progress``, in the form of those that it has written.
+
+    ``values`` are the stream's aggregates in their order; each must be a count,
+    a sum, a minimum or a maximum, which the state holds as they are.
+    """
+    state = spark.read.format("statestore").load(progress)
+    held = state.schema["value"].dataType
+    # The state names fields by their functions, so names repeat: window, keys and aggregates are taken by place.
+    names = ["w", *keys, *values]
+    if len(held.fields) != len(names):
+        raise ValueError("an aggregate has more than one number in the state")
+    named = T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, held.fields)])
+    opened = state.select(F.col("value").cast(named).alias("v")).select("v.*")
+    return opened.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, *values)
