@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 from .. import telemetry as data
 from ..plans import daily as D
 from ..plans import extensions as E
+from ..operators.skew import join_back
+from ..plans import features as X
 from ..plans import hourly as H
+from ..plans import sketches as K
+from ..session import run_dir
 from . import daily_queries as DQ
 from . import sql as S
+from . import table_queries as TQ
 from .base import query
 
 
@@ -180,3 +185,70 @@ def code_share(spark, sf_dir):
 )
 def records_per_minute(spark, sf_dir):
     return E.ingest_profile(_events(spark, sf_dir), F.col("ts"))
+
+
+@query(
+    "uptime_rates",
+    f"""WITH {S.OWL}, {S.IP_DAILY}, {S.RESTART_DAILY},
+    span AS (SELECT 'HM' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS sn, CAST(ts AS DATE) AS day, event_id,
+      CAST(epoch_ms(date_trunc('second', ts)) / 1000 AS BIGINT) AS lo FROM events),
+    seen AS (SELECT sn, day, lo, lo + 21600 AS hi, max(lo + 21600) OVER (
+      PARTITION BY sn ORDER BY lo, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM span),
+    up AS (SELECT sn, CAST(sum(greatest(hi - greatest(lo, coalesce(reached, lo)), 0)) AS BIGINT) AS uptime, count(DISTINCT day) AS active_days
+      FROM seen GROUP BY sn),
+    re AS (SELECT sn, CAST(sum(coalesce(num_total_reboots, 0)) AS BIGINT) AS reboots FROM restart_daily GROUP BY sn),
+    ip AS (SELECT sn, CAST(sum(no_ip_changes) AS BIGINT) AS ip_changes FROM ip_daily GROUP BY sn)
+    SELECT up.sn, uptime AS uptime_seconds, coalesce(reboots, 0) AS reboots,
+      round(CAST(coalesce(reboots, 0) * 86400 AS DOUBLE) / uptime, 6) AS reboots_per_day_up, coalesce(ip_changes, 0) AS ip_changes, active_days,
+      round(coalesce(ip_changes, 0) / active_days, 6) AS ip_changes_per_active_day
+    FROM up LEFT JOIN re ON re.sn = up.sn LEFT JOIN ip ON ip.sn = up.sn""",
+)
+def uptime_rates(spark, sf_dir):
+    owl = data.owl_history(spark, sf_dir)
+    reports = D.with_router_keys(owl).select("sn", "day", "ts")
+    out = E.rates_per_uptime(reports, D.restarts_daily(owl), D.ip_changes_daily(owl, ["event_id"]))
+    return out.withColumns({c: F.round(c, 6) for c in ("reboots_per_day_up", "ip_changes_per_active_day")})
+
+
+_SHARES = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+
+
+@query(
+    "sketch_percentiles",
+    f"""SELECT user_id, count(value) AS n, {", ".join(f"true AS {p}_within" for p in _SHARES)} FROM events
+    GROUP BY user_id HAVING count(value) > 0""",
+)
+def sketch_percentiles(spark, sf_dir):
+    """Thirty days of a measure from stored daily sketches, each estimate held against its exact rank."""
+    events = _events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    folder = run_dir(spark, "quantile-states")
+    K.quantile_states(events, ["user_id"], "day", "value").write.partitionBy("day").parquet(folder)
+    found = K.quantiles(spark.read.parquet(folder), ["user_id"], _SHARES)
+    ranked = join_back(events.where("value is not null").select("user_id", "value"), found, ["user_id"], size="n")
+    exact = ranked.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        *(F.count_if(F.col("value") < F.col(p)).alias(f"_{p}_below") for p in _SHARES),
+        *(F.count_if(F.col("value") <= F.col(p)).alias(f"_{p}_upto") for p in _SHARES),
+    )
+    slack = F.lit(K.RANK_ERROR) + 1 / F.col("n")
+    within = [
+        ((F.col(f"_{p}_below") / F.col("n") <= share + slack) & (F.col(f"_{p}_upto") / F.col("n") >= share - slack)).alias(f"{p}_within")
+        for p, share in _SHARES.items()
+    ]
+    return exact.select("user_id", "n", *within)
+
+
+@query(
+    "sketch_neighbours",
+    f"""WITH {S.LI}, scans AS ({TQ._scan_sql()}) SELECT right(sn, 4) || '-' || sn AS rowkey, band, count(DISTINCT b) AS points,
+    true AS within FROM scans GROUP BY ALL""",
+)
+def sketch_neighbours(spark, sf_dir):
+    """Access points of a router from stored hourly states, held against the exact count."""
+    points = X.heard(data.neighbour_scans(spark, sf_dir), "hour")
+    folder = run_dir(spark, "distinct-states")
+    K.distinct_states(points, ["rowkey", "band"], "hour", "bssid").write.partitionBy("hour").parquet(folder)
+    found = K.distinct_counts(spark.read.parquet(folder), ["rowkey", "band"])
+    exact = points.where("bssid is not null").distinct().groupBy("rowkey", "band").agg(F.countDistinct("bssid").alias("points"))
+    within = F.abs(F.col("distinct") - F.col("points")) <= F.greatest(F.lit(1.0), F.col("points") * K.DISTINCT_ERROR)
+    return exact.join(found, ["rowkey", "band"]).select("rowkey", "band", "points", within.alias("within"))

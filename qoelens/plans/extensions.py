@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from ..functions.percentiles import percentiles
 from ..functions.profiles import IP_CHANGES, IP_CHANGES_WITH_REBOOT, bucketize
 from ..operators.histogram import percentiles_of_counts, value_counts
+from ..operators.intervals import covered
 from ..operators.ranking import top_rows
+from ..operators.shape import merge_features
+
+#: Seconds after a report for which it vouches that the router is up.
+REPORT_HOLDS = 6 * 3600
 
 
 def daily_values(rows: DataFrame, keys: Sequence[str], time: Column, value: Column) -> DataFrame:
@@ -77,6 +82,30 @@ def rate_per_active_day(
     return joined.withColumn("rate", F.try_divide("events", "active_days"))
 
 
+def rates_per_uptime(
+    reports: DataFrame, reboots: DataFrame, changes: DataFrame, key: str = "sn", time: str = "ts", holds: int = REPORT_HOLDS
+) -> DataFrame:
+    """Per home: seconds it was up, reboots, reboots per day of uptime, address changes and those per active day.
+
+    Every report (key, day, time in milliseconds) vouches for ``holds`` seconds
+    after its own; overlapping stretches count once. ``reboots`` and ``changes`` have a row per
+    key and day with ``num_total_reboots`` and ``no_ip_changes``.
+    """
+    spans = reports.select(key, F.floor(F.col(time) / 1000).alias("_from")).withColumn("_until", F.col("_from") + holds)
+    up = covered(spans, [key], "_from", "_until", "uptime_seconds")
+    active = reports.select(key, "day").distinct().groupBy(key).agg(F.count("day").alias("active_days"))
+    totals = [
+        df.groupBy(key).agg(F.sum(F.coalesce(c, F.lit(0))).alias(out))
+        for df, c, out in ((reboots, "num_total_reboots", "reboots"), (changes, "no_ip_changes", "ip_changes"))
+    ]
+    joined = merge_features([up, active, *totals], key).where("uptime_seconds is not null")
+    joined = joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("reboots", "ip_changes")})
+    return joined.select(
+        key, "uptime_seconds", "reboots", F.try_divide(F.col("reboots") * 86_400.0, F.col("uptime_seconds")).alias("reboots_per_day_up"), "ip_changes", "active_days",
+        F.try_divide("ip_changes", "active_days").alias("ip_changes_per_active_day"),
+    )
+
+
 def cumulative_alerts(daily: DataFrame, keys: Sequence[str], counter: str, limit: int, day: str = "day") -> DataFrame:
     """First day a key's running total passes ``limit``."""
     running = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)

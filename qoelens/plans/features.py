@@ -66,29 +66,31 @@ def feature_table(history: DataFrame, owl: DataFrame) -> DataFrame:
     return merge_features([top_names(history), station_features(history), router_features(owl)], "rowkey")
 
 
-def neighbours(scans: DataFrame) -> DataFrame:
-    """Distinct access points heard per band; NULL where a band heard none.
-
-    One pass: every (band, point) is deduplicated across the cluster before
-    it is counted, whatever number of scans a router sent.
-    """
+def heard(scans: DataFrame, *more: str) -> DataFrame:
+    """(rowkey, more, band, bssid) of every access point in every scan; bssid is NULL where a scan heard none."""
     by_band = F.array(
         *(
             F.struct(F.lit(b).alias("band"), F.flatten(F.col(f"wifi_scan_wifi_ap_data_{b}.data")).alias("points"))
             for b in NEIGHBOUR_BANDS
         )
     )
-    heard = (
-        scans.select("rowkey", F.explode(by_band).alias("s"))
-        .select("rowkey", "s.band", F.explode("s.points").alias("point"))
-        .select("rowkey", "band", F.col("point.bssid").alias("bssid"))
-        .distinct()
-    )
+    scanned = scans.select("rowkey", *more, F.explode(by_band).alias("s"))
+    points = scanned.select("rowkey", *more, "s.band", F.explode("s.points").alias("point"))
+    return points.select("rowkey", *more, "band", F.col("point.bssid").alias("bssid"))
+
+
+def neighbours(scans: DataFrame) -> DataFrame:
+    """Distinct access points heard per band; NULL where a band heard none.
+
+    One pass: every (band, point) is deduplicated across the cluster before
+    it is counted, whatever number of scans a router sent.
+    """
+    points = heard(scans).distinct()
     counts = [
         F.count_if((F.col("band") == b) & F.col("bssid").isNotNull()).alias(f"_{b}") for b in NEIGHBOUR_BANDS
     ]
     seen = [F.count_if(F.col("band") == b).alias(f"_any_{b}") for b in NEIGHBOUR_BANDS]
-    return heard.groupBy("rowkey").agg(*counts, *seen).select(
+    return points.groupBy("rowkey").agg(*counts, *seen).select(
         "rowkey",
         *(F.when(F.col(f"_any_{b}") > 0, F.col(f"_{b}")).alias(f"distinct_{b}_bssid_count") for b in NEIGHBOUR_BANDS),
     )

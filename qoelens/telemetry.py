@@ -159,5 +159,6 @@ def neighbour_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return _lineitem(spark, sf_dir).selectExpr(
-        "concat(substring(sn, -4, 4), '-', sn) as rowkey", scans("2_4g", 1), scans("5g", 2), scans("6g", 3)
+        "concat(substring(sn, -4, 4), '-', sn) as rowkey", scans("2_4g", 1), scans("5g", 2), scans("6g", 3),
+        "lpad(cast(hour_no as string), 2, '0') as hour",
     )

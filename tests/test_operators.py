@@ -240,3 +240,38 @@ def test_merge_features_is_a_full_outer_join_with_one_shuffle(spark):
     assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     with pytest.raises(ValueError):
         shape.merge_features([a, a], "k")
+
+
+def test_covered_time(spark):
+    from qoelens.operators.intervals import covered
+
+    rng = random.Random(12)
+    rows = [("hot", t, t + rng.choice([0, 1, 5, 400])) for t in rng.choices(range(20_000), k=3000)]
+    rows += [("hot", 10, 9_000), (None, 1, 4), (None, 3, 9), ("b", 5, None), ("c", 7, 7), ("d", 1, 3), ("d", 3, 5), ("d", 1, 3)]
+    rows += [(f"k{i}", s, s + 10) for i in range(40) for s in (0, 5, 30)]
+    df = spark.createDataFrame(rows, "k string, a long, b long").repartition(5)
+    seen = {}
+    for k, a, b in rows:
+        if b is not None and b > a:
+            seen.setdefault(k, set()).update(range(a, b))
+    got = {r.k: r.covered for r in covered(df, ["k"], "a", "b").collect()}
+    assert got == {k: len(v) for k, v in seen.items()}
+
+
+def test_sketches_merge_over_slots(spark):
+    from qoelens.plans import sketches as K
+
+    rng = random.Random(3)
+    rows = [("a", d, rng.gauss(0, 1)) for d in range(30) for _ in range(700)] + [("b", 0, 5.0), ("b", 1, None), ("c", 2, None)]
+    df = spark.createDataFrame(rows, "k string, day int, v double").repartition(4)
+    states = K.quantile_states(df, ["k"], "day", "v")
+    assert states.count() == 31
+    got = {r.k: r for r in K.quantiles(states, ["k"], {"p10": 0.1, "p50": 0.5, "p90": 0.9}).collect()}
+    values = sorted(v for k, _, v in rows if k == "a")
+    assert set(got) == {"a", "b"} and got["a"].n == 21_000 and got["b"].p50 == 5.0
+    for name, share in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)):
+        rank = sum(v <= got["a"][name] for v in values) / len(values)
+        assert abs(rank - share) <= K.RANK_ERROR
+    counts = K.distinct_counts(K.distinct_states(df.withColumn("v", F.round("v", 3).cast("string")), ["k"], "day", "v"), ["k"])
+    exact = len({round(v, 3) for v in values})
+    assert abs({r.k: r.distinct for r in counts.collect()}["a"] - exact) <= exact * K.DISTINCT_ERROR
