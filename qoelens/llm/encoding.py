@@ -17,8 +17,8 @@ from array import array
 
 import numpy as np
 
-#: Stretches remembered; beyond it the encoder starts anew.
-MOST = 1_000_000
+#: Stretches remembered, about 200 bytes each; beyond it the encoder starts anew.
+MOST = 400_000
 #: Stretches handed to the library at once.
 CALL = 1 << 14
 
