@@ -9,6 +9,9 @@ from ..functions.profiles import KPI_CUTS, PILLAR_CUTS, bucketize, label_to_scor
 from ..functions.scoring import vote, weighted_mean, worst_label
 from ..operators.shape import exclude_keys
 from ..plans import daily as D
+from ..plans.jobs import DailyPaths, backfill_days, by_date, score_day
+from ..session import run_dir
+from ..sources import sinks
 from . import sql as S
 from .base import query
 
@@ -361,6 +364,49 @@ def daily_home_score(spark, sf_dir):
     return _daily(spark, sf_dir)
 
 
+# ------------------------------------------------------------------- day jobs
+
+
+def _day_jobs_sql():
+    """Two days with the same telemetry: look-backs of the first end a day earlier,
+    those of the second have both days' airtime."""
+    windows = {
+        "'2024-01-20' AND '2024-01-29'": "'2024-01-19' AND '2024-01-28'",
+        "'2024-01-01' AND '2024-01-30'": "'2023-12-31' AND '2024-01-29'",
+        "'01-30-2024' AS day": "'01-29-2024' AS day",
+    }
+    earlier = _home_sql()
+    for own, before in windows.items():
+        earlier = earlier.replace(own, before)
+    later = _home_sql().replace("count(*) FILTER (WHERE util > 70) AS no_poor", "2 * count(*) FILTER (WHERE util > 70) AS no_poor")
+    parts = [("home", data.DATE_BEFORE, earlier), ("home", data.SCORE_DATE, later)]
+    parts += [("station", d, _pair_sql()) for d in (data.DATE_BEFORE, data.SCORE_DATE)]
+    return " UNION ALL BY NAME ".join(f"SELECT '{kind}' AS kind, '{d}' AS date, * FROM ({sql})" for kind, d, sql in parts)
+
+
+@query("day_jobs", _day_jobs_sql())
+def day_jobs(spark, sf_dir):
+    """The newer day is scored first, the back-fill finds the older one and runs it once;
+    then the newer day is scored anew and read in its second version."""
+    base = run_dir(spark, "daily")
+    paths = DailyPaths(*(f"{base}/{t}" for t in ("history", "groups", "events", "mobility", "stations", "homes")))
+    for path, records in ((paths.history, _history(spark, sf_dir)), (paths.groups, data.device_groups(spark, sf_dir))):
+        sinks.write_partitions(data.day_earlier(records).unionByName(records), path)
+    events = _owl(spark, sf_dir).withColumn("date", F.date_format(F.timestamp_millis("ts"), "yyyyMMdd"))
+    sinks.write_partitions(events, paths.events, ["date"])
+    days, order = [data.DATE_BEFORE, data.SCORE_DATE], {"tiebreak": ["event_id"]}
+    score_day(spark, paths, data.SCORE_DATE, **order)
+    for jobs in (3, 0):
+        if len(backfill_days(spark, paths, days, **order)) != jobs:
+            raise RuntimeError("the back-fill did not run all outputs of the missing day, once")
+    homes, stations = by_date(spark, paths.homes), by_date(spark, paths.stations)
+    score_day(spark, paths, data.SCORE_DATE, outputs=["stations"], **order)
+    if stations.superseded().count() != 1:
+        raise RuntimeError("the second version of a day did not replace the first")
+    parts = [table.read().withColumn("kind", F.lit(kind)) for table, kind in ((homes, "home"), (stations, "station"))]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
 # ------------------------------------------------------------ label functions
 
 

@@ -10,7 +10,7 @@ from .. import telemetry as data
 from ..operators.skew import materialise
 from ..operators.stationarity import drop_low_outliers, mobility, stationarity
 from ..plans import hourly as H
-from ..plans.jobs import HourlyPaths, backfill_hours, day_before, score_hour
+from ..plans.jobs import HourlyPaths, backfill_hours, by_hour, score_hour, store_mobility
 from ..session import run_dir
 from ..sources import sinks, tables
 from . import sql as S
@@ -371,18 +371,25 @@ def coverage_pillar(spark, sf_dir):
     )
 
 
-@query("hourly_jobs", home_score_sql())
+@query(
+    "hourly_jobs",
+    f"""SELECT 'home' AS kind, * FROM ({home_score_sql()}) UNION ALL BY NAME
+    SELECT 'station' AS kind, * FROM ({station_score_sql("station_hour_mode", S.ENRICHED)})""",
+)
 def hourly_jobs(spark, sf_dir):
     """Two of three hours are scored by the hour's job, the third is found and
-    scored by the back-fill; mobility comes from the day before."""
+    scored by the back-fill; mobility is stored from the day before."""
     base = run_dir(spark, "hourly")
     paths = HourlyPaths(*(f"{base}/{t}" for t in ("history", "groups", "mobility", "stations", "homes")))
-    history, before = data.station_history(spark, sf_dir), day_before(data.SCORE_DATE)
-    sinks.write_partitions(history, paths.history)
+    history = data.station_history(spark, sf_dir)
+    sinks.write_partitions(data.day_earlier(history).unionByName(history), paths.history)
     sinks.write_partitions(data.device_groups(spark, sf_dir), paths.groups)
-    mobility(H.connection_records(history), ["sn", "station_mac"], "rssi").write.parquet(f"{paths.mobility}/date={before}")
+    store_mobility(spark, paths, data.DATE_BEFORE)
     for hour in ("08", "18"):
-        score_hour(spark, paths, data.SCORE_DATE, hour)
-    if backfill_hours(spark, paths, [data.SCORE_DATE], datetime(2024, 1, 31)) != 2:
-        raise RuntimeError("the back-fill did not find both outputs of the missing hour")
-    return tables.read_partitioned(spark, paths.homes)
+        if not all(done.published for done in score_hour(spark, paths, data.SCORE_DATE, hour)):
+            raise RuntimeError(f"hour {hour} was refused")
+    for jobs in (2, 0):
+        if len(backfill_hours(spark, paths, [data.SCORE_DATE], datetime(2024, 1, 31))) != jobs:
+            raise RuntimeError("the back-fill did not run both outputs of the missing hour, once")
+    homes, stations = (by_hour(spark, p).read().withColumn("kind", F.lit(k)) for p, k in ((paths.homes, "home"), (paths.stations, "station")))
+    return homes.unionByName(stations, allowMissingColumns=True)

@@ -280,6 +280,11 @@ def station_report(stations: DataFrame, history: DataFrame, date: str) -> DataFr
 
 def daily_station_score(history: DataFrame) -> DataFrame:
     """Signal and rate label of every station that has both."""
+    return station_scores(materialise(station_day(history), "station-day"))
+
+
+def station_scores(day: DataFrame) -> DataFrame:
+    """The same from a stored station-day table."""
     def renamed(stations: DataFrame, kind: str) -> DataFrame:
         labels = {_counter(label, b): f"{_counter(label, b)}_{kind}" for label in LABELS for b in P.BANDS}
         names = labels | {
@@ -287,7 +292,6 @@ def daily_station_score(history: DataFrame) -> DataFrame:
         }
         return stations.withColumnsRenamed(names).drop("byte_send", "byte_received", "volume")
 
-    day = materialise(station_day(history), "station-day")
     return renamed(station_levels(day, "rssi"), "rssi").join(renamed(station_levels(day, "phyrate"), "phyrate"), ["sn", "rowkey"])
 
 
@@ -363,13 +367,14 @@ def score_homes(kpis: DataFrame, pillar_cuts: R.Profile = R.PILLAR_CUTS) -> Data
 
 def daily_home_score(
     history: DataFrame, groups: DataFrame, owl: DataFrame, day: str,
-    tiebreak: Sequence[str] = (), blocked: Sequence[str] = (),
+    tiebreak: Sequence[str] = (), blocked: Sequence[str] = (), stations: DataFrame | None = None,
 ) -> DataFrame:
     """The daily score of every home with a known model.
 
-    The station-day table is written once; three KPIs read it.
+    The station-day table is written once, unless given; three KPIs read it.
     """
-    stations = materialise(station_day(history), "station-day")
+    if stations is None:
+        stations = materialise(station_day(history), "station-day")
     kpis = [
         ip_change_kpi(ip_changes_daily(owl, tiebreak), day),
         steering_kpi(stations),

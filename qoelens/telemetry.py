@@ -9,9 +9,12 @@ jobs in ``plans`` read.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCORE_DAY = "2024-01-30"
 SCORE_DATE = "20240130"
+DATE_BEFORE = "20240129"
+DAY_MS = 86_400_000
 #: Midnight UTC of the score day in epoch milliseconds.
 DAY_START_MS = 1706572800000
 
@@ -116,6 +119,11 @@ def device_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def day_earlier(records: DataFrame) -> DataFrame:
+    """The same records, reported a day before."""
+    return records.withColumns({"ts": F.col("ts") - DAY_MS, "date": F.lit(DATE_BEFORE)})
+
+
 def owl_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Router event log: addresses, modem events, restarts, channel changes."""
     return (

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from qoelens.session import build_session, run_dir, shared_dir
 from qoelens.sources import gaps, sinks, tables
+from qoelens.sources.ledger import LedgerTable
 
 from .conftest import rows_of
 
@@ -148,3 +149,30 @@ def test_gaps_are_found_and_filled_once(spark, tmp_path, hours):
 
 def test_build_session_sets_utc(spark):
     assert build_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_a_failed_run_leaves_the_version_before(spark, tmp_path):
+    table = LedgerTable(spark, str(tmp_path / "scores"), ("date", "hour"))
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.current().isEmpty() and table.rows_of("20240101", "08") is None
+    rows = spark.range(5).withColumn("hour", F.lit("99"))
+    assert table.publish(rows, "20240101", "08").published
+    assert table.publish(spark.range(2), "20240101", "09").rows == 2
+    broken = spark.range(3).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        table.publish(broken, "20240101", "08")
+    assert rows_of(table.read(F.col("hour") == "08")) == [(i, "20240101", "08") for i in range(5)]
+    assert table.publish(spark.range(7, 9), "20240101", "08").published
+    assert rows_of(table.read(F.col("hour") == "08"), "id") == [(7,), (8,)]
+    assert table.superseded().count() == 1 and table.rows_of("20240101", "08") == 2
+
+
+def test_a_refused_run_is_entered_and_not_read(spark, tmp_path):
+    table = LedgerTable(spark, str(tmp_path / "scores"), ("date",))
+    table.publish(spark.range(10), "20240101", minimum=3)
+    refused = table.publish(spark.range(3), "20240101", minimum=3)
+    assert (refused.rows, refused.published) == (3, False)
+    assert table.publish(spark.range(0), "20240102").published is False
+    assert table.read().count() == 10 and rows_of(table.refused(), "date", "rows") == [("20240101", 3), ("20240102", 0)]
+    assert rows_of(table.current(), "date", "rows") == [("20240101", 10)]
