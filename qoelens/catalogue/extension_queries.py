@@ -148,7 +148,33 @@ def corr_matrix(spark, sf_dir):
     return E.correlations(data.table(spark, sf_dir, "lineitem"), _CORR).withColumn("corr", F.round("corr", 6) + 0.0)
 
 
-@query("pca_variance")
+def _pca_sql():
+    """Roots of the characteristic polynomial of the 4 x 4 correlation matrix: the two
+    largest by Newton's method from above, each divided out, then a quadratic."""
+    pairs = [(i, j) for i in range(4) for j in range(i + 1, 4)]
+    r = {(i, j): f"r{i}{j}" for i, j in pairs} | {(j, i): f"r{i}{j}" for i, j in pairs}
+    squares = " + ".join(f"{r[p]} * {r[p]}" for p in pairs)
+    triples = [(i, j, k) for i in range(4) for j in range(i + 1, 4) for k in range(j + 1, 4)]
+    loops = " + ".join(f"{r[i, j]} * {r[j, k]} * {r[i, k]}" for i, j, k in triples)
+    apart = " + ".join(f"({r[0, i]} * {r[j, k]}) ** 2" for i, j, k in ((1, 2, 3), (2, 1, 3), (3, 1, 2)))
+    rounds = " + ".join(f"{r[0, i]} * {r[i, j]} * {r[j, k]} * {r[k, 0]}" for i, j, k in ((1, 2, 3), (1, 3, 2), (2, 1, 3)))
+    corr = ", ".join(f"corr({_CORR[i]}, {_CORR[j]}) AS {r[i, j]}" for i, j in pairs)
+    return f"""WITH RECURSIVE m AS (SELECT {corr} FROM lineitem),
+    e AS (SELECT 6 - ({squares}) AS e2, 4 + 2 * ({loops}) - 2 * ({squares}) AS e3,
+      1 - ({squares}) + 2 * ({loops}) + {apart} - 2 * ({rounds}) AS e4 FROM m),
+    n1 AS (SELECT 0 AS step, 4.0::DOUBLE AS x, e2, e3, e4 FROM e UNION ALL
+      SELECT step + 1, x - coalesce(((((x - 4) * x + e2) * x - e3) * x + e4) / nullif(((4 * x - 12) * x + 2 * e2) * x - e3, 0), 0), e2, e3, e4
+      FROM n1 WHERE step < 100),
+    cubic AS (SELECT x AS one, x - 4 AS b2, (x - 4) * x + e2 AS b1, ((x - 4) * x + e2) * x - e3 AS b0 FROM n1 WHERE step = 100),
+    n2 AS (SELECT 0 AS step, one AS x, one, b2, b1, b0 FROM cubic UNION ALL
+      SELECT step + 1, x - coalesce((((x + b2) * x + b1) * x + b0) / nullif((3 * x + 2 * b2) * x + b1, 0), 0), one, b2, b1, b0
+      FROM n2 WHERE step < 100),
+    roots AS (SELECT one, x AS two, -(x + b2) / 2 + sqrt(greatest(((x + b2) / 2) ** 2 - ((x + b2) * x + b1), 0)) AS three FROM n2 WHERE step = 100)
+    SELECT 1::BIGINT AS component, round(one / 4, 6) AS share FROM roots UNION ALL SELECT 2, round(two / 4, 6) FROM roots
+    UNION ALL SELECT 3, round(three / 4, 6) FROM roots"""
+
+
+@query("pca_variance", _pca_sql())
 def pca_variance(spark, sf_dir):
     out = E.explained_variance(data.table(spark, sf_dir, "lineitem").select(*_CORR), _CORR, 3)
     return out.withColumn("share", F.round("share", 6))
