@@ -522,8 +522,12 @@ def station_vote(spark, sf_dir):
 )
 def location_export(spark, sf_dir):
     scores = D.models(data.device_groups(spark, sf_dir))
+    return D.export_rows(D.with_location(scores, _places(spark, sf_dir)), ["MODEL-0", "MODEL-2", "EXT-1"])
+
+
+def _places(spark, sf_dir):
     nation, region = (data.table(spark, sf_dir, t) for t in ("nation", "region"))
-    places = (
+    return (
         data.table(spark, sf_dir, "supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -533,7 +537,6 @@ def location_export(spark, sf_dir):
             F.col("s_acctbal").alias("latitude"), F.col("n_regionkey").cast("double").alias("longitude"),
         )
     )
-    return D.export_rows(D.with_location(scores, places), ["MODEL-0", "MODEL-2", "EXT-1"])
 
 
 @query(

@@ -297,16 +297,45 @@ def poor_share_devices(spark, sf_dir):
         string_agg(DISTINCT CAST(role AS VARCHAR), ',' ORDER BY CAST(role AS VARCHAR)) AS "Rou_Ext"
       FROM roles JOIN w2 USING (rowkey, serial_num) GROUP BY serial_num),
     models AS (SELECT DISTINCT serial_num, model FROM roles JOIN w2 USING (rowkey, serial_num) WHERE model IS NOT NULL)
-    SELECT home.*, dg_model, "Rou_Ext", model AS dg_model_indiv
+    SELECT home.*, dg_model, "Rou_Ext", model AS dg_model_indiv, '2024-01-30' AS date
     FROM home JOIN sets USING (serial_num) JOIN models USING (serial_num)""",
 )
 def poor_share_score(spark, sf_dir):
     homes = L.home_percentages(
-        _legacy_records(spark, sf_dir), data.device_groups(spark, sf_dir), _mapping(spark, sf_dir)
+        _legacy_records(spark, sf_dir), data.device_groups(spark, sf_dir), _mapping(spark, sf_dir), data.SCORE_DAY
     )
     return homes.withColumn("Rou_Ext", F.transform("Rou_Ext", lambda x: x.cast("string")))
 
 
+_SETS = {"RouExt_mac": "mac", "dg_model": "model", "parent_mac": "parent", "firmware": "firmware", "parent_id": "parent_id", "Rou_Ext": "role"}
+
+
+@query(
+    "device_table",
+    f"""WITH {_LEGACY},
+    fws AS (SELECT right(sn, 4) || '-' || sn AS rk, 'RTR' || CAST(l_suppkey AS VARCHAR) AS mac, max('fw' || CAST(l_linenumber AS VARCHAR)) AS firmware
+        FROM li GROUP BY ALL UNION ALL
+      SELECT right(sn, 4) || '-' || sn, 'EXT' || CAST(l_suppkey AS VARCHAR), max('ex' || CAST(l_linenumber AS VARCHAR)) FROM li GROUP BY ALL),
+    hung AS (SELECT k.rowkey, parent_id, mac, model, parent, firmware, CASE WHEN parent IS NULL THEN '0' ELSE '1' END AS role
+      FROM (SELECT DISTINCT rowkey, rk_row_sn, parent_id FROM kept) k LEFT JOIN (boxes JOIN fws USING (rk, mac)) ON rk = rk_row_sn AND mac = parent_id),
+    sets AS (SELECT rowkey, {", ".join(f"coalesce(string_agg(DISTINCT {v}, ',' ORDER BY {v}), '') AS " + f'"{k}"' for k, v in _SETS.items())}
+      FROM hung GROUP BY rowkey),
+    levels AS (SELECT rowkey, {", ".join(f"avg(rssi) FILTER (WHERE code = '{c}') AS cat{i}" for i, c in enumerate(L.WEAK, start=1))} FROM kept GROUP BY rowkey)
+    SELECT w0.rowkey, rk_row_sn, w0.serial_num, station_mac, mdn, cust_id, '2024-01-30' AS date, sets.* EXCLUDE (rowkey),
+      CAST(stationarity AS DOUBLE) AS stationarity, round(avg_phyrate, 6) AS avg_phyrate, round(poor_phyrate, 6) AS poor_phyrate,
+      round(volume, 6) AS volume, round(w, 6) AS weights, round(poor_rssi, 6) AS poor_rssi,
+      {", ".join(f"round(cat{i}, 6) AS avg_sig_strength_cat{i}" for i in (1, 2, 3))}
+    FROM w0 JOIN sets USING (rowkey) JOIN levels USING (rowkey) LEFT JOIN mapping USING (serial_num)""",
+)
+def device_table(spark, sf_dir):
+    out = L.device_table(
+        _legacy_records(spark, sf_dir), data.device_groups(spark, sf_dir), _mapping(spark, sf_dir), data.SCORE_DAY
+    )
+    measures = ("avg_phyrate", "poor_phyrate", "volume", "weights", "poor_rssi", *(f"avg_sig_strength_cat{i}" for i in (1, 2, 3)))
+    rounded = out.withColumns({c: F.round(c, 6) for c in measures})
+    return rounded.withColumn("Rou_Ext", F.transform("Rou_Ext", lambda x: x.cast("string")))
+
+
 @query(
     "router_extender",
     f"""WITH {_LEGACY} SELECT rowkey, serial_num, parent_id, model AS dg_model, CAST(role AS BIGINT) AS "Rou_Ext" FROM roles""",
@@ -333,6 +362,23 @@ def consumption_report(spark, sf_dir):
     return L.consumption_report(L.station_bytes(history), devices, scores)
 
 
+@query(
+    "consumption_by_class",
+    f"""WITH homes AS ({DQ._home_sql()}), {S.REC},
+    known AS (SELECT DISTINCT rowkey, CASE CAST(right(station_mac, 2) AS BIGINT) % 4 WHEN 0 THEN 'Phone' WHEN 1 THEN 'Computer' WHEN 2 THEN 'Television' END
+      AS device_class FROM rec)
+    SELECT wifi_score AS score, device_class, CASE WHEN band LIKE '2.4G%' THEN '2_4G' ELSE '5G' END AS connect_type, CAST(sum(s) AS BIGINT) AS data_volume
+    FROM (SELECT sn, rowkey, band, sum(sent) + sum(received) AS s FROM rec WHERE band LIKE '2.4G%' OR band LIKE '5G%' GROUP BY ALL)
+    JOIN known USING (rowkey) JOIN homes USING (sn) WHERE device_class IS NOT NULL AND model_name IN ('MODEL-1', 'MODEL-3') GROUP BY ALL""",
+)
+def consumption_by_class(spark, sf_dir):
+    history = data.station_history(spark, sf_dir)
+    number = F.substring("Station_Data_connect_data.station_mac", -2, 2).cast("int") % 4
+    named = F.when(number == 0, "Phone").when(number == 1, "Computer").when(number == 2, "Television")
+    classes = history.select("rowkey", named.alias("device_class")).where("device_class is not null")
+    return L.consumption_by_class(L.station_bytes(history), classes, DQ._daily(spark, sf_dir), ["MODEL-1", "MODEL-3"])
+
+
 # ------------------------------------------------------------ sources and sinks
 
 
@@ -488,35 +534,19 @@ def key_lookup(spark, sf_dir):
     return R.lookup(scores, R.requests(asked, data.SCORE_DAY))
 
 
-_CARD_LINES = " || chr(10) || ".join(
-    f"'  {c:<38} = ' || " + ("coalesce(CAST({} AS VARCHAR), 'N/A')".format(f'"{c}"') if c in (
-        "sn", "model_name", "firmware", "RSSI_category", "phyrate_category", "no_poor_airtime", "Airtime_Utilization_Category"
-    ) else "'N/A'")
-    for c in R.CARD_COLUMNS
-)
+_CARD_LINES = " || chr(10) || ".join(f"'  {c:<38} = ' || coalesce(CAST(\"{c}\" AS VARCHAR), 'N/A')" for c in R.CARD_COLUMNS)
+_SNAPSHOT = " || ',' || ".join(f"""'"{k}":"' || coalesce("{c}", 'N/A') || '"'""" for k, c in R.SNAPSHOT_COLUMNS.items())
 
 
 @query(
     "metric_card",
-    f"""WITH {S.REC}, {S.RADIO}, {DQ._RSSI}, {DQ._RSSI_KPI}, {DQ._PHY}, {DQ._PHY_KPI}, {DQ._AIR_DAILY}, {DQ._AIR_KPI}, {DQ._MODELS},
-    j AS (SELECT * EXCLUDE (rssi_numeric, phyrate_numeric) FROM rssi_kpi FULL JOIN phy_kpi USING (sn) FULL JOIN air_kpi USING (sn) JOIN mods USING (sn))
-    SELECT sn, model_name, {_CARD_LINES} AS card,
-      '{{"wifi_score":"N/A","reliabilityScore":"N/A","speedScore":"N/A","coverageScore":"N/A","rssi_category":"'
-      || coalesce("RSSI_category", 'N/A') || '","phyrate_category":"' || coalesce(phyrate_category, 'N/A')
-      || '","reboot_category":"N/A","airtime_category":"' || coalesce("Airtime_Utilization_Category", 'N/A') || '"}}' AS snapshot
-    FROM j""",
+    f"""WITH homes AS ({DQ._home_sql()}), placed AS (SELECT homes.*, n_name AS state, r_name AS county FROM homes
+      LEFT JOIN (supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+      ON sn = 'HM' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0'))
+    SELECT sn, model_name, {_CARD_LINES} AS card, '{{' || {_SNAPSHOT} || '}}' AS snapshot FROM placed""",
 )
 def metric_card(spark, sf_dir):
-    history, groups = data.station_history(spark, sf_dir), data.device_groups(spark, sf_dir)
-    kpis = shape.merge_features(
-        [
-            D.rssi_kpi(D.rssi_stations(history)).drop("rssi_numeric"),
-            D.phyrate_kpi(D.phyrate_stations(history)).drop("phyrate_numeric"),
-            D.airtime_kpi(D.airtime_daily(groups), data.SCORE_DAY),
-        ],
-        "sn",
-    )
-    return R.metric_card(kpis.join(D.models(groups), "sn"))
+    return R.metric_card(D.with_location(DQ._daily(spark, sf_dir), DQ._places(spark, sf_dir)))
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import parsing as P
 from ..functions.scoring import half_up, log_volume
 from ..operators.histogram import percentiles_of_counts, value_counts
-from ..operators.skew import keep_members
+from ..operators.skew import keep_members, share_of_total
 from ..operators.stationarity import POINTS, judge, with_bound
 
 DEVICE = ["rowkey", "rk_row_sn", "serial_num", "station_mac"]
@@ -111,17 +111,35 @@ def attachments(records: DataFrame) -> DataFrame:
     return records.select(*DEVICE, "parent_id").distinct()
 
 
-def home_percentages(records: DataFrame, groups: DataFrame, mapping: DataFrame) -> DataFrame:
+PARENT_SETS = ("RouExt_mac", "dg_model", "parent_mac", "firmware", "parent_id", "Rou_Ext")
+
+
+def parents(records: DataFrame, groups: DataFrame) -> DataFrame:
+    """Sets of the boxes each device hung on, with their models and roles."""
+    roles = with_roles(attachments(records), group_table=group_devices(groups))
+    return roles.groupBy(*DEVICE).agg(*(F.collect_set(c).alias(c) for c in PARENT_SETS))
+
+
+def device_table(records: DataFrame, groups: DataFrame, mapping: DataFrame, date: str) -> DataFrame:
+    """One row per device: its line, its nine measures (``weights`` is its share of the
+    home's log volume) and the sets of its parents."""
+    shares = share_of_total(device_features(records), ["serial_num"], "volume", "weights")
+    measures = [
+        "avg_phyrate", "poor_phyrate", F.col("stationarity").cast("double").alias("stationarity"), "volume", "weights", "poor_rssi",
+        *(f"avg_sig_strength_cat{i}" for i in range(1, len(WEAK) + 1)),
+    ]
+    lines = mapping.join(shares, "serial_num", "right").select("serial_num", "mdn", "cust_id", *DEVICE[:2], DEVICE[3], *measures)
+    return lines.join(parents(records, groups), DEVICE).withColumn("date", F.lit(date))
+
+
+def home_percentages(records: DataFrame, groups: DataFrame, mapping: DataFrame, date: str) -> DataFrame:
     """Volume-weighted shares and score per home, one row per router model.
 
     Weights are only ever used as shares of their home, so the home sums
     normalise them: sum(score * weight) / sum(weight).
     """
     devices = mapping.join(device_features(records), "serial_num", "right")
-    roles = with_roles(attachments(records), group_table=group_devices(groups))
-    hangs_on = roles.groupBy(*DEVICE).agg(
-        F.collect_set("dg_model").alias("_models"), F.collect_set("Rou_Ext").alias("_roles")
-    )
+    hangs_on = parents(records, groups).select(*DEVICE, F.col("dg_model").alias("_models"), F.col("Rou_Ext").alias("_roles"))
 
     def weighted(c: str):
         return half_up(F.try_divide(F.sum(F.col(c) * F.col("weight")), F.sum("weight")), 4).alias(out[c])
@@ -137,7 +155,7 @@ def home_percentages(records: DataFrame, groups: DataFrame, mapping: DataFrame)
             F.array_distinct(F.flatten(F.collect_set("_roles"))).alias("Rou_Ext"),
         )
     )
-    return homes.withColumn("dg_model_indiv", F.explode("dg_model"))
+    return homes.withColumn("dg_model_indiv", F.explode("dg_model")).withColumn("date", F.lit(date))
 
 
 def station_bytes(history: DataFrame) -> DataFrame:
@@ -160,3 +178,21 @@ def consumption_report(
         .agg(F.sum(F.col("byte_send") + F.col("byte_received")).alias("data_volume"))
         .orderBy("score", "connect_type")
     )
+
+
+def consumption_by_class(
+    used: DataFrame, classes: DataFrame, scores: DataFrame, models: Sequence[str], bands: Sequence[str] = ("2_4G", "5G")
+) -> DataFrame:
+    """Data volume by the home's overall score, device class and band, over homes of ``models``.
+
+    A station of two classes counts in both; one without a class or whose home has no
+    score counts nowhere. Volumes are summed per (station's home, class, band) before they
+    meet the scores, so a home joins with as many rows as it has classes and bands.
+    """
+    known = classes.select("rowkey", "device_class").distinct()
+    stations = used.where(F.col("connect_type").isin(*bands)).join(known, "rowkey")
+    homes = stations.groupBy("sn", "device_class", "connect_type").agg(
+        F.sum(F.col("byte_send") + F.col("byte_received")).alias("data_volume")
+    )
+    rated = scores.where(F.col("model_name").isin(*models)).select("sn", F.col("wifi_score").alias("score")).distinct()
+    return homes.join(rated, "sn").groupBy("score", "device_class", "connect_type").agg(F.sum("data_volume").alias("data_volume"))
