@@ -142,21 +142,21 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def explained_variance(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     """Share of variance per principal component of the standardised columns.
 
-    One aggregation gives the correlation matrix, which is as large as the list of
-    columns; its eigenvalues are the variances. Rows with a NULL are left out, a
+    One aggregation gives the covariances and from them the correlation matrix, as large
+    as the list of columns; its eigenvalues are the variances. Rows with a NULL are left out, a
     constant column adds nothing, and without two rows there are no components.
     """
     n = len(columns)
     pairs = list(combinations(range(n), 2))
     found = df.dropna(subset=list(columns)).agg(
         *(F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)),
-        *(F.corr(columns[i], columns[j]).alias(f"r{i}_{j}") for i, j in pairs),
+        *(F.covar_samp(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs),
     ).first()
     varies = np.array([bool(found[f"s{i}"]) for i in range(n)], dtype=float)
     matrix = np.diag(varies)
     for i, j in pairs:
         if varies[i] and varies[j]:
-            matrix[i, j] = matrix[j, i] = found[f"r{i}_{j}"]
+            matrix[i, j] = matrix[j, i] = found[f"c{i}_{j}"] / (found[f"s{i}"] * found[f"s{j}"])
     largest = np.linalg.eigvalsh(matrix)[::-1][: k if varies.any() else 0]
     rows = [(i + 1, float(v / varies.sum())) for i, v in enumerate(largest)]
     return df.sparkSession.createDataFrame(rows, "component int, share double")

@@ -7,6 +7,7 @@ from qoelens import telemetry as data
 from qoelens.plans import daily as D
 from qoelens.plans import extensions as E
 from qoelens.plans import hourly as H
+from qoelens.plans import legacy as L
 from qoelens.plans import reports as R
 
 from .conftest import rows_of
@@ -224,3 +225,33 @@ def test_golden_votes_and_labels(spark):
     assert labels.select(worst_label("a", "b", "c").alias("w")).first()["w"] == "Poor"
     scores = spark.createDataFrame([(1,), (2,), (3,), (4,)], "s int").select(score_to_label("s").alias("l"))
     assert [r["l"] for r in scores.collect()] == ["Poor", "Fair", "Good", "Excellent"]
+
+
+def test_variance_shares_of_correlated_and_constant_columns(spark):
+    rows = [(float(i), 2.0 * i, float(i % 2), 7.0) for i in range(10)] + [(None, 1.0, 1.0, 7.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, same double")
+    got = E.explained_variance(df, ["a", "b"], 2).collect()
+    assert [r.component for r in got] == [1, 2] and [round(r.share, 9) for r in got] == [1.0, 0.0]
+    with_constant = E.explained_variance(df, ["a", "b", "c", "same"], 4).collect()
+    assert round(sum(r.share for r in with_constant), 9) == 1.0 and abs(with_constant[-1].share) < 1e-9
+    assert E.explained_variance(df.limit(0), ["a", "b"], 2).isEmpty()
+    assert E.explained_variance(df.where("a = 3"), ["a", "b"], 2).isEmpty()
+
+
+def test_consumption_by_class_counts_known_stations_of_rated_homes(spark):
+    used = spark.createDataFrame(
+        [("H1", "r1", "5G", 10, 1), ("H1", "r2", "5G", 20, 2), ("H1", "r1", "6G", 99, 9), ("H2", "r3", "2_4G", 5, 5),
+         ("H3", "r4", "5G", 7, 7), ("H1", "r5", "5G", 1000, 0), ("H1", None, "5G", 1, 1)],
+        "sn string, rowkey string, connect_type string, byte_send long, byte_received long",
+    )
+    classes = spark.createDataFrame(
+        [("r1", "Phone"), ("r1", "Phone"), ("r2", "Phone"), ("r2", "Tablet"), ("r3", "Phone"), ("r4", "Phone")],
+        "rowkey string, device_class string",
+    )
+    scores = spark.createDataFrame(
+        [("H1", "M1", "Good"), ("H2", "M1", None), ("H3", "M2", "Poor")], "sn string, model_name string, wifi_score string"
+    )
+    got = L.consumption_by_class(used, classes, scores, ["M1"])
+    assert rows_of(got, "score", "device_class", "connect_type", "data_volume") == sorted(
+        [("Good", "Phone", "5G", 33), ("Good", "Tablet", "5G", 22), (None, "Phone", "2_4G", 10)], key=repr
+    )
