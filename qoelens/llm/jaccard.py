@@ -48,7 +48,7 @@ FILTER_BITS = 1 << 24
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, data, offsets in B.slices(batches):
+    for batch, data, offsets in B.slices(batches, size=B.SMALL_SLICE):
         _, _, hashes, bounds = B.words(data, offsets, lower=True)
         sets = B.shingle_sets(hashes, bounds)
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -69,7 +69,7 @@ def _fragment_rows(fragments: int):
     """Per slice and fragment one row: documents, their counts and 32 bits of each n-gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in B.slices(batches):
+        for batch, data, offsets in B.slices(batches, size=B.SMALL_SLICE):
             _, _, hashes, bounds = B.words(data, offsets, lower=True)
             sets = B.shingle_sets(hashes, bounds)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -165,7 +165,7 @@ def _whole_sets(bits):
     chosen = _filtered(bits, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in B.slices(chosen(batches)):
+        for batch, data, offsets in B.slices(chosen(batches), size=B.SMALL_SLICE):
             _, _, hashes, bounds = B.words(data, offsets, lower=True)
             sets = B.shingle_sets(hashes, bounds)
             one = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64)

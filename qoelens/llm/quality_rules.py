@@ -143,7 +143,7 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _add_counts(batches: Iterator[pa.RecordBatch], inside: str | None = None) -> Iterator[pa.RecordBatch]:
-    for batch, data, offsets in B.slices(batches, inside):
+    for batch, data, offsets in B.slices(batches, inside, B.SMALL_SLICE):
         found = counts(data, offsets)
         yield pa.record_batch(
             [batch.column("row"), *(pa.array(found[c].astype(np.int64)) for c in BASE + MORE)],

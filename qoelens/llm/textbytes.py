@@ -19,6 +19,8 @@ from . import affine
 
 #: Bytes of text handled at once; a longer document is a slice of its own.
 SLICE = 4 << 20
+#: The same where every byte of a slice has a dozen numbers at work and other operators' workers live on beside it.
+SMALL_SLICE = 1 << 20
 #: Bytes hashed at once, cut between words.
 PIECE = 1 << 19
 #: Bytes of a run up to which sums of digits (below 2^9) times halves of powers (below 2^31) stay below 2^64.
@@ -60,8 +62,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], inside: str | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Pieces of the batches with about ``SLICE`` bytes of ``text`` each, so that
+def slices(
+    batches: Iterator[pa.RecordBatch], inside: str | None = None, size: int = SLICE
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Pieces of the batches with about ``size`` bytes of ``text`` each, so that
     memory is bounded by that and the longest document. ``inside`` names the
     struct column that holds ``text``, if one does."""
     for batch in batches:
@@ -70,7 +74,7 @@ def slices(batches: Iterator[pa.RecordBatch], inside: str | None = None) -> Iter
         data, offsets = text_bytes(pc.struct_field(batch.column(inside), "text") if inside else batch.column("text"))
         first = 0
         while first < batch.num_rows:
-            last = int(np.searchsorted(offsets, offsets[first] + SLICE, side="right")) - 1
+            last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first), data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
             first = last
