@@ -64,14 +64,19 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.append_column("place", pa.array(numbers, pa.int64()))
 
 
-def _with_numbers(rows: DataFrame) -> DataFrame:
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _numbered(_sizes(batches))
+
+
+def _with_numbers(rows: DataFrame, fields: list[T.StructField] | None = None, run=_numbered) -> DataFrame:
     """``rows`` with ``number``: 0, 1, ... among all rows of the same ``key``.
 
     Numbers are given per part of the written table, so a key that holds most
-    rows is spread; a key has at most one row of counts per part.
+    rows is spread; a key has at most one row of counts per part. ``run`` makes
+    columns ``fields`` of the rows first, in the same Python workers.
     """
-    schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType())])
-    held = materialise(rows.mapInArrow(_numbered, schema), "numbered")
+    schema = [*(fields or rows.schema.fields), T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType())]
+    held = materialise(rows.mapInArrow(run, T.StructType(schema)), "numbered")
     counted = held.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = counted.select("key", "part", F.sum("n").over(earlier).alias("before")).where("before > 0")
@@ -94,7 +99,8 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, key, size, number) per row; size is the number of words, 0 for NULL text."""
     rows = docs.select("doc_id", "source", "text", _row_key().alias("key"))
-    return _with_numbers(rows.mapInArrow(_sizes, "doc_id bigint, source string, key bigint, size bigint"))
+    fields = [f for f in rows.schema.fields if f.name != "text"] + [T.StructField("size", T.LongType())]
+    return _with_numbers(rows, fields, _measured)
 
 
 def targets(totals: dict[str | None, int]) -> dict[str | None, float]:
