@@ -18,7 +18,7 @@ from array import array
 import numpy as np
 
 #: Stretches remembered, about 200 bytes each; beyond it the encoder starts anew.
-MOST = 400_000
+MOST = 150_000
 #: Stretches handed to the library at once.
 CALL = 1 << 14
 

@@ -11,7 +11,7 @@ PER_FILE = 8
 
 
 #: Rows and bytes of text that travel to Python at once.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

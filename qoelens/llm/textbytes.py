@@ -8,6 +8,7 @@ keeps those bytes out of longer characters.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -78,7 +79,18 @@ def slices(
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first), data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
             first = last
+    give_back()
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on after their task, also
+    beside those of later stages, and would keep what their largest slice took."""
     pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
