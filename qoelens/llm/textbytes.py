@@ -23,7 +23,7 @@ SLICE = 4 << 20
 #: The same where every byte of a slice has a dozen numbers at work and other operators' workers live on beside it.
 SMALL_SLICE = 1 << 20
 #: Bytes hashed at once, cut between words.
-PIECE = 1 << 19
+PIECE = 1 << 17
 #: Bytes of a run up to which sums of digits (below 2^9) times halves of powers (below 2^31) stay below 2^64.
 LONGEST = 1 << 23
 SHINGLE = 5

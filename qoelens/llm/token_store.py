@@ -155,7 +155,7 @@ def _blocks(path: str):
             }
             return pa.RecordBatch.from_pydict(row, schema=_BLOCK_ARROW)
 
-        for batch, _, _ in B.slices(batches):
+        for batch, _, _ in B.slices(batches, size=B.SMALL_SLICE):  # a cut text is a dozen times its size
             found = [raw + end for raw in encode(batch.column("text").to_pylist())]
             docs += batch.column("doc_id").to_pylist()
             lengths += [len(raw) // 4 for raw in found]
