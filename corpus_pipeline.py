@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from qoelens.llm import decontaminate, jaccard, mixing, quality_rules, token_store
-from qoelens.llm.encoding import public_tokenizer
+from qoelens.llm.encoding import FEW, public_tokenizer
 from qoelens.llm.store import small_batches
 from qoelens.operators.skew import materialise
 from qoelens.session import run_dir
@@ -44,7 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token ids of all documents in order, and a digest of each read back from them."""
     small_batches(spark)
     folder = run_dir(spark, "tokens")
-    token_store.write(docs, folder, public_tokenizer("word_bpe_49k.json"))
+    token_store.write(docs, folder, public_tokenizer("word_bpe_49k.json"), FEW)
     return token_store.digests(spark, folder)
 
 

@@ -18,7 +18,9 @@ from array import array
 import numpy as np
 
 #: Stretches remembered, about 200 bytes each; beyond it the encoder starts anew.
-MOST = 150_000
+MOST = 1_000_000
+#: The same for workers that go on with other operators: less memory, more merging.
+FEW = 150_000
 #: Stretches handed to the library at once.
 CALL = 1 << 14
 
@@ -56,6 +58,8 @@ class Encoder:
         self.cut = self._cutter()
         #: stretch -> its ids as little-endian unsigned 32-bit numbers
         self.seen: dict[str, bytes] = {}
+        #: Stretches to remember; None: ``MOST``
+        self.most: int | None = None
 
     def _cutter(self):
         parts = json.loads(self.library.to_str())
@@ -103,7 +107,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit numbers; NULL counts as empty."""
-        if len(self.seen) > MOST:
+        if len(self.seen) > (MOST if self.most is None else self.most):
             self.seen.clear()
         cut = [None if not self.cut or self.added.search(t or "") else self.cut(t or "") for t in texts]
         stretches = set().union(*filter(None, cut))
@@ -115,10 +119,11 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most: int | None = None) -> Encoder:
     """The encoder of this Python process; later tasks use what earlier ones remembered."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].most = most
     return _ENCODERS[path]
 
 

@@ -138,11 +138,11 @@ def unpack(words: np.ndarray, n_ids: int) -> np.ndarray:
     return out[:n_ids]
 
 
-def _blocks(path: str):
+def _blocks(path: str, remember: int | None):
     """Blocks of a sorted partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path).encode, np.array([END_ID], "<u4").tobytes()
+        encode, end = encoder(path, remember).encode, np.array([END_ID], "<u4").tobytes()
         part, block, before = TaskContext.get().partitionId(), 0, 0
         docs, lengths, ids, held = [], [], [], 0
 
@@ -177,9 +177,10 @@ _BLOCK_ARROW = pa.schema([
 ])
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
+def write(docs: DataFrame, folder: str, tokenizer: str, remember: int | None = None) -> None:
     """Encode ``docs`` (doc_id, text) with the tokenizer file at ``tokenizer``
-    (a path every executor has) and write the blocks to ``folder``.
+    (a path every executor has) and write the blocks to ``folder``. A worker
+    remembers up to ``remember`` stretches of text (None: ``encoding.MOST``).
 
     NULL text counts as empty: the end id alone. Documents without doc_id come
     first; rows that repeat a doc_id follow one another by text. An empty
@@ -190,7 +191,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
     keys = [F.col("doc_id").asc_nulls_first(), "hash", "row"]
     ordered = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    ordered.select("doc_id", "text").mapInArrow(_blocks(tokenizer), BLOCK_SCHEMA).write.parquet(folder)
+    ordered.select("doc_id", "text").mapInArrow(_blocks(tokenizer, remember), BLOCK_SCHEMA).write.parquet(folder)
 
 
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
