@@ -155,7 +155,8 @@ def _blocks(path: str, remember: int | None):
             }
             return pa.RecordBatch.from_pydict(row, schema=_BLOCK_ARROW)
 
-        for batch, _, _ in B.slices(batches, size=B.SMALL_SLICE):  # a cut text is a dozen times its size
+        size = B.SLICE if remember is None else B.SMALL_SLICE  # a cut text is a dozen times its size
+        for batch, _, _ in B.slices(batches, size=size):
             found = [raw + end for raw in encode(batch.column("text").to_pylist())]
             docs += batch.column("doc_id").to_pylist()
             lengths += [len(raw) // 4 for raw in found]
@@ -180,7 +181,8 @@ _BLOCK_ARROW = pa.schema([
 def write(docs: DataFrame, folder: str, tokenizer: str, remember: int | None = None) -> None:
     """Encode ``docs`` (doc_id, text) with the tokenizer file at ``tokenizer``
     (a path every executor has) and write the blocks to ``folder``. A worker
-    remembers up to ``remember`` stretches of text (None: ``encoding.MOST``).
+    remembers up to ``remember`` stretches of text (None: ``encoding.MOST``); with
+    a number given it also cuts smaller slices.
 
     NULL text counts as empty: the end id alone. Documents without doc_id come
     first; rows that repeat a doc_id follow one another by text. An empty
