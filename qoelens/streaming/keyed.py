@@ -8,10 +8,10 @@ splits them over range partitions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -22,11 +22,17 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def known(value) -> bool:
+    """Neither NULL nor NaN."""
+    return value is not None and value == value
+
+
 class StepProcessor(StatefulProcessor):
     """Per batch and series: (keys, groups, number of steps) of its rows in order.
 
     ``order`` are whole numbers, the first of them event time in milliseconds.
-    Rows that do not come after the series' last row are not counted.
+    Rows that do not come after the series' last row are not counted. Rows come as
+    they are, without a data frame per series: most series have few rows in a batch.
     """
 
     def __init__(self, keys, groups, order, value, value_type, step: Step, out: str, expire_ms: int) -> None:
@@ -38,33 +44,40 @@ class StepProcessor(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", T.StructType(fields))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        data = pd.concat(list(rows)).dropna(subset=[self.value]).sort_values([*self.order, self.value], ignore_index=True)
-        held = self.last.get() if self.last.exists() else None
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        data = [r for r in rows if known(r[self.value])]
+        data.sort(key=lambda r: (*((r[c] is None, r[c]) for c in self.order), r[self.value]))
+        held = self.last.get()
         if held is not None:
             *seen, previous = held
-            data = data[[tuple(r) > tuple(seen) for r in data[self.order].itertuples(index=False)]].reset_index(drop=True)
-        if data.empty:
+            # NULL comes after nothing, so it is no later than the series' last row.
+            data = [r for r in data if tuple(math.nan if r[c] is None else r[c] for c in self.order) > tuple(seen)]
+        if not data:
             return
-        before = data[self.value].shift()
-        first = data.index == 0
-        hit = pd.Series(self.step.test(before.to_numpy(), data[self.value].to_numpy()), index=data.index).astype(bool)
-        hit[first] = bool(self.step.test(previous, data[self.value].iloc[0])) if held is not None else False
-        counts = hit.groupby([data[g] for g in self.groups], sort=True).sum().reset_index(name=self.out) if self.groups else (
-            pd.DataFrame({self.out: [int(hit.sum())]})
-        )
-        end = data.iloc[-1]
+        counts: dict[tuple, int] = {}
+        for i, row in enumerate(data):
+            hit = (i > 0 or held is not None) and bool(self.step.test(previous, row[self.value]))
+            previous = row[self.value]
+            group = tuple(row[g] for g in self.groups)
+            if all(known(part) for part in group):
+                counts[group] = counts.get(group, 0) + hit
+        end = data[-1]
         self.last.update((*(int(end[c]) for c in self.order), end[self.value]))
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int(end[self.order[0]]) + self.expire_ms)
-        for name, part in zip(self.keys, key):
-            counts[name] = part
-        yield counts[[*self.keys, *self.groups, self.out]]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        yield pd.DataFrame({c: [] for c in (*self.keys, *self.groups, self.out)})
+        if held is None:
+            self.handle.registerTimer(int(end[self.order[0]]) + self.expire_ms)
+        made = Row(*self.keys, *self.groups, self.out)
+        for group in sorted(counts):
+            yield made(*key, *group, counts[group])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """A series has one timer, set by its first row: it forgets the series, or moves on to where its last row expires."""
+        held = self.last.get()
+        due = None if held is None else held[0] + self.expire_ms
+        if due is not None and due > expiredTimerInfo.getExpiryTimeInMs():
+            self.handle.registerTimer(due)
+        else:
+            self.last.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
@@ -83,4 +96,4 @@ def count_steps_keyed(
     kind = {f.name: f.dataType for f in stream.schema}
     schema = T.StructType([*(T.StructField(c, kind[c]) for c in (*keys, *groups)), T.StructField(out, T.LongType())])
     processor = StepProcessor(keys, groups, order, value, kind[value], step, out, expire_ms)
-    return stream.groupBy(*keys).transformWithStateInPandas(processor, schema, "Append", "EventTime")
+    return stream.groupBy(*keys).transformWithState(processor, schema, "Append", "EventTime")

@@ -4,7 +4,9 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qoelens.operators.ordered import CHANGED, count_steps
 from qoelens.session import shared_dir
@@ -178,3 +180,43 @@ def test_slots_wait_for_the_slowest_source(spark, tmp_path):
     want = windows.passed_slots({s: whole.where(F.col("k") == s) for s in delays}, "at", delays)
     got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
     assert rows_of(got) == rows_of(want) and got.count() == 5
+
+
+class FakeHandle:
+    """State and timers of one series."""
+
+    def __init__(self):
+        self.held, self.timers = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getExpiryTimeInMs(self):
+        return self.timers.pop(0)
+
+
+def test_a_series_keeps_one_timer_and_reads_rows_as_they_are():
+    handle = FakeHandle()
+    processor = keyed.StepProcessor(["k"], ["d"], ["t", "id"], "v", T.StringType(), CHANGED, "n", 100)
+    processor.init(handle)
+    row = Row("d", "t", "id", "v")
+    arrive = lambda *rows: [tuple(r) for r in processor.handleInputRows(("a",), iter([row(*r) for r in rows]), None)]
+    assert arrive((1, 20, 2, "y"), (1, 10, 1, "x"), (1, 30, 3, None)) == [("a", 1, 1)]
+    assert arrive((2, 90, 4, "x"), (1, 20, 2, "z"), (1, 20, None, "z"), (None, 91, 5, "y")) == [("a", 2, 1)]
+    assert arrive((1, 15, 9, "q")) == []
+    assert handle.timers == [120] and handle.held == (91, 5, "y")
+    for at, held in ((191, (91, 5, "y")), (None, None)):  # the first timer is early for the last row and moves on
+        assert list(processor.handleExpiredTimer(("a",), None, handle)) == []
+        assert handle.held == held and handle.timers == ([at] if at else [])
