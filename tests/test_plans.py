@@ -10,6 +10,8 @@ from qoelens.plans import hourly as H
 from qoelens.plans import legacy as L
 from qoelens.plans import reports as R
 
+from qoelens.operators.stationarity import mobility
+
 from .conftest import rows_of
 
 TINY = "/root/testdata/sf0.001"
@@ -255,3 +257,21 @@ def test_consumption_by_class_counts_known_stations_of_rated_homes(spark):
     assert rows_of(got, "score", "device_class", "connect_type", "data_volume") == sorted(
         [("Good", "Phone", "5G", 33), ("Good", "Tablet", "5G", 22), (None, "Phone", "2_4G", 10)], key=repr
     )
+
+
+def test_enrichment_meets_stations_instead_of_records(spark):
+    station = "struct<station_mac: string, station_name: string, connect_type: string, signal_strength: int, snr: int, link_rate: string, tx_link_rate: string, mode: int>"
+    schema = f"rowkey string, ts long, Tplg_Data_model_name string, Station_Data_connect_data {station}, Diag_Result_band_steer struct<sta_type: string, action: string>, Diag_Result_ap_steer struct<sta_type: string, action: string>"
+    rows = [
+        (f"0001-HM0001_{mac}", 1706600000000 + i, "M", (mac, "st", "5GI", -50 - i % spread, 30, "90Mbps", rate, 1), None, None)
+        for mac, spread, rate in (("A", 2, "90Mbps"), ("B", 30, "90Mbps"), ("C", 2, "12Mbps")) for i in range(20)
+    ]
+    history = spark.createDataFrame(rows, schema)
+    counts = hourly.signal_counts(history)
+    known = mobility(counts, ["sn", "station_mac"], "rssi", counted="n")
+    assert rows_of(known) == rows_of(mobility(hourly.connection_records(history), ["sn", "station_mac"], "rssi"))
+    enrichment = hourly.station_enrichment(history, known, counts)
+    late = hourly.pillar_features(hourly.connection_records(history), enrichment=enrichment)
+    early = hourly.pillar_features(hourly.enrich(history, known, counts))
+    assert rows_of(late) == rows_of(early, *late.columns)
+    assert {r["station_mac"]: r["mobility_status"] for r in late.collect()} == {"A": "Stationary", "B": "Non-stationary", "C": None}
