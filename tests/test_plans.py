@@ -4,14 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from qoelens import telemetry as data
+from qoelens.operators.stationarity import mobility
 from qoelens.plans import daily as D
 from qoelens.plans import extensions as E
 from qoelens.plans import hourly as H
 from qoelens.plans import legacy as L
 from qoelens.plans import reports as R
 
-from qoelens.operators.stationarity import mobility
-
 from .conftest import rows_of
 
 TINY = "/root/testdata/sf0.001"
@@ -267,11 +266,11 @@ def test_enrichment_meets_stations_instead_of_records(spark):
         for mac, spread, rate in (("A", 2, "90Mbps"), ("B", 30, "90Mbps"), ("C", 2, "12Mbps")) for i in range(20)
     ]
     history = spark.createDataFrame(rows, schema)
-    counts = hourly.signal_counts(history)
+    counts = H.signal_counts(history)
     known = mobility(counts, ["sn", "station_mac"], "rssi", counted="n")
-    assert rows_of(known) == rows_of(mobility(hourly.connection_records(history), ["sn", "station_mac"], "rssi"))
-    enrichment = hourly.station_enrichment(history, known, counts)
-    late = hourly.pillar_features(hourly.connection_records(history), enrichment=enrichment)
-    early = hourly.pillar_features(hourly.enrich(history, known, counts))
+    assert rows_of(known) == rows_of(mobility(H.connection_records(history), ["sn", "station_mac"], "rssi"))
+    enrichment = H.station_enrichment(history, known, counts)
+    late = H.pillar_features(H.connection_records(history), enrichment=enrichment)
+    early = H.pillar_features(H.enrich(history, known, counts))
     assert rows_of(late) == rows_of(early, *late.columns)
     assert {r["station_mac"]: r["mobility_status"] for r in late.collect()} == {"A": "Stationary", "B": "Non-stationary", "C": None}
