@@ -280,7 +280,7 @@ def mapping_csv(spark, sf_dir):
     round(volume, 6) AS volume FROM dev""",
 )
 def poor_share_devices(spark, sf_dir):
-    features = L.device_features(_legacy_records(spark, sf_dir))
+    features = L.device_features(L.signal_levels(_legacy_records(spark, sf_dir)))
     rounded = ("avg_phyrate", "poor_rssi", "poor_phyrate", "device_score", "volume")
     return features.select(
         "rowkey", "serial_num", "station_mac", "stationarity", *(F.round(c, 6).alias(c) for c in rounded)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import parsing as P
 from ..functions.scoring import half_up, log_volume
 from ..operators.histogram import percentiles_of_counts, value_counts
-from ..operators.skew import keep_members, share_of_total
+from ..operators.skew import keep_members, materialise, share_of_total
 from ..operators.stationarity import POINTS, judge, with_bound
 
 DEVICE = ["rowkey", "rk_row_sn", "serial_num", "station_mac"]
@@ -46,13 +46,8 @@ def home_records(history: DataFrame) -> DataFrame:
     )
 
 
-def device_features(records: DataFrame) -> DataFrame:
-    """Weak-signal and low-rate shares, volume and weight per device; devices
-    with at least 36 records, one usable rate and a surviving signal.
-
-    One pass: everything is summed per (device, signal level), which also gives
-    the percentiles behind the stationarity flag.
-    """
+def signal_levels(records: DataFrame) -> DataFrame:
+    """Everything summed per (device, parent, signal level): the one pass over the records."""
     weak = " OR ".join(f"(band = '{band}' AND signal < {limit})" for band, limit in WEAK.items())
     usable = f"rate > {RATE_LOW} AND rate < {RATE_HIGH} AND rate NOT IN {CONTROL_RATES}"
     sums = {
@@ -66,8 +61,17 @@ def device_features(records: DataFrame) -> DataFrame:
     for i, band in enumerate(WEAK, start=1):
         sums[f"_on_{i}"] = F.expr(f"count_if(band = '{band}')")
         sums[f"_signal_{i}"] = F.expr(f"sum(if(band = '{band}', signal, 0))")
-    counts = value_counts(records, DEVICE, "signal", **sums)
-    devices = judge(with_bound(percentiles_of_counts(counts, DEVICE, "signal", POINTS, sums=list(sums))))
+    return value_counts(records, [*DEVICE, "parent_id"], "signal", **sums)
+
+
+def device_features(levels: DataFrame) -> DataFrame:
+    """Weak-signal and low-rate shares, volume and weight per device; devices
+    with at least 36 records, one usable rate and a surviving signal.
+
+    The sums per signal level also give the percentiles behind the stationarity flag.
+    """
+    sums = [c for c in levels.columns if c not in (*DEVICE, "parent_id", "signal", "n")]
+    devices = judge(with_bound(percentiles_of_counts(levels, DEVICE, "signal", POINTS, sums=sums)))
     slow = f"avg_phyrate < {SLOW_RATE} AND stationarity = '1'"
     return (
         devices.where(f"n >= {MIN_RECORDS} AND usable > 0")
@@ -90,11 +94,18 @@ def device_features(records: DataFrame) -> DataFrame:
 
 
 def group_devices(groups: DataFrame) -> DataFrame:
-    """Routers and extenders of each group record."""
+    """Routers and extenders of each group record.
+
+    The largest of texts is found by sorting, so the boxes are written without
+    their repeats first: what is sorted are boxes, not records.
+    """
+    boxes = groups.select("rowkey", F.explode("Group_Data_sys_info").alias("d")).select(
+        F.col("rowkey").alias("dg_rowkey"), F.col("d.mac").alias("RouExt_mac"), F.col("d.model").alias("dg_model"), "d.parent_mac", "d.fw"
+    )
     return (
-        groups.select("rowkey", F.explode("Group_Data_sys_info").alias("d"))
-        .groupBy(F.col("rowkey").alias("dg_rowkey"), F.col("d.mac").alias("RouExt_mac"), F.col("d.model").alias("dg_model"))
-        .agg(F.max("d.parent_mac").alias("parent_mac"), F.max("d.fw").alias("firmware"))
+        materialise(boxes.distinct(), "boxes")
+        .groupBy("dg_rowkey", "RouExt_mac", "dg_model")
+        .agg(F.max("parent_mac").alias("parent_mac"), F.max("fw").alias("firmware"))
     )
 
 
@@ -107,7 +118,7 @@ def with_roles(devices: DataFrame, group_table: DataFrame) -> DataFrame:
 
 
 def attachments(records: DataFrame) -> DataFrame:
-    """Which parents each device was seen on."""
+    """Which parents each device was seen on; ``records`` or their signal levels."""
     return records.select(*DEVICE, "parent_id").distinct()
 
 
@@ -122,14 +133,19 @@ def parents(records: DataFrame, groups: DataFrame) -> DataFrame:
 
 def device_table(records: DataFrame, groups: DataFrame, mapping: DataFrame, date: str) -> DataFrame:
     """One row per device: its line, its nine measures (``weights`` is its share of the
-    home's log volume) and the sets of its parents."""
-    shares = share_of_total(device_features(records), ["serial_num"], "volume", "weights")
+    home's log volume) and the sets of its parents.
+
+    The records are read once: their signal levels are written, and so are the
+    devices, which are summed per home and meet the sums again.
+    """
+    levels = materialise(signal_levels(records), "signal-levels")
+    shares = share_of_total(materialise(device_features(levels), "devices"), ["serial_num"], "volume", "weights")
     measures = [
         "avg_phyrate", "poor_phyrate", F.col("stationarity").cast("double").alias("stationarity"), "volume", "weights", "poor_rssi",
         *(f"avg_sig_strength_cat{i}" for i in range(1, len(WEAK) + 1)),
     ]
     lines = mapping.join(shares, "serial_num", "right").select("serial_num", "mdn", "cust_id", *DEVICE[:2], DEVICE[3], *measures)
-    return lines.join(parents(records, groups), DEVICE).withColumn("date", F.lit(date))
+    return lines.join(parents(levels, groups), DEVICE).withColumn("date", F.lit(date))
 
 
 def home_percentages(records: DataFrame, groups: DataFrame, mapping: DataFrame, date: str) -> DataFrame:
@@ -138,8 +154,9 @@ def home_percentages(records: DataFrame, groups: DataFrame, mapping: DataFrame,
     Weights are only ever used as shares of their home, so the home sums
     normalise them: sum(score * weight) / sum(weight).
     """
-    devices = mapping.join(device_features(records), "serial_num", "right")
-    hangs_on = parents(records, groups).select(*DEVICE, F.col("dg_model").alias("_models"), F.col("Rou_Ext").alias("_roles"))
+    levels = materialise(signal_levels(records), "signal-levels")
+    devices = mapping.join(device_features(levels), "serial_num", "right")
+    hangs_on = parents(levels, groups).select(*DEVICE, F.col("dg_model").alias("_models"), F.col("Rou_Ext").alias("_roles"))
 
     def weighted(c: str):
         return half_up(F.try_divide(F.sum(F.col(c) * F.col("weight")), F.sum("weight")), 4).alias(out[c])

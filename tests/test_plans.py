@@ -274,3 +274,45 @@ def test_enrichment_meets_stations_instead_of_records(spark):
     early = H.pillar_features(H.enrich(history, known, counts))
     assert rows_of(late) == rows_of(early, *late.columns)
     assert {r["station_mac"]: r["mobility_status"] for r in late.collect()} == {"A": "Stationary", "B": "Non-stationary", "C": None}
+
+
+def counted(df):
+    """``df`` and how many of its rows have been read since."""
+    read = df.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), read
+
+
+def _device_records(spark):
+    rows = [
+        ("0001-HM1_AC01", "0001-HM1", "HM1", mac, parent, -50 - i % 20, 100.0 + i, "5G", 1000 + i, 2000)
+        for mac, parents in (("AC01", ("RTR1", "EXT1")), ("AC02", ("RTR1",))) for i in range(40) for parent in (parents[i % len(parents)],)
+    ]
+    return spark.createDataFrame(
+        rows, "rowkey string, rk_row_sn string, serial_num string, station_mac string, parent_id string, signal long, "
+        "rate double, band string, byte_send long, byte_received long",
+    )
+
+
+def test_device_table_and_home_score_read_their_records_once(spark):
+    boxes = [("0001-HM1", [("RTR1", "M1", None, f"fw{i}"), ("EXT1", "M2", "RTR1", "ex1")]) for i in range(3)]
+    groups = spark.createDataFrame(
+        boxes, "rowkey string, Group_Data_sys_info array<struct<mac: string, model: string, parent_mac: string, fw: string>>"
+    )
+    mapping = spark.createDataFrame([("HM1", "m", "c")], "serial_num string, mdn string, cust_id string")
+    records, read = counted(_device_records(spark))
+    group_rows, groups_read = counted(groups)
+    table = {r.station_mac: r for r in L.device_table(records, group_rows, mapping, "d").collect()}
+    assert (read.value, groups_read.value) == (80, 3)
+    first, second = table["AC01"], table["AC02"]
+    assert sorted(first.RouExt_mac) == ["EXT1", "RTR1"] and sorted(first.Rou_Ext) == [0, 1] and sorted(first.firmware) == ["ex1", "fw2"]
+    assert second.parent_id == ["RTR1"] and second.poor_rssi == 0.0 and second.avg_phyrate == 119.5
+    assert first.weights + second.weights == pytest.approx(1.0) and first.avg_sig_strength_cat2 == -59.5
+    records, read = counted(_device_records(spark))
+    assert {r.num_station for r in L.home_percentages(records, groups, mapping, "d").collect()} == {2}
+    assert read.value == 80
