@@ -79,17 +79,30 @@ def heard(scans: DataFrame, *more: str) -> DataFrame:
     return points.select("rowkey", *more, "band", F.col("point.bssid").alias("bssid"))
 
 
+def _bit(band: Column) -> Column:
+    """A bit for each band."""
+    return F.element_at(F.create_map(*(F.lit(x) for i, b in enumerate(NEIGHBOUR_BANDS) for x in (b, 1 << i))), band)
+
+
+def heard_once(scans: DataFrame, *more: str) -> DataFrame:
+    """(rowkey, more, bssid, bands): every access point once, with a bit for each band it was heard on.
+
+    What a task holds, and what travels, is a row per access point, whatever
+    number of scans and bands had it.
+    """
+    return heard(scans, *more).groupBy("rowkey", *more, "bssid").agg(F.bit_or(_bit(F.col("band"))).alias("bands"))
+
+
 def neighbours(scans: DataFrame) -> DataFrame:
     """Distinct access points heard per band; NULL where a band heard none.
 
-    One pass: every (band, point) is deduplicated across the cluster before
+    One pass: every point is deduplicated across the cluster before
     it is counted, whatever number of scans a router sent.
     """
-    points = heard(scans).distinct()
-    counts = [
-        F.count_if((F.col("band") == b) & F.col("bssid").isNotNull()).alias(f"_{b}") for b in NEIGHBOUR_BANDS
-    ]
-    seen = [F.count_if(F.col("band") == b).alias(f"_any_{b}") for b in NEIGHBOUR_BANDS]
+    points = heard_once(scans)
+    on = {b: F.col("bands").bitwiseAND(_bit(F.lit(b))) != 0 for b in NEIGHBOUR_BANDS}
+    counts = [F.count_if(on[b] & F.col("bssid").isNotNull()).alias(f"_{b}") for b in NEIGHBOUR_BANDS]
+    seen = [F.count_if(on[b]).alias(f"_any_{b}") for b in NEIGHBOUR_BANDS]
     return points.groupBy("rowkey").agg(*counts, *seen).select(
         "rowkey",
         *(F.when(F.col(f"_any_{b}") > 0, F.col(f"_{b}")).alias(f"distinct_{b}_bssid_count") for b in NEIGHBOUR_BANDS),

@@ -7,6 +7,7 @@ from qoelens import telemetry as data
 from qoelens.operators.stationarity import mobility
 from qoelens.plans import daily as D
 from qoelens.plans import extensions as E
+from qoelens.plans import features as X
 from qoelens.plans import hourly as H
 from qoelens.plans import legacy as L
 from qoelens.plans import reports as R
@@ -316,3 +317,21 @@ def test_device_table_and_home_score_read_their_records_once(spark):
     records, read = counted(_device_records(spark))
     assert {r.num_station for r in L.home_percentages(records, groups, mapping, "d").collect()} == {2}
     assert read.value == 80
+
+
+def _scan_rows(spark):
+    point = "array<struct<data: array<struct<bssid: string>>>>"
+    bands = ", ".join(f"wifi_scan_wifi_ap_data_{b} {point}" for b in X.NEIGHBOUR_BANDS)
+    scans = [
+        ("r1", "08", [([("a",), ("b",)],), ([("a",), (None,)],)], [([("a",)],)], None),
+        ("r1", "12", [([("a",)],)], [([("c",)],)], None),
+        ("r2", "08", None, [([(None,)],)], None),
+        (None, "08", [([("a",)],)], None, None),
+    ]
+    return spark.createDataFrame(scans, f"rowkey string, hour string, {bands}")
+
+
+def test_access_points_are_held_once_for_all_bands(spark):
+    scans = _scan_rows(spark)
+    assert rows_of(X.heard_once(scans)) == sorted([("r1", "a", 3), ("r1", "b", 1), ("r1", "c", 2), ("r1", None, 1), ("r2", None, 2), (None, "a", 1)], key=repr)
+    assert rows_of(X.neighbours(scans)) == sorted([("r1", 2, 2, None), ("r2", None, 0, None), (None, 1, None, None)], key=repr)
