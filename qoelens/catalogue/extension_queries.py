@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import telemetry as data
 from ..plans import daily as D
 from ..plans import extensions as E
-from ..operators.skew import join_back
+from ..operators.skew import join_back, materialise
 from ..plans import features as X
 from ..plans import hourly as H
 from ..plans import sketches as K
@@ -270,8 +270,12 @@ def sketch_percentiles(spark, sf_dir):
     true AS within FROM scans GROUP BY ALL""",
 )
 def sketch_neighbours(spark, sf_dir):
-    """Access points of a router from stored hourly states, held against the exact count."""
-    points = X.heard(data.neighbour_scans(spark, sf_dir), "hour")
+    """Access points of a router from stored hourly states, held against the exact count.
+
+    The scans are read once. A state is the same whether a point comes once or often,
+    so states and exact counts are taken from each hour's points without repeats.
+    """
+    points = X.by_band(materialise(X.heard_once(data.neighbour_scans(spark, sf_dir), "hour"), "hourly-points"))
     folder = run_dir(spark, "distinct-states")
     K.distinct_states(points, ["rowkey", "band"], "hour", "bssid").write.partitionBy("hour").parquet(folder)
     found = K.distinct_counts(spark.read.parquet(folder), ["rowkey", "band"])

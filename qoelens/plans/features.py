@@ -93,6 +93,13 @@ def heard_once(scans: DataFrame, *more: str) -> DataFrame:
     return heard(scans, *more).groupBy("rowkey", *more, "bssid").agg(F.bit_or(_bit(F.col("band"))).alias("bands"))
 
 
+def by_band(points: DataFrame) -> DataFrame:
+    """The rows of ``heard_once``, one for each band."""
+    bands = F.array(*(F.lit(b) for b in NEIGHBOUR_BANDS))
+    each = F.explode(F.filter(bands, lambda b: F.col("bands").bitwiseAND(_bit(b)) != 0))
+    return points.withColumn("band", each).drop("bands")
+
+
 def neighbours(scans: DataFrame) -> DataFrame:
     """Distinct access points heard per band; NULL where a band heard none.
 

@@ -335,3 +335,17 @@ def test_access_points_are_held_once_for_all_bands(spark):
     scans = _scan_rows(spark)
     assert rows_of(X.heard_once(scans)) == sorted([("r1", "a", 3), ("r1", "b", 1), ("r1", "c", 2), ("r1", None, 1), ("r2", None, 2), (None, "a", 1)], key=repr)
     assert rows_of(X.neighbours(scans)) == sorted([("r1", 2, 2, None), ("r2", None, 0, None), (None, 1, None, None)], key=repr)
+
+
+def test_each_band_of_an_hour_gets_its_points_back(spark):
+    again = X.by_band(X.heard_once(_scan_rows(spark), "hour"))
+    assert rows_of(again, "rowkey", "hour", "band", "bssid") == rows_of(X.heard(_scan_rows(spark), "hour").distinct())
+
+
+def test_neighbour_sketches_read_the_scans_once(spark, monkeypatch):
+    from qoelens.catalogue import extension_queries as EQ
+
+    scans, read = counted(_scan_rows(spark))
+    monkeypatch.setattr(EQ.data, "neighbour_scans", lambda *_: scans)
+    found = rows_of(EQ.sketch_neighbours(spark, ""))
+    assert found == [("r1", "2_4g", 2, True), ("r1", "5g", 2, True)] and read.value == 4
