@@ -11,10 +11,14 @@ but counts, the mean length and the pivots.
 from __future__ import annotations
 
 import math
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +46,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "")
 
 
+def joined_words(text: Column) -> Column:
+    """The ``words`` of a text, joined by blanks."""
+    return F.trim(F.regexp_replace(F.lower(text), WORD_BREAK, " "))
+
+
 def _question_block(questions: DataFrame) -> Column:
     blocks = max(1, math.ceil(questions.count() / QUESTION_BLOCK))
     return F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
@@ -85,27 +94,116 @@ class TextIndex:
     id_type: T.DataType
 
 
+#: Marks of the words that an index is for: what the driver gets of them.
+WORD_MARKS = 1 << 20
+#: Stands for all words in the row of a shelf that has its texts and their words; no word is empty.
+EVERY_WORD = ""
+
+
+def _counted(id_type: T.DataType) -> T.StructType:
+    whole = T.ArrayType(T.LongType())
+    return T.StructType([
+        T.StructField("shelf", T.LongType()), T.StructField("word", T.StringType()), T.StructField("ids", T.ArrayType(id_type)),
+        T.StructField("lengths", whole), T.StructField("counts", whole),
+    ])
+
+
+def _marked_words(vocabulary: DataFrame) -> np.ndarray:
+    """A mark for each checksum, modulo ``WORD_MARKS``, of a word; other words that have one are left out later."""
+    marks = vocabulary.select((F.crc32(F.col("word").cast("binary")) % WORD_MARKS).alias("mark")).distinct().toArrow()
+    out = np.zeros(WORD_MARKS, dtype=bool)
+    out[marks.column("mark").to_numpy()] = True
+    return out
+
+
+def _count_shelf(out: pa.Schema, marked: Broadcast | None = None):
+    """The texts of a shelf, as words joined by blanks -> per (marked) word its texts, their
+    lengths and how often each has it; and in one row more the number of texts and of their words."""
+
+    def run(texts: pa.Table) -> pa.Table:
+        cut = pc.split_pattern(texts.column("words"), " ")
+        some = pc.not_equal(texts.column("words"), "")
+        lengths = np.where(some.to_numpy(), pc.list_value_length(cut).to_numpy(), 0).astype(np.int64)
+        rest, cut = texts.filter(some), cut.filter(some)
+        # Texts of one id and length are one text that has all their words.
+        names = rest.column("id").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        length = lengths[lengths > 0]
+        _, first, place = np.unique(np.stack([names, length]), axis=1, return_index=True, return_inverse=True)
+        found = pa.chunked_array([c.flatten() for c in cut.chunks], pa.string()).dictionary_encode().unify_dictionaries()
+        dictionary = found.chunk(0).dictionary if found.num_chunks else pa.array([], pa.string())
+        codes = np.concatenate([np.empty(0, np.int64), *(c.indices.to_numpy().astype(np.int64) for c in found.chunks)])
+        owner = np.repeat(place.ravel(), length)
+        if marked is not None:
+            sums = np.fromiter((zlib.crc32(w.encode()) for w in dictionary.to_pylist()), np.int64, len(dictionary))
+            keep = marked.value[sums % WORD_MARKS][codes]
+            codes, owner = codes[keep], owner[keep]
+        pairs, often = np.unique(codes * max(len(first), 1) + owner, return_counts=True)
+        word, text = np.divmod(pairs, max(len(first), 1))
+        starts = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.empty(0, np.int64)
+        ends = pa.array(np.append(starts, len(word)).astype(np.int32))
+        rows = [
+            pa.ListArray.from_arrays(ends, values).cast(out.field(name).type)
+            for name, values in (
+                ("ids", rest.column("id").combine_chunks().take(pa.array(first[text]))),
+                ("lengths", pa.array(length[first[text]].astype(np.int64))), ("counts", pa.array(often.astype(np.int64))),
+            )
+        ]
+        shelf = pa.array(np.full(len(starts) + 1, texts.column("shelf")[0].as_py(), np.int64))
+        of_shelf = [
+            pa.array([EVERY_WORD]), pa.array([None], out.field("ids").type),
+            *(pa.array([[n]], out.field("counts").type) for n in (int(lengths.sum()), len(lengths))),
+        ]
+        own = [dictionary.take(pa.array(word[starts])), *rows]
+        return pa.Table.from_arrays([shelf, *(pa.concat_arrays([x, y]) for x, y in zip(own, of_shelf))], schema=out)
+
+    return run
+
+
+def _impacts(mean: float, k1: float, b: float, out: pa.Schema):
+    """Word counts of shelves -> blocks of postings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column("counts").flatten().to_numpy()
+            impact = n * (k1 + 1) / (n + k1 * (1 - b + b * batch.column("lengths").flatten().to_numpy() / mean))
+            ends = np.append(0, np.cumsum(batch.column("counts").value_lengths().to_numpy()))
+            columns = [
+                batch.column("shelf"), batch.column("word"), pa.array(np.maximum.reduceat(impact, ends[:-1])), pa.array(np.diff(ends)),
+                batch.column("ids"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(impact)),
+            ]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
+
+    return run
+
+
 def index_texts(docs: DataFrame, vocabulary: DataFrame | None = None, k1: float = K1, b: float = B) -> TextIndex:
     """Index the texts (id, text). ``vocabulary`` (word) leaves all other words
     out, for an index that serves known questions only.
 
     A shelf has about ``SHELF`` texts, so a block is bounded however common its
-    word is. Texts are cut into words and counted after one shuffle by shelf.
+    word is. Texts are cut into words once, and each travels to its shelf as one
+    row; the words of a shelf are counted together.
     """
-    tokens = docs.select("id", words(F.col("text")).alias("words"))
-    texts, mean = tokens.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
+    texts, id_type = docs.count(), docs.schema["id"].dataType
     shelf = F.pmod(F.xxhash64("id"), F.lit(max(1, math.ceil(texts / SHELF))))
-    found = tokens.select("id", F.size("words").alias("length"), shelf.alias("shelf"), F.explode("words").alias("word"))
+    tokens = docs.where("text is not null").select(shelf.alias("shelf"), "id", joined_words(F.col("text")).alias("words"))
+    schema = _counted(id_type)
+    marked = None if vocabulary is None else docs.sparkSession.sparkContext.broadcast(_marked_words(vocabulary))
+    counts = tokens.groupBy("shelf").applyInArrow(_count_shelf(_arrow(schema), marked), schema)
     if vocabulary is not None:
-        found = found.join(vocabulary.select("word").distinct(), "word", "left_semi")
-    counts = found.repartition("shelf").groupBy("shelf", "word", "id", "length").agg(F.count(F.lit(1)).alias("n"))
-    norm = k1 * (1 - b + b * F.col("length") / F.lit(float(mean or 1.0)))
-    counts = counts.withColumn("impact", F.col("n") * (k1 + 1) / (F.col("n") + norm))
-    blocks = counts.groupBy("shelf", "word").agg(
-        F.max("impact").alias("top"), F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("id", "impact")).alias("entries")
-    )
-    blocks = blocks.select("shelf", "word", "top", "n", F.col("entries.id").alias("ids"), F.col("entries.impact").alias("impacts"))
-    return TextIndex(materialise(blocks, "postings"), texts, docs.schema["id"].dataType)
+        asked = vocabulary.select("word").union(docs.sparkSession.range(1).select(F.lit(EVERY_WORD)))
+        counts = counts.join(asked.distinct(), "word", "left_semi").select(*schema.names)
+    counts = materialise(counts, "word-counts")
+    every = counts.where(F.col("word") == EVERY_WORD).agg(F.sum(F.get("counts", F.lit(0))), F.sum(F.get("lengths", F.lit(0)))).first()
+    mean = every[1] / every[0] if every[0] else None
+    found = T.StructType([
+        *schema.fields[:2], T.StructField("top", T.DoubleType()), T.StructField("n", T.LongType()), schema["ids"],
+        T.StructField("impacts", T.ArrayType(T.DoubleType())),
+    ])
+    blocks = counts.where(F.col("word") != EVERY_WORD).mapInArrow(_impacts(float(mean or 1.0), k1, b, _arrow(found)), found)
+    return TextIndex(materialise(blocks, "postings"), texts, id_type)
 
 
 def score_shelf(words_of: list[tuple[float, float, np.ndarray, np.ndarray]], n_texts: int, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -232,6 +330,11 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(sum(len(c) for c in chunks), -1)
 
 
+def _lists(vectors: np.ndarray) -> pa.ListArray:
+    rows, width = vectors.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width, pa.int32()), pa.array(vectors.ravel()))
+
+
 def _angles(cosines: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(cosines, -1.0, 1.0))
 
@@ -250,7 +353,7 @@ def _to_pivots(pivots: np.ndarray):
             zero = ~unit.any(axis=1)
             nearest[zero], angle[zero] = -1, 0.0
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(nearest.astype(np.int32)), pa.array(angle), pa.array(list(unit), pa.list_(pa.float64()))],
+                [batch.column("id"), pa.array(nearest.astype(np.int32)), pa.array(angle), _lists(unit)],
                 names=["id", "pivot", "angle", "embedding"],
             )
 
@@ -339,7 +442,7 @@ def _unit_rows(batches):
     for batch in batches:
         if batch.num_rows:
             unit = _unit(_matrix(batch.column("embedding")))
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.array(list(unit), pa.list_(pa.float64()))], names=["query_id", "embedding"])
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), _lists(unit)], names=["query_id", "embedding"])
 
 
 def open_cells(index: VectorIndex, questions: DataFrame, k: int) -> DataFrame:

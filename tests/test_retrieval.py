@@ -161,3 +161,28 @@ def test_report_levels(spark):
     assert got == {("overall", None): (3, 2), ("category", "a"): (2, 2), ("category", "b"): (1, 0),
                    ("difficulty", "easy"): (1, 1), ("difficulty", "hard"): (2, 1)}
     assert R.low_cases(cases, ["m", "n"]).count() == 2
+
+
+def test_an_index_cuts_its_texts_into_words_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = [(1, "a b a"), (1, "a b a"), (1, "a c"), (2, None), (3, " .. "), (None, "b d é"), (4, "É")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    docs = docs.withColumn("text", F.udf(seen).asNondeterministic()("text"))
+    for words in (None, [("a",), ("é",), ("none",)]):
+        read.value = 0
+        vocabulary = spark.createDataFrame(words, "word string") if words else None
+        index = search.index_texts(docs, vocabulary)
+        assert index.texts == 7 and read.value == 7
+        mean = (3 + 3 + 2 + 0 + 3 + 1) / 6
+        got = {r.word: {i: (r.n, round(r.top, 9), round(x, 9)) for i, x in zip(r.ids, r.impacts)} for r in index.blocks.collect()}
+        # Rows of one id and length are one text; another length is another one.
+        impact = lambda n, length: round(n * 2.5 / (n + 1.5 * (0.25 + 0.75 * length / mean)), 9)
+        assert set(got) == ({"a", "é"} if words else {"a", "b", "c", "d", "é"})
+        assert {i: x for i, (_, _, x) in got["é"].items()} == {None: impact(1, 3), 4: impact(1, 1)}
+        a = index.blocks.where("word = 'a'").first()
+        assert sorted((round(x, 9) for x in a.impacts)) == sorted([impact(4, 3), impact(1, 2)]) and a.n == 2 and round(a.top, 9) == impact(4, 3)
