@@ -243,6 +243,8 @@ CONTEXT_BYTES = 7
 #: Bytes of text between two sampled contexts, and sampled contexts a fragment of the model has.
 SAMPLE_STEP, FRAGMENT_SAMPLES = 1 << 18, 24
 BILLION = 10 ** 9
+#: Bytes of text whose postings are made together: the more, the fewer keys in all.
+POSTINGS_SLICE = 9 << 20
 #: Distinct keys a task holds before it hands their counts on.
 HELD_KEYS = 1 << 21
 
@@ -264,7 +266,9 @@ def _keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         for k in range(back - 1):
             late = starts[:-1] + k
             before[late[late < starts[1:]]] = 0x0A
-        keys |= before.astype(np.uint64) << np.uint64(64 - 8 * back)
+        shifted = before.astype(np.uint64)
+        shifted <<= np.uint64(64 - 8 * back)
+        keys |= shifted
     return keys, starts
 
 
@@ -273,12 +277,12 @@ def _packed(values: np.ndarray) -> bytes:
     width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
     held = values.astype(np.uint64).view(np.uint8).reshape(-1, 8)
     planes = b"".join(held[:, k].tobytes() for k in range(width))
-    return len(values).to_bytes(7, "little") + bytes([width]) + pa.Codec("zstd", 3).compress(planes, asbytes=True)
+    return len(values).to_bytes(7, "little") + bytes([width]) + pa.Codec("zstd", 1).compress(planes, asbytes=True)
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
     n, width = int.from_bytes(raw[:7], "little"), raw[7]
-    planes = np.frombuffer(pa.Codec("zstd", 3).decompress(raw[8:], width * n, asbytes=True), np.uint8).reshape(width, n)
+    planes = np.frombuffer(pa.Codec("zstd", 1).decompress(raw[8:], width * n, asbytes=True), np.uint8).reshape(width, n)
     out = np.zeros((n, 8), np.uint8)
     for k in range(width):
         out[:, k] = planes[k]
@@ -532,6 +536,23 @@ def _shared_model(model_rows: DataFrame, splits: np.ndarray):
     return levels, known
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, several as one as long as they have less than a slice of text together."""
+    held, size = [], 0
+
+    def one() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if held and size + batch.nbytes > POSTINGS_SLICE:
+            yield one()
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield one()
+
+
 def _postings(splits: np.ndarray, common: Broadcast):
     """Per slice and fragment a row: distinct keys, how often each, and whose
     they are. One more row has what is known of the texts otherwise; it belongs
@@ -539,17 +560,26 @@ def _postings(splits: np.ndarray, common: Broadcast):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for batch, data, offsets in B.slices(batches):
+        for batch, data, offsets in B.slices(_joined(batches), size=POSTINGS_SLICE):
             number += 1
-            yield _posting(-number, number, _of_texts(batch, data, offsets, *common.value), None, None)
+            # The longest texts get the smallest numbers, and most keys: small numbers take less room.
+            by_length = np.argsort(-np.diff(offsets), kind="stable")
+            yield _posting(-number, number, _of_texts(batch, data, offsets, by_length, *common.value), None, None)
             keys, starts = _keys(data, offsets)
             order = np.argsort(keys)
             keys = keys[order]
             new = np.append(True, keys[1:] != keys[:-1])
             # Whose a key is, ascending for each key: first the text, then steps from text to text.
-            owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint32), np.diff(starts))[order]
+            text = np.empty(batch.num_rows, dtype=np.uint32)
+            text[by_length] = np.arange(batch.num_rows, dtype=np.uint32)
+            owner = np.repeat(text, np.diff(starts))[order]
             del order
-            owner = np.sort(np.cumsum(new, dtype=np.uint64) << np.uint64(32) | owner).astype(np.uint32)
+            of_key = np.cumsum(new, dtype=np.uint64)
+            of_key <<= np.uint64(32)
+            of_key |= owner
+            of_key.sort()
+            owner = of_key.astype(np.uint32)
+            del of_key
             owner[1:] -= np.where(new[1:], np.uint32(0), owner[:-1])
             bounds = _fragment_bounds(splits, keys)
             for f in np.flatnonzero(np.diff(bounds)).tolist():
@@ -625,8 +655,10 @@ def _sum_slice(table: pa.Table) -> pa.Table:
     return texts.append_column("score", pa.array(total / -BILLION))
 
 
-def _of_texts(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, common: np.ndarray, often: np.ndarray) -> bytes:
-    """Per text the number of coded bytes and words, and of its words what is
+def _of_texts(
+    batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, order: np.ndarray, common: np.ndarray, often: np.ndarray
+) -> bytes:
+    """Per text, in this order, the number of coded bytes and words, and of its words what is
     known at hand; the rest to be joined. As an Arrow stream."""
     _, _, words, bounds = B.words(data, offsets, lower=True)
     place = np.minimum(np.searchsorted(common, words), max(len(common) - 1, 0))
@@ -643,6 +675,7 @@ def _of_texts(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, comm
         ],
         names=["doc_id", "n_coded", "n_words", "logs", "known", "rest"],
     )
+    found = found.take(pa.array(order))
     out = pa.BufferOutputStream()
     with pa.ipc.new_stream(out, found.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
         stream.write_batch(found)

@@ -305,3 +305,20 @@ def test_grades_odd_rows(spark):
     assert found.count() == len(ROWS) and found.where("p_top is null").isEmpty()
     assert grades.learn_and_grade(docs, labels.limit(0)).where("not kept").isEmpty()
     assert grades.learn_and_grade(docs.limit(0), labels).count() == 0
+
+
+def test_postings_of_small_batches_share_a_slice_and_number_the_longest_text_first(spark):
+    from qoelens.llm import context_tree as CT
+
+    texts = [(i, "abc" * (i % 7 + 1)) for i in range(30)] + [(30, "xyz" * 40), (31, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    common = spark.sparkContext.broadcast((np.empty(0, np.uint64), np.empty(0)))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        rows = docs.mapInArrow(CT._postings(np.empty(0, np.uint64), common), CT._POSTINGS).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len({r.slice for r in rows}) == 1 and len(rows) == 2
+    known = pa.ipc.open_stream(next(r["keys"] for r in rows if r.fragment < 0)).read_all()
+    coded = known.column("n_coded").to_pylist()
+    assert known.column("doc_id")[0].as_py() == 30 and coded == sorted(coded, reverse=True) and len(coded) == 32
