@@ -5,7 +5,7 @@ cell of vectors. Questions are a table too: small tables of bounds say which
 (question, group) pairs can still hold one of the best k, and only those meet.
 A group and a block of questions are scored together in one task, which ships its
 best k per question. Nothing of a question or of the corpus reaches the driver
-but counts, the mean length and the pivots.
+but counts, the mean length, the pivots and a bounded table of marks for the words asked.
 """
 
 from __future__ import annotations
