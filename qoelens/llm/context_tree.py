@@ -247,6 +247,9 @@ BILLION = 10 ** 9
 POSTINGS_SLICE = 9 << 20
 #: Distinct keys a task holds before it hands their counts on.
 HELD_KEYS = 1 << 21
+#: Coded bytes of a slice, about, whose postings are put in order together.
+POSTINGS_PART = 1 << 20
+_LINE_ENDS = 0x0A0A0A0A0A0A0A00
 
 
 def _keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,17 +261,16 @@ def _keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     body = np.ones(len(coded), dtype=bool)
     body[starts[1:] - 1] = False
     coded[body] = B.LOWER[data]
-    symbol = np.where(body, coded, np.uint8(0x0A))
-    keys = coded.astype(np.uint64)
-    for back in range(1, CONTEXT_BYTES + 1):
-        before = np.full(len(coded), 0x0A, dtype=np.uint8)
-        before[back:] = symbol[:-back]
-        for k in range(back - 1):
-            late = starts[:-1] + k
-            before[late[late < starts[1:]]] = 0x0A
-        shifted = before.astype(np.uint64)
-        shifted <<= np.uint64(64 - 8 * back)
-        keys |= shifted
+    # The eight symbols before a byte, read as one number, and the byte in place of the first of them.
+    symbol = np.full(8 + len(coded), 0x0A, dtype=np.uint8)
+    symbol[8:][body] = coded[body]
+    keys = np.ndarray(len(coded), "<u8", symbol, strides=(1,)) & ~np.uint64(0xFF)
+    keys |= coded
+    for k in range(CONTEXT_BYTES):
+        late = starts[:-1] + k
+        late = late[late < starts[1:]]
+        own = ((1 << 8 * k) - 1) << 64 - 8 * k | 0xFF
+        keys[late] = keys[late] & np.uint64(own) | np.uint64(_LINE_ENDS & ~own)
     return keys, starts
 
 
@@ -553,6 +555,40 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield one()
 
 
+def _by_key(keys: np.ndarray, owners: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys ascending, where the owners of each start, and all
+    owners (below ``most``), ascending for each key."""
+    n = len(keys)
+    width, room = max(n - 1, 1).bit_length(), max(most - 1, 1).bit_length()
+    low = np.uint64((1 << width) - 1)
+    # Numbers sort faster than places: the high bits of a key with its place first, then their rank with the low bits and the owner.
+    high = keys & ~low
+    high |= np.arange(n, dtype=np.uint64)
+    high.sort()
+    order = (high & low).astype(np.int64)
+    high >>= np.uint64(width)
+    new = np.append(True, high[1:] != high[:-1])
+    high = high[new]
+    if len(high).bit_length() + width + room > 64:
+        order = np.lexsort((owners, keys))
+        ordered = keys[order]
+        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        return ordered[first], first, owners[order]
+    held = np.cumsum(new, dtype=np.uint64)
+    held -= np.uint64(1)
+    held <<= np.uint64(width)
+    held |= keys[order] & low
+    held <<= np.uint64(room)
+    held |= owners[order]
+    del order, new
+    held.sort()
+    owners = (held & np.uint64((1 << room) - 1)).astype(np.uint32)
+    held >>= np.uint64(room)
+    first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+    distinct = held[first]
+    return high[(distinct >> np.uint64(width)).astype(np.int64)] << np.uint64(width) | distinct & low, first, owners
+
+
 def _postings(splits: np.ndarray, common: Broadcast):
     """Per slice and fragment a row: distinct keys, how often each, and whose
     they are. One more row has what is known of the texts otherwise; it belongs
@@ -566,26 +602,29 @@ def _postings(splits: np.ndarray, common: Broadcast):
             by_length = np.argsort(-np.diff(offsets), kind="stable")
             yield _posting(-number, number, _of_texts(batch, data, offsets, by_length, *common.value), None, None)
             keys, starts = _keys(data, offsets)
-            order = np.argsort(keys)
-            keys = keys[order]
-            new = np.append(True, keys[1:] != keys[:-1])
-            # Whose a key is, ascending for each key: first the text, then steps from text to text.
             text = np.empty(batch.num_rows, dtype=np.uint32)
             text[by_length] = np.arange(batch.num_rows, dtype=np.uint32)
-            owner = np.repeat(text, np.diff(starts))[order]
-            del order
-            of_key = np.cumsum(new, dtype=np.uint64)
-            of_key <<= np.uint64(32)
-            of_key |= owner
-            of_key.sort()
-            owner = of_key.astype(np.uint32)
-            del of_key
-            owner[1:] -= np.where(new[1:], np.uint32(0), owner[:-1])
-            bounds = _fragment_bounds(splits, keys)
-            for f in np.flatnonzero(np.diff(bounds)).tolist():
-                a, b = bounds[f], bounds[f + 1]
-                distinct, often = _sum_by(keys[a:b])
-                yield _posting(f, number, _packed_keys(distinct), _packed(often), _packed(owner[a:b]))
+            owner = np.repeat(text, np.diff(starts))
+            # A few fragments at a time, so that only the keys themselves are held for the whole slice.
+            some = max(1, (len(splits) + 1) * POSTINGS_PART // max(len(keys), 1))
+            for at in range(0, len(splits) + 1, some):
+                inside = keys >= splits[at - 1] if at else np.ones(len(keys), bool)
+                if at + some <= len(splits):
+                    inside &= keys < splits[at + some - 1]
+                part, whose = keys[inside], owner[inside]
+                del inside
+                if not len(part):
+                    continue
+                # Whose a key is, ascending for each key: first the text, then steps from text to text.
+                distinct, first, whose = _by_key(part, whose, batch.num_rows)
+                steps = np.diff(whose, prepend=np.uint32(0))
+                steps[first] = whose[first]
+                first = np.append(first, len(part))
+                bounds = _fragment_bounds(splits[at:at + some - 1], distinct)
+                for f in np.flatnonzero(np.diff(bounds)).tolist():
+                    a, b = bounds[f], bounds[f + 1]
+                    often = np.diff(first[a:b + 1])
+                    yield _posting(at + f, number, _packed_keys(distinct[a:b]), _packed(often), _packed(steps[first[a]:first[b]]))
 
     return run
 

@@ -1,7 +1,9 @@
 """Quality rules, language, grades and language-model scores against plain Python."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -322,3 +324,60 @@ def test_postings_of_small_batches_share_a_slice_and_number_the_longest_text_fir
     known = pa.ipc.open_stream(next(r["keys"] for r in rows if r.fragment < 0)).read_all()
     coded = known.column("n_coded").to_pylist()
     assert known.column("doc_id")[0].as_py() == 30 and coded == sorted(coded, reverse=True) and len(coded) == 32
+
+
+def postings_of(monkeypatch, texts, splits):
+    monkeypatch.setattr(context_tree, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    common = SimpleNamespace(value=(np.empty(0, np.uint64), np.empty(0)))
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    for out in context_tree._postings(splits, common)(iter([batch])):
+        yield from out.to_pylist()
+
+
+@pytest.mark.parametrize("part", [1, 40, 1 << 20])
+@pytest.mark.parametrize("most", [40, 1 << 62])
+def test_postings_part_by_part_name_every_byte_once(monkeypatch, part, most):
+    texts = ["Abab abba", None, "", "a", "ab" * 30, "\u00e9\nab 12", "b" * 70, "Abab abba"] * 3
+    by_key = context_tree._by_key
+    # Places and owners that do not fit one number are put in order otherwise.
+    monkeypatch.setattr(context_tree, "_by_key", lambda keys, owners, _: by_key(keys, owners, most))
+    monkeypatch.setattr(context_tree, "POSTINGS_PART", part)
+    longest_first = sorted(range(len(texts)), key=lambda i: -len((texts[i] or "").encode()))
+    want = Counter()
+    for number, i in enumerate(longest_first):
+        coded = [*(texts[i] or "").lower().encode(), 0xFF]
+        for k, byte in enumerate(coded):
+            before = [coded[k - 1 - j] if k - 1 - j >= 0 else 0x0A for j in range(context_tree.CONTEXT_BYTES)]
+            want[int.from_bytes(bytes([*before, byte]), "big"), number] += 1
+    splits = np.array(sorted({key for key, _ in want})[5::9], np.uint64)
+    found, fragments = Counter(), []
+    for row in postings_of(monkeypatch, texts, splits):
+        if row["fragment"] < 0:
+            continue
+        fragments.append(row["fragment"])
+        keys, often = context_tree._unpacked_keys(row["keys"]), context_tree._unpacked(row["often"]).tolist()
+        assert (np.searchsorted(splits, keys, side="right") == row["fragment"]).all() and (np.diff(keys.astype(object)) > 0).all()
+        steps = iter(context_tree._unpacked(row["owners"]).tolist())
+        for key, n in zip(keys.tolist(), often):
+            owner = 0
+            for _ in range(n):
+                owner += next(steps)
+                found[key, owner] += 1
+        assert next(steps, None) is None
+    assert found == want and fragments == sorted(set(fragments))
+
+
+def test_postings_hold_little_beside_the_keys(monkeypatch):
+    """Workers sort a few fragments of a slice at a time, not the whole slice."""
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, 50_000, dtype=np.uint8)).decode() for _ in range(40)]
+    keys = np.sort(rng.integers(0x61 << 56, 0x7B << 56, 64, dtype=np.uint64))
+    monkeypatch.setattr(context_tree, "POSTINGS_PART", 1 << 16, raising=False)
+    tracemalloc.start()
+    try:
+        for _ in postings_of(monkeypatch, texts, keys):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 25 * 40 * 50_001
