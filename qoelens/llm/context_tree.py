@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import materialise
 from . import textbytes as B
+from .store import drop_finished
 
 # The small tree of three folded bytes: no query uses it, a test works it out by hand.
 DEPTH = 3
@@ -732,6 +733,8 @@ def _scored(docs: DataFrame, training: DataFrame, keys: np.ndarray, often: np.nd
     counted = training.select("text").mapInArrow(_count_contexts(splits), _COUNTED)
     model_rows = materialise(counted.groupBy("fragment").applyInArrow(_fold(splits), _MODEL), "contexts")
     parameters = broadcast((splits, *_shared_model(model_rows, splits)))
+    del counted
+    drop_finished(docs.sparkSession)  # the counts' files; the postings take most of the disk
     own = model_rows.where("fragment is not null").select("fragment", "keys", "counts")
     postings = docs.select("doc_id", "text").mapInArrow(_postings(splits, broadcast((keys, often))), _POSTINGS)
     partial = postings.groupBy("fragment").cogroup(own.groupBy("fragment")).applyInArrow(

@@ -1,6 +1,7 @@
 """Quality rules, language, grades and language-model scores against plain Python."""
 
 import math
+import time
 import tracemalloc
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from qoelens.llm import context_tree, grades, language, quality_rules
 from qoelens.llm import textbytes as B
+from qoelens.llm.store import drop_finished
 
 from .common import ROWS, SCHEMA, by_id, corpus, fold_of, words
 
@@ -381,3 +383,20 @@ def test_postings_hold_little_beside_the_keys(monkeypatch):
     finally:
         tracemalloc.stop()
     assert peak < 25 * 40 * 50_001
+
+
+def test_finished_shuffles_leave_the_disk(spark, tmp_path):
+    def files():
+        held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for k in range(held.size()) if (name := held.apply(k).getName()).startswith("shuffle_")}
+
+    before = files()
+    spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / "out"))
+    made = files() - before
+    assert made
+    spark.range(50, numPartitions=2).groupBy("id").count().write.parquet(str(tmp_path / "next"))
+    drop_finished(spark)
+    until = time.monotonic() + 15
+    while made & files() and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not made & files()
