@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.skew import materialise
+from ..session import drop_finished  # noqa: F401
 
 #: Shuffle partitions that share a file of a compact table.
 PER_FILE = 8
@@ -28,10 +27,3 @@ def compact(df: DataFrame, purpose: str) -> DataFrame:
     file for every few shuffle partitions, which one task goes through in turn."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return materialise(df.coalesce(max(1, partitions // PER_FILE)), purpose)
-
-
-def drop_finished(spark: SparkSession) -> None:
-    """Have Spark drop the shuffle files of finished steps now: it does once the driver
-    has collected what refers to them, and a driver with little to do collects late."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

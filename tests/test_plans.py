@@ -180,6 +180,31 @@ def test_core_stays_in_the_jvm_without_windows(spark, build):
         assert node not in plan
 
 
+def test_a_station_leaves_a_task_as_one_row(spark):
+    c = "struct<connect_type: string, signal_strength: int, tx_link_rate: string, diff_bs: bigint, diff_br: bigint>"
+    steer = "struct<sta_type: string, action: string>"
+    rows = [
+        ("1-S1_m", ("5GI", -40, "900Mbps", 10, 1), ("2", "2"), None), ("1-S1_m", ("5GI", -90, None, None, 2), ("2", "1"), ("2", "2")),
+        ("1-S1_m", ("ETH", None, "1Mbps", 99, 99), ("1", "2"), None), ("1-S1_m", ("2.4GI", None, "5Mbps", 4, 4), None, None),
+        (None, ("ETH", -50, None, 3, None), None, None), (None, None, None, None),
+    ]
+    df = spark.createDataFrame(
+        rows, f"rowkey string, Station_Data_connect_data {c}, Diag_Result_band_steer {steer}, Diag_Result_ap_steer {steer}"
+    )
+    day = D.station_day(df)
+    assert plan_of(day).count("Exchange hashpartitioning") == 1
+    names = [x for kind in ("rssi", "phyrate") for x in (f"{kind}_total_count", f"{kind}_byte_send", f"{kind}_byte_received")]
+    steered = ("band_seen", "band_start", "ap_seen", "ap_start")
+    assert rows_of(day, "sn", "rowkey", *names, *steered) == rows_of(spark.createDataFrame(
+        [("S1", "1-S1_m", 2, 10, 3, 3, 14, 7, 2, 1, 1, 1), (None, None, 1, 3, None, 0, None, None, 0, 0, 0, 0)],
+        "a string, b string, " + ", ".join(f"c{i} bigint" for i in range(10)),
+    ))
+    levels = {n: day.where("sn = 'S1'").agg(F.sum(n)).first()[0] for n in day.columns if "_count_" in n}
+    assert {k: v for k, v in levels.items() if v and "total" not in k} == {
+        "rssi_excellent_count_5GHz": 1, "rssi_poor_count_5GHz": 1, "phyrate_excellent_count_5GHz": 1, "phyrate_poor_count_2_4GHz": 1,
+    }
+
+
 def _byte_reports(spark, rows):
     return spark.createDataFrame(
         [(k, 1706572800000, (mac, bs, br)) for k, mac, bs, br in rows],

@@ -1,11 +1,15 @@
 """Sources, sinks and gap handling on small written tables."""
 
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from qoelens import telemetry as data
+from qoelens.operators.skew import materialise, temporary
+from qoelens.plans import jobs
 from qoelens.session import build_session, run_dir, shared_dir
 from qoelens.sources import gaps, sinks, tables
 from qoelens.sources.ledger import LedgerTable
@@ -176,3 +180,82 @@ def test_a_refused_run_is_entered_and_not_read(spark, tmp_path):
     assert table.publish(spark.range(0), "20240102").published is False
     assert table.read().count() == 10 and rows_of(table.refused(), "date", "rows") == [("20240101", 3), ("20240102", 0)]
     assert rows_of(table.current(), "date", "rows") == [("20240101", 10)]
+
+
+def _shuffle_files(spark):
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for k in range(held.size()) if (name := held.apply(k).getName()).startswith("shuffle_")}
+
+
+def _odd_slots(spark):
+    """Rows of 8 tasks, each with a share of all partitions; one has no day, another one a name to be escaped."""
+    day = F.when(F.col("id") % 3 == 0, "2024-01-01 08:00").when(F.col("id") % 3 == 1, "20240102")
+    return spark.range(0, 3000, 1, 8).withColumns({"day": day, "hour": F.lpad((F.col("id") % 2).cast("string"), 2, "0")})
+
+
+def test_partitions_are_written_without_a_shuffle(spark, tmp_path):
+    rows, base = _odd_slots(spark), str(tmp_path / "t")
+    before = _shuffle_files(spark)
+    sinks.write_partitions(rows, base, ["day", "hour"])
+    assert not _shuffle_files(spark) - before
+    assert rows_of(spark.read.schema(rows.schema).parquet(base)) == rows_of(rows)
+    assert not [name for name in os.listdir(base) if name.startswith("_staging")] and tables.is_complete(spark, base)
+
+
+def test_small_files_of_a_partition_are_joined_and_large_ones_stay(spark, tmp_path, monkeypatch):
+    rows, base = _odd_slots(spark), str(tmp_path / "t")
+
+    def files():
+        return [sum(f.endswith(".parquet") for f in names) for _, _, names in os.walk(base) if any(f.endswith(".parquet") for f in names)]
+
+    sinks.write_partitions(rows, base, ["day", "hour"])
+    assert files() == [1] * 6
+    monkeypatch.setattr(sinks, "FILE_BYTES", 1)
+    sinks.write_partitions(rows.where("id < 6 OR id > 11"), base, ["day", "hour"])
+    assert files() == [8] * 6
+    assert rows_of(spark.read.schema(rows.schema).parquet(base)) == rows_of(rows.where("id < 6 OR id > 11"))
+
+
+def test_a_failed_write_leaves_the_partitions_before(spark, hours):
+    broken = spark.createDataFrame([(1, "20240101", "08")], "v int, date string, hour string").withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_partitions(broken, hours)
+    assert rows_of(tables.read_partitioned(spark, hours), "v") == [(i,) for i in range(6)]
+
+
+def test_temporary_tables_go_with_their_block(spark):
+    kept = materialise(spark.range(3), "kept")
+    with pytest.raises(RuntimeError), temporary(spark):
+        path = materialise(spark.range(5), "between").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+        raise RuntimeError
+    assert not os.path.exists(path) and kept.count() == 3
+
+
+def _tables(spark, tmp_path):
+    """A few homes' ``lineitem`` and ``events``, made into the inputs of both jobs."""
+    spark.range(0, 3000, 1, 2).selectExpr(
+        "id as l_orderkey", "id % 40 as l_partkey", "id % 3 as l_suppkey", "cast(1 + id % 7 as int) as l_linenumber",
+        "cast(id % 50 as double) as l_quantity", "1000 + id * 7D as l_extendedprice", "id % 10 / 100D as l_discount",
+        "id % 9 / 100D as l_tax", "case id div 40 % 3 when 0 then 'A' when 1 then 'N' else 'R' end as l_returnflag",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(300).selectExpr(
+        "id as event_id", "timestamp_ntz '2024-01-02 00:00:00' + make_dt_interval(cast(id % 28 as int)) as ts", "id % 3 as user_id",
+        "case when id % 2 = 0 then 'click' else 'purchase' end as event_type", "concat('{\"k\": ', id % 99, '}') as props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    base, history, groups = str(tmp_path), data.station_history(spark, str(tmp_path)), data.device_groups(spark, str(tmp_path))
+    sinks.write_partitions(data.day_earlier(history).unionByName(history), f"{base}/history")
+    sinks.write_partitions(groups, f"{base}/groups")
+    events = data.owl_history(spark, base).withColumn("date", F.date_format(F.timestamp_millis("ts"), "yyyyMMdd"))
+    sinks.write_partitions(events, f"{base}/events", ["date"])
+    return base
+
+
+def test_a_days_job_leaves_only_its_outputs(spark, tmp_path):
+    base = _tables(spark, tmp_path)
+    paths = jobs.DailyPaths(*(f"{base}/{t}" for t in ("history", "groups", "events", "mobility", "stations", "homes")))
+    before = set(os.listdir(shared_dir(spark)))
+    done = jobs.score_day(spark, paths, data.SCORE_DATE, tiebreak=["event_id"])
+    assert [o.published and o.rows > 0 for o in done] == [True] * 3
+    assert set(os.listdir(shared_dir(spark))) == before
+    assert jobs.by_date(spark, paths.homes).read().count() == done[2].rows
