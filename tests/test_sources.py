@@ -1,6 +1,7 @@
 """Sources, sinks and gap handling on small written tables."""
 
 import os
+import time
 from datetime import datetime
 
 import pytest
@@ -259,3 +260,24 @@ def test_a_days_job_leaves_only_its_outputs(spark, tmp_path):
     assert [o.published and o.rows > 0 for o in done] == [True] * 3
     assert set(os.listdir(shared_dir(spark))) == before
     assert jobs.by_date(spark, paths.homes).read().count() == done[2].rows
+
+
+def test_an_hours_job_and_its_back_fill_leave_only_their_outputs(spark, tmp_path):
+    base = _tables(spark, tmp_path)
+    paths = jobs.HourlyPaths(*(f"{base}/{t}" for t in ("history", "groups", "mobility", "stations", "homes")))
+    before = set(os.listdir(shared_dir(spark)))
+    jobs.store_mobility(spark, paths, data.DATE_BEFORE)
+    done = jobs.score_hour(spark, paths, data.SCORE_DATE, "08")
+    done += jobs.backfill_hours(spark, paths, [data.SCORE_DATE], datetime(2024, 1, 31))
+    assert [o.published and o.rows > 0 for o in done] == [True] * 6
+    assert set(os.listdir(shared_dir(spark))) == before
+    assert jobs.by_hour(spark, paths.homes).read().count() == sum(o.rows for o in done[1::2])
+
+
+def test_a_published_runs_shuffles_leave_the_disk(spark, tmp_path):
+    before, grouped = _shuffle_files(spark), spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count()
+    LedgerTable(spark, str(tmp_path / "scores"), ("date",)).publish(grouped, "20240101")
+    until = time.monotonic() + 15
+    while (left := _shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
